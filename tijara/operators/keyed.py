@@ -34,14 +34,16 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
 
 def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Row holding the max of ``order_col`` per key (groupwise max + self join).
+    """Rows holding the max of ``order_col`` per key (groupwise max + self join).
 
-    Ties on the max keep every tied row, as the equality self-join does; NULL keys drop out.
+    The max per key is a map-side-combined aggregate (a hot key collapses to one
+    row per task before the shuffle); rows are then matched on (key, max), which
+    hashes on both columns so a hot key's rows still spread over many tasks.
+    Ties on the max keep every tied row; NULL keys drop out.
     """
-    m = Window.partitionBy(key)
-    return (df.where(F.col(key).isNotNull())
-            .withColumn("_max", F.max(order_col).over(m))
-            .where(F.col(order_col) == F.col("_max")).drop("_max"))
+    top = df.groupBy(F.col(key).alias("_k")).agg(F.max(order_col).alias("_m")).where(F.col("_k").isNotNull())
+    return (df.join(top, (F.col(key) == F.col("_k")) & (F.col(order_col) == F.col("_m")), "inner")
+            .drop("_k", "_m"))
 
 
 def completeness_score(fields: Sequence[str | Column]) -> Column:

@@ -56,3 +56,185 @@ def q_fulfilment_reconciled(t):
 @query("fulfilment_top_n")
 def q_fulfilment_top_n(t):
     return fulfilment.top_n(t, 500)
+
+
+# ---- order mart and its parts ---------------------------------------------
+
+from tijara.functions import codes  # noqa: E402
+from tijara.functions.rules import ItemCols, Rules  # noqa: E402
+from tijara.functions.timeutil import local_date, ntz, to_local  # noqa: E402
+from tijara.operators.pivot import payment_pivot  # noqa: E402
+from tijara.plans import order_mart  # noqa: E402
+from tijara.registry import EXCLUSIVE_SELLER, ORDER_WINDOW  # noqa: E402
+
+_R = Rules(ItemCols())
+
+
+def _items_orders_stops(t):
+    """Every order item with its order's codes and its stop (item grain)."""
+    o = t["orders"].select(F.col("id").alias("_oid"), "fulfilment_mode_id", "status", "type", "stop_id", "city_id",
+                           "created_by")
+    s = t["stops"].select(F.col("id").alias("stop_ref"), "stop_status")
+    return (t["order_items"].join(o, F.col("order_id") == F.col("_oid"), "left")
+            .join(s, F.col("stop_id") == F.col("stop_ref"), "left"))
+
+
+@query("stops_projection")
+def q_stops_projection(t):
+    return t["stops"].select("id", "stop_status", "route_id")
+
+
+@query("order_items_dedup")
+def q_order_items_dedup(t):
+    d = order_mart.order_items_dedup(t["order_items"])
+    return d.select(*[F.col(c).cast("double").alias(c) if c in ("price", "discount", "commission_value") else F.col(c)
+                      for c in d.columns])
+
+
+@query("order_status_decode")
+def q_order_status_decode(t):
+    return t["orders"].select(
+        "id", codes.decode("status", codes.ORDER_STATUS).alias("OrderStatus"),
+        codes.decode("type", codes.ORDER_TYPE).alias("OrderType"),
+        codes.decode("fulfilment_mode_id", codes.FULFILMENT_MODE).alias("FulfilmentMode"),
+        codes.decode("vertical_id", codes.VERTICAL).alias("Verticals"))
+
+
+@query("order_status_text")
+def q_order_status_text(t):
+    return t["orders"].select("id", F.col("status").alias("order_status_code"),
+                              codes.decode("status", codes.ORDER_STATUS_SHORT, default="").alias("order_status_text"))
+
+
+@query("payment_mode_decode")
+def q_payment_mode_decode(t):
+    return t["order_payments"].select("order_id", "payment_types_id",
+                                      codes.decode("payment_types_id", codes.PAYMENT_MODE, default=None)
+                                      .alias("paymentmode"))
+
+
+@query("flag_and_tri_state")
+def q_flag_and_tri_state(t):
+    cities = t["cities"].select(F.col("id").alias("_city_ref"), "is_exclusive")
+    psd = t["product_sku_details"].select(F.col("sku_id").alias("_psd_sku"), F.col("user_id").alias("_psd_user"))
+    sup = t["suppliers"].select(F.col("user_id").alias("_sup_user"), "is_internal")
+    j = (_items_orders_stops(t).join(F.broadcast(cities), F.col("city_id") == F.col("_city_ref"), "left")
+         .join(psd, F.col("sku_id") == F.col("_psd_sku"), "left")
+         .join(sup, F.col("_psd_user") == F.col("_sup_user"), "left"))
+    return j.select("order_id", "sku_id",
+                    codes.any_true(F.col("is_exclusive") == F.lit(True), F.col("_psd_user") == EXCLUSIVE_SELLER)
+                    .alias("PanPakistan"),
+                    codes.tri_state("is_internal", *codes.SUPPLIER_TYPE).alias("SupplierType"))
+
+
+@query("order_channel_size_class")
+def q_order_channel_size_class(t):
+    gmv = _R.ds_ordered_gmv()
+    return _items_orders_stops(t).select(
+        "order_id", "sku_id", gmv.cast("double").alias("Ordered GMV"),
+        codes.presence_flag("created_by", *codes.ORDER_CHANNEL).alias("Order Channel"),
+        codes.size_class(gmv, SIZE_THRESHOLD).alias("RDS/BULK Classification"))
+
+
+@query("retailer_completeness_score")
+def q_retailer_completeness_score(t):
+    return order_mart.retailer_scores(t["retailers"]).select("user_id", "copy_no", "score")
+
+
+@query("local_time_shift")
+def q_local_time_shift(t):
+    return t["orders"].select("id", to_local("created_at").alias("OrderCreatedAt"),
+                              to_local("delivered_at").alias("OrderDeliveredAt"),
+                              local_date("delivered_at").alias("System Delivery Date"))
+
+
+@query("item_quantity_rules")
+def q_item_quantity_rules(t):
+    return _items_orders_stops(t).select(
+        "order_id", "sku_id", "fulfilment_mode_id", "status", "type", "stop_status",
+        _R.qty_ordered().alias("QtyOrdered"), _R.picked_qty().alias("PickedQty"),
+        _R.dispatched_qty().alias("DispatchedQty"), _R.spot_sold_qty().alias("SpotSoldQty"),
+        _R.delivered_qty().alias("DeliveredQty"), _R.return_qty().alias("ReturnQty"),
+        _R.cancelled_qty().alias("CancelledQty"), _R.pre_dispatch_cancelled_qty().alias("PreDispatchCancelledQty"),
+        _R.total_pre_dispatch_cancelled_qty().alias("TotalPreDispatchCancelledQty"))
+
+
+@query("item_gmv_measures")
+def q_item_gmv_measures(t):
+    cancelled = F.col("status") == 6
+    return _items_orders_stops(t).select(
+        "order_id", "sku_id",
+        _R.punched_gmv().cast("double").alias("TotalPunchedGMV"),
+        _R.delivered_gmv().cast("double").alias("TotalDeliveredGMV"),
+        _R.cancelled_gmv().cast("double").alias("TotalCancelledGMV"),
+        _R.pre_dispatch_cancelled_gmv().cast("double").alias("TotalPreDispatchCancelledGMV"),
+        F.when(cancelled, F.col("price")).otherwise(0).cast("double").alias("TotalCancelledOrderSKUPrice"))
+
+
+@query("actualized_commission")
+def q_actualized_commission(t):
+    return _items_orders_stops(t).select(
+        "order_id", "sku_id", F.col("commission_value").cast("double").alias("CommissionPercentage"),
+        _R.actualized_commission().alias("ActualizedCommissions"))
+
+
+@query("filter_delivered_real")
+def q_filter_delivered_real(t):
+    return (t["orders"].where(F.col("delivered_at").isNotNull() & (F.col("is_fake") == F.lit(False))
+                              & F.col("fulfilment_mode_id").isin(1, 2))
+            .select("id", "user_id", "status", "fulfilment_mode_id", "delivered_at"))
+
+
+@query("order_window_filter")
+def q_order_window_filter(t):
+    start, end = ORDER_WINDOW
+    o = t["orders"].where((F.col("created_at") >= ntz(start)) & (F.col("created_at") < ntz(end)))
+    s = t["stops"].select(F.col("id").alias("stop_ref"), "stop_status")
+    return (o.join(s, F.col("stop_id") == F.col("stop_ref"), "left")
+            .where(F.col("fulfilment_mode_id").isin(1, 2, 3) | (F.col("stop_status") == 5))
+            .select("id", "created_at", "fulfilment_mode_id", "stop_status"))
+
+
+@query("latest_transaction_per_stop")
+def q_latest_transaction_per_stop(t):
+    return order_mart.latest_transaction_per_stop(t["transaction_logs"]).select("id", "stop_id", "created_at")
+
+
+@query("retailer_best_profile")
+def q_retailer_best_profile(t):
+    return order_mart.best_retailer_profile(t["retailers"]).drop("store_type")
+
+
+@query("payment_pivot")
+def q_payment_pivot(t):
+    p = payment_pivot(t["order_payments"])
+    return p.select("order_id", *[F.col(c).cast("double").alias(c) for c in p.columns if c != "order_id"])
+
+
+def _sku_value(t):
+    return order_mart.order_sku_value(order_mart.order_items_dedup(t["order_items"]), t["orders"], t["stops"])
+
+
+@query("order_sku_value")
+def q_order_sku_value(t):
+    return _sku_value(t).select("order_id", "sku_id",
+                                F.col("totalpriceperordersku").cast("double").alias("totalpriceperordersku"))
+
+
+@query("order_value")
+def q_order_value(t):
+    return order_mart.order_value(_sku_value(t)).select(
+        "order_id", F.col("totalpriceperorder").cast("double").alias("totalpriceperorder"),
+        F.col("PunchedGMVForFakeFlag").cast("double").alias("PunchedGMVForFakeFlag"))
+
+
+@query("payment_apportion")
+def q_payment_apportion(t):
+    sv = _sku_value(t)
+    return order_mart.payment_apportion(sv, order_mart.order_value(sv), payment_pivot(t["order_payments"]))
+
+
+@query("order_denormalized")
+def q_order_denormalized(t):
+    start, end = ORDER_WINDOW
+    return order_mart.order_denormalized(t, start=start, end=end, exclusive_seller=EXCLUSIVE_SELLER)
