@@ -19,15 +19,16 @@ def _cols(names) -> list[Column]:
 
 
 def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
-                  rank_col: str | None = None) -> DataFrame:
+                  rank_col: str | None = None, drop_null_keys: bool = True) -> DataFrame:
     """Rows ranked 1..n per key by ``order`` (give a total order for determinism).
 
-    Rows whose key is NULL are dropped, matching the equality self-join they replace.
+    With ``drop_null_keys`` rows whose key is NULL are dropped (as the equality
+    self-join a rank filter replaces does); otherwise NULL keys form one group.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     name = rank_col or "_rank"
     out = df
-    for k in keys:
+    for k in keys if drop_null_keys else ():
         out = out.where(F.col(k).isNotNull())
     out = out.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
     return out if rank_col else out.drop(name)
@@ -67,6 +68,7 @@ def nth_latest_values(df: DataFrame, key: str, value: str, n: int, names: Sequen
 
     ``names[i]`` receives the (i+1)-th latest; missing ranks are NULL.
     """
-    ranked = top_n_per_key(df.select(key, value).distinct(), [key], [F.col(value).desc()], n, rank_col="_rank")
+    ranked = top_n_per_key(df.select(key, value).distinct(), [key], [F.col(value).desc()], n, rank_col="_rank",
+                           drop_null_keys=False)
     return ranked.groupBy(key).agg(*[
         F.max(F.when(F.col("_rank") == i + 1, F.col(value))).alias(names[i]) for i in range(n)])

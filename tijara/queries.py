@@ -238,3 +238,165 @@ def q_payment_apportion(t):
 def q_order_denormalized(t):
     start, end = ORDER_WINDOW
     return order_mart.order_denormalized(t, start=start, end=end, exclusive_seller=EXCLUSIVE_SELLER)
+
+
+# ---- catalogue --------------------------------------------------------------
+
+from tijara.operators.dims import category_descendants, category_parent, role  # noqa: E402
+from tijara.plans import audit_log, catalogue, retailer_performance, rfm  # noqa: E402
+from tijara.plans import dimensions as D  # noqa: E402
+from tijara.registry import AS_OF, AUDIT_CUT_DATE, AUDIT_MONTH, RFM_START, SURVEY_PATTERNS  # noqa: E402
+
+
+@query("commission_rate_card")
+def q_commission_rate_card(t):
+    return catalogue.commission_rate_card(t)
+
+
+@query("sku_catalogue")
+def q_sku_catalogue(t):
+    return catalogue.sku_catalogue(t)
+
+
+@query("category_parent_lookup")
+def q_category_parent_lookup(t):
+    return category_parent(t["categories"])
+
+
+@query("category_descend")
+def q_category_descend(t):
+    return category_descendants(t["categories"])
+
+
+# ---- joins ------------------------------------------------------------------
+
+
+@query("left_join_null_rejecting")
+def q_left_join_null_rejecting(t):
+    """Products' category paths kept only when the parent name names a category
+    (a left join filtered on the joined side is an inner join)."""
+    pc = t["product_categories"]
+    tree = F.broadcast(category_parent(t["categories"]).select(
+        F.col("category_id").alias("_cid"), F.col("category_name").alias("sub_category"),
+        F.col("parent_name").alias("category")))
+    by_name = F.broadcast(t["categories"].select(F.col("id").alias("matched_category_id"),
+                                                 F.col("name").alias("_mname")))
+    return (pc.join(tree, F.col("category_id") == F.col("_cid"), "left")
+            .join(by_name, F.col("category") == F.col("_mname"), "inner")
+            .select("product_id", "category_id", "sub_category", "category", "matched_category_id"))
+
+
+@query("order_item_enriched")
+def q_order_item_enriched(t):
+    items = t["order_items"].select("order_id", "sku_id")
+    e = (items.join(D.sku_catalogue_dim(t), F.col("sku_id") == F.col("sku_ref"), "left")
+         .join(D.seller_dim(t), F.col("sku_id") == F.col("psd_sku_id"), "left"))
+    return e.select("order_id", "sku_id", F.col("product_name").alias("SKU"), "sub_category_id", "sub_category",
+                    "category_id", "category", "seller_id", "seller_name", "supplier_city")
+
+
+@query("role_playing_dimension")
+def q_role_playing_dimension(t):
+    customers = role(t["users"], {"id": "_cu", "name": "customer_name", "refer_by": "_refer"})
+    signup = role(t["users"], {"id": "signup_agent_id", "name": "signup_agent_name"})
+    stops = t["stops"].select(F.col("id").alias("_stop"), F.col("route_id").alias("_route"))
+    routes = t["routes"].select(F.col("id").alias("_rid"), F.col("user_id").alias("_ruser"))
+    drivers = role(t["users"], {"id": "driver_id", "name": "driver_name"})
+    return (t["orders"].join(customers, F.col("_cu") == F.col("user_id"), "left")
+            .join(signup, F.col("signup_agent_id") == F.col("_refer"), "left")
+            .join(stops, F.col("_stop") == F.col("stop_id"), "left")
+            .join(routes, F.col("_rid") == F.col("_route"), "left")
+            .join(drivers, F.col("driver_id") == F.col("_ruser"), "left")
+            .select("id", "customer_name", "signup_agent_id", "signup_agent_name", "driver_id", "driver_name"))
+
+
+@query("cast_key_join")
+def q_cast_key_join(t):
+    return (t["orders"].join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
+            .select("id", "agent_id", "order_agent_id", "order_agent"))
+
+
+# ---- audit log ----------------------------------------------------------------
+
+
+@query("audit_message_filter")
+def q_audit_message_filter(t):
+    return audit_log.message_filter(t["activity_logs"]).select("event_id", "payload")
+
+
+@query("audit_log_typed")
+def q_audit_log_typed(t):
+    return audit_log.audit_log_typed(t["activity_logs"], AUDIT_MONTH)
+
+
+@query("audit_numeric_ids")
+def q_audit_numeric_ids(t):
+    return audit_log.audit_numeric_ids(t["activity_logs"])
+
+
+@query("audit_log_text")
+def q_audit_log_text(t):
+    return audit_log.audit_log_text(t["activity_logs"])
+
+
+@query("audit_log_since")
+def q_audit_log_since(t):
+    return audit_log.audit_log_since(t["activity_logs"], AUDIT_CUT_DATE)
+
+
+# ---- RFM ----------------------------------------------------------------------
+
+
+@query("quarter_calendar")
+def q_quarter_calendar(t):
+    """The calendar quarters of the RFM spine (the calendar as the report joins it)."""
+    spine = rfm.user_quarter_spine(rfm.quarter_metrics(item_facts.gmv_mart(t), RFM_START), RFM_START, AS_OF)
+    return spine.select("quarter", "first_day_of_quarter", "last_day_of_quarter").distinct()
+
+
+@query("rfm_quarter_metrics")
+def q_rfm_quarter_metrics(t):
+    return rfm.quarter_metrics(item_facts.gmv_mart(t), RFM_START)
+
+
+@query("quarter_user_spine")
+def q_quarter_user_spine(t):
+    return rfm.quarter_user_spine(item_facts.gmv_mart(t), RFM_START, AS_OF)
+
+
+@query("rfm_cumulative")
+def q_rfm_cumulative(t):
+    return rfm.cumulative(item_facts.gmv_mart(t), RFM_START, AS_OF)
+
+
+@query("rfm_report")
+def q_rfm_report(t):
+    return rfm.report(item_facts.gmv_mart(t), RFM_START, AS_OF)
+
+
+# ---- retailer performance ---------------------------------------------------------
+
+
+@query("last_two_order_dates")
+def q_last_two_order_dates(t):
+    return retailer_performance.last_two_order_dates(item_facts.gmv_mart(t))
+
+
+@query("customer_metrics")
+def q_customer_metrics(t):
+    return retailer_performance.customer_metrics(item_facts.gmv_mart(t))
+
+
+@query("latest_survey_answer")
+def q_latest_survey_answer(t):
+    return retailer_performance.latest_survey_answer(t["nps_results"], t["nps_surveys"], SURVEY_PATTERNS)
+
+
+@query("retailer_last3m_totals")
+def q_retailer_last3m_totals(t):
+    return retailer_performance.last3m_totals(item_facts.gmv_mart(t), AS_OF)
+
+
+@query("retailer_performance")
+def q_retailer_performance(t):
+    return retailer_performance.retailer_performance(t, item_facts.gmv_mart(t), as_of=AS_OF, patterns=SURVEY_PATTERNS)
