@@ -21,7 +21,7 @@ def _c(col) -> Column:
 
 def to_local(ts, offset_hours: int = LOCAL_OFFSET_HOURS) -> Column:
     """UTC timestamp -> local wall clock (``ts + interval N hours``)."""
-    return _c(ts) + F.make_dt_interval(hours=F.lit(offset_hours))
+    return _c(ts) + F.expr(f"INTERVAL {int(offset_hours)} HOURS")
 
 
 def local_date(ts, offset_hours: int = LOCAL_OFFSET_HOURS) -> Column:

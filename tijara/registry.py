@@ -34,8 +34,15 @@ def query(name: str):
     return deco
 
 
+_TABLES: dict[tuple[int, str], Tables] = {}
+
+
 def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
-    return TestTables(spark, sf_dir)
+    """Domain tables of one test directory, planned once per session (plans only, no data)."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = TestTables(spark, sf_dir)
+    return _TABLES[key]
 
 
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:

@@ -23,6 +23,9 @@ DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": "128m",
     # all timestamps are TIMESTAMP_NTZ; UTC keeps any LTZ literal stable
     "spark.sql.session.timeZone": "UTC",
+    # the jobs build plans of hundreds of Column expressions; per-call Python stack
+    # capture (error-context only) costs several JVM round trips per expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -61,6 +64,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -20,11 +20,11 @@ def _ntz(text: str) -> Column:
 
 
 def _hours(n: int) -> Column:
-    return F.make_dt_interval(hours=F.lit(n))
+    return F.expr(f"INTERVAL {int(n)} HOURS")
 
 
 def _days(n: int) -> Column:
-    return F.make_dt_interval(days=F.lit(n))
+    return F.expr(f"INTERVAL {int(n)} DAYS")
 
 
 def _money(c: str) -> Column:
@@ -39,9 +39,13 @@ class _Builder:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return load_raw(self.spark, self.dir, name)
+        # one scan node per raw table: file listing and footer reads happen once
+        if name not in self._raw:
+            self._raw[name] = load_raw(self.spark, self.dir, name)
+        return self._raw[name]
 
     # ---- order side -------------------------------------------------------
     def orders(self) -> DataFrame:
