@@ -40,14 +40,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local runs, tests) a scratch folder is set.
+    This is a static setting: it is read, never overridden. Only when the session
+    names none (local runs) a scratch folder is registered for this application.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
+    existing = spark.sparkContext.getCheckpointDir()
+    if existing:
+        return existing
     local = tempfile.mkdtemp(prefix="tijara-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 

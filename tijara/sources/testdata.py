@@ -149,13 +149,16 @@ class _Builder:
         )
 
     def retailers(self) -> DataFrame:
+        """Copy 0 of every customer plus copy 1 of even customers (two retailer rows per
+        even user)."""
         c = F.col("c_custkey")
-        copies = self.raw("region").where(F.col("r_regionkey") < 2).select(F.col("r_regionkey").alias("d"))
+        cust = self.raw("customer")
+        copies = cust.select("*", F.lit(0).alias("d")).unionByName(
+            cust.where(c % 2 == 0).select("*", F.lit(1).alias("d")))
         d = F.col("d")
-        base = self.raw("customer").crossJoin(F.broadcast(copies)).where((d == 0) | (c % 2 == 0))
         lat = F.when(c % 7 == 0, F.lit(None)).otherwise(F.col("c_nationkey") * 1.5).cast("double")
         lng = F.when(c % 7 == 0, F.lit(None)).otherwise(F.col("c_nationkey") * 2.5).cast("double")
-        return base.select(
+        return copies.select(
             c.alias("user_id"), d.cast("int").alias("copy_no"),
             F.when(c % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("+"), c.cast("string"))).alias("phone"),
             F.when((d == 1) & (c % 2 == 0), F.lit(None)).otherwise(F.concat(F.lit("Store "), F.col("c_name"))).alias("store_name"),
@@ -302,11 +305,15 @@ class _Builder:
             (1 + eid % 5).cast("int").alias("option_id"), (eid % 11).cast("int").alias("selected_option"))
 
     def nps_surveys(self) -> DataFrame:
+        """Survey x question x option grid: each option row (one per region) expands
+        into surveys 0-1 and questions 0-2 by generators; survey names by equi join."""
         r = self.raw("region")
-        a = r.where(F.col("r_regionkey") < 2).select(F.col("r_regionkey").alias("a"), F.col("r_name").alias("a_name"))
-        b = r.where(F.col("r_regionkey") < 3).select(F.col("r_regionkey").alias("b"))
-        c = r.select(F.col("r_regionkey").alias("c"), F.col("r_name").alias("c_name"))
-        grid = a.crossJoin(F.broadcast(b)).crossJoin(F.broadcast(c))
+        grid = r.select(F.col("r_regionkey").alias("c"), F.col("r_name").alias("c_name"),
+                        F.explode(F.array(F.lit(0), F.lit(1))).alias("a"),
+                        F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("b"))
+        names = F.broadcast(r.where(F.col("r_regionkey") < 2)
+                            .select(F.col("r_regionkey").alias("_a"), F.col("r_name").alias("a_name")))
+        grid = grid.join(names, F.col("a") == F.col("_a"), "inner")
         text = (F.when(F.col("b") == 0, "how likely are you to recommend us")
                 .when(F.col("b") == 1, "would you suggest us to other shops").otherwise("other question"))
         return grid.select(
