@@ -1,13 +1,12 @@
-"""Dimension joins: bounded code tables, role-playing tables, category tree, text keys.
-
-Broadcast policy: only *code tables* are broadcast by hint — statuses, modes, reasons,
-cities, areas, categories. Their row count is fixed by the business (a few
-thousand at most) and does not grow with order volume. Everything else (users,
-retailers, stops, routes, logs, SKUs) is joined without a hint and left to the
-planner: Spark broadcasts a side only when its estimated size is under
-``spark.sql.autoBroadcastJoinThreshold`` and AQE switches a sort-merge join to a
-broadcast join only after measuring the shuffled side, so the size check is Spark's
-own and the shuffle join remains the fallback.
+"""Dimension joins: lookup tables, role-playing tables, category tree, text keys.
+
+Broadcast policy: no join carries an unconditional broadcast hint. Spark
+broadcasts a side only when its size estimate is under
+``spark.sql.autoBroadcastJoinThreshold`` at planning time, or — with AQE — when the
+*measured* size of a shuffled side is under the adaptive threshold; above either
+check the sort-merge join stays. Lookup tables (statuses, cities, categories) pass
+those checks by being small; tables that grow with the business (users, SKUs,
+stops) fall back to shuffle joins when they are large.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ from pyspark.sql import functions as F
 
 
 def code_table(df: DataFrame) -> DataFrame:
-    """Mark a bounded code table for broadcast."""
-    return F.broadcast(df)
+    """Marks a lookup (code) table. Left to the planner's size checks; see module doc."""
+    return df
 
 
 def role(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
@@ -31,12 +30,10 @@ def role(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(src).alias(dst) for src, dst in columns.items()])
 
 
-def lookup(df: DataFrame, dim: DataFrame, left_key: str | Column, right_key: str, *, bounded: bool = False,
-           how: str = "left") -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, left_key: str | Column, right_key: str, how: str = "left") -> DataFrame:
     """``df LEFT JOIN dim ON df.left_key = dim.right_key`` keeping dim's other columns."""
-    right = code_table(dim) if bounded else dim
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
-    return df.join(right, lk == right[right_key], how)
+    return df.join(dim, lk == dim[right_key], how)
 
 
 def canonical_int_key(text: Column) -> Column:
@@ -71,3 +68,30 @@ def category_descendants(categories: DataFrame) -> DataFrame:
     return (top.join(sub, F.col("sub_parent") == F.col("category_id"), "left")
             .join(subsub, F.col("subsub_parent") == F.col("sub_id"), "left")
             .drop("sub_parent", "subsub_parent"))
+
+
+def left_join_fact(left: DataFrame, fact: DataFrame, left_key: str, fact_key: str,
+                   fact_keys: DataFrame | None = None) -> DataFrame:
+    """``left LEFT JOIN fact ON left.left_key = fact.fact_key`` for a fact table far larger
+    than ``left`` in which one key may hold a large share of the rows.
+
+    A left outer join can only split skewed partitions of its *left* side, and here the
+    hot key sits on the right. Written instead as
+
+        flagged = left LEFT JOIN distinct(fact keys)      -- keys aggregated map-side
+        flagged[has fact] INNER JOIN fact                 -- AQE may split either side
+        UNION ALL flagged[no fact] with NULL fact columns
+
+    Same rows as the left join. Both branches read the one ``flagged`` frame (its
+    exchanges are planned once and reused), the inner join shuffles only the fact,
+    and the union keeps the left key's hash partitioning for later GROUP BY / DISTINCT.
+    ``fact_keys`` (a frame with column ``fact_key``) gives a cheaper source of the
+    fact's keys than the full fact plan.
+    """
+    keys = ((fact_keys if fact_keys is not None else fact).select(F.col(fact_key).alias("_fact_key"))
+            .where(F.col("_fact_key").isNotNull()).distinct())
+    flagged = left.join(keys, F.col(left_key) == F.col("_fact_key"), "left")
+    matched = flagged.where(F.col("_fact_key").isNotNull()).join(fact, F.col(left_key) == F.col(fact_key), "inner")
+    unmatched = flagged.where(F.col("_fact_key").isNull()).select(
+        *[F.col(c) for c in flagged.columns], *[F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields])
+    return matched.unionByName(unmatched).drop("_fact_key")

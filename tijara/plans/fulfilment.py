@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tijara.functions import codes
 from tijara.functions.rules import guarded_ratio
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, to_local
-from tijara.operators.dims import code_table, role
+from tijara.operators.dims import code_table, left_join_fact, role
 from tijara.plans import dimensions as D
 from tijara.plans.item_facts import RULES, enrich_items, fulfilment_measures, items_of, real_delivered_orders
 
@@ -111,7 +111,7 @@ def _weighted_base(t, modes: Sequence[int], offset_hours: int) -> DataFrame:
             .join(log_rows, F.col("stop_id") == F.col("_log_stop"), "left")
             .join(agent_rows, F.col("id") == F.col("agent_order_key"), "left")
             .join(D.invoice_dim(t), F.col("id") == F.col("inv_order_id"), "left")
-            .join(items, F.col("id") == F.col("order_id"), "left"))
+            .transform(lambda o: left_join_fact(o, items, "id", "order_id", t["order_items"])))
     weight = (F.coalesce(F.col("_n_ret"), F.lit(1)) * F.coalesce(F.col("_n_log"), F.lit(1))
               * F.coalesce(F.col("_n_agent"), F.lit(1)))
     return base.withColumn("_w", weight)

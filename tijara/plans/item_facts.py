@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tijara.functions import codes
 from tijara.functions.rules import ItemCols, Rules
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, local_date, to_local
-from tijara.operators.dims import code_table, role
+from tijara.operators.dims import code_table, left_join_fact, role
 from tijara.plans import dimensions as D
 
 RULES = Rules(ItemCols())
@@ -59,7 +59,7 @@ def fulfilment_base(t, modes: Sequence[int] = (1, 2)) -> DataFrame:
             .join(_logs(t), F.col("stop_id") == F.col("log_stop_id"), "left")
             .join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
             .join(D.invoice_dim(t), F.col("id") == F.col("inv_order_id"), "left")
-            .join(items, F.col("id") == F.col("order_id"), "left"))
+            .transform(lambda o: left_join_fact(o, items, "id", "order_id", t["order_items"])))
 
 
 def fulfilment_measures(offset_hours: int = LOCAL_OFFSET_HOURS) -> list:
@@ -185,7 +185,7 @@ def dropship_base(t, *, modes: Sequence[int] = (3,), with_fanout_only_joins: boo
         base = (base.join(D.route_dim(t).select("stop_ref", "route_id"), F.col("stop_id") == F.col("stop_ref"), "left")
                 .join(_logs(t), F.col("stop_id") == F.col("log_stop_id"), "left"))
     return (base.join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
-            .join(items, F.col("id") == F.col("order_id"), "left"))
+            .transform(lambda o: left_join_fact(o, items, "id", "order_id", t["order_items"])))
 
 
 def dropship_item_facts(t, offset_hours: int = LOCAL_OFFSET_HOURS, *, money_as_double: bool = True,
@@ -214,7 +214,7 @@ def all_gmv(t, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
     items = items_of(t).join(cats, F.col("sku_id") == F.col("sku_ref"), "left")
     r = RULES
     return (o.join(stops, F.col("stop_id") == F.col("stop_ref"), "left")
-            .join(items, F.col("id") == F.col("order_id"), "left")
+            .transform(lambda x: left_join_fact(x, items, "id", "order_id", t["order_items"]))
             .select(F.col("id").alias("order_id"), "user_id", "sku_id", "fulfilment_mode_id",
                     F.col("status").alias("order_status_code"),
                     local_date("delivered_at", offset_hours).alias("System_Delivery_Date"),

@@ -23,7 +23,7 @@ from tijara.functions import codes
 from tijara.functions.rules import ItemCols, Rules
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, ntz, to_local
 from tijara.operators.apportion import apportion
-from tijara.operators.dims import category_parent, code_table, role
+from tijara.operators.dims import category_parent, code_table, left_join_fact, role
 from tijara.operators.keyed import best_by_score, completeness_score, latest_per_key
 from tijara.operators.pivot import payment_pivot
 from tijara.plans import dimensions as D
@@ -151,7 +151,7 @@ def order_denormalized(t, *, start: dt.datetime, end: dt.datetime, exclusive_sel
          .join(agents, F.col("id") == F.col("agent_order_key"), "left")
          .join(pivot, F.col("id") == F.col("_pay"), "left")
          .join(value, F.col("id") == F.col("_ov"), "left")
-         .join(lines, F.col("id") == F.col("order_id"), "left"))
+         .transform(lambda o: left_join_fact(o, lines, "id", "order_id", items)))
 
     part, whole = F.col("totalpriceperordersku"), F.col("totalpriceperorder")
     cancelled = F.col("status") == 6

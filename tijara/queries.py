@@ -118,7 +118,7 @@ def q_flag_and_tri_state(t):
     cities = t["cities"].select(F.col("id").alias("_city_ref"), "is_exclusive")
     psd = t["product_sku_details"].select(F.col("sku_id").alias("_psd_sku"), F.col("user_id").alias("_psd_user"))
     sup = t["suppliers"].select(F.col("user_id").alias("_sup_user"), "is_internal")
-    j = (_items_orders_stops(t).join(F.broadcast(cities), F.col("city_id") == F.col("_city_ref"), "left")
+    j = (_items_orders_stops(t).join(cities, F.col("city_id") == F.col("_city_ref"), "left")
          .join(psd, F.col("sku_id") == F.col("_psd_sku"), "left")
          .join(sup, F.col("_psd_user") == F.col("_sup_user"), "left"))
     return j.select("order_id", "sku_id",
@@ -276,11 +276,10 @@ def q_left_join_null_rejecting(t):
     """Products' category paths kept only when the parent name names a category
     (a left join filtered on the joined side is an inner join)."""
     pc = t["product_categories"]
-    tree = F.broadcast(category_parent(t["categories"]).select(
+    tree = (category_parent(t["categories"]).select(
         F.col("category_id").alias("_cid"), F.col("category_name").alias("sub_category"),
         F.col("parent_name").alias("category")))
-    by_name = F.broadcast(t["categories"].select(F.col("id").alias("matched_category_id"),
-                                                 F.col("name").alias("_mname")))
+    by_name = t["categories"].select(F.col("id").alias("matched_category_id"), F.col("name").alias("_mname"))
     return (pc.join(tree, F.col("category_id") == F.col("_cid"), "left")
             .join(by_name, F.col("category") == F.col("_mname"), "inner")
             .select("product_id", "category_id", "sub_category", "category", "matched_category_id"))

@@ -311,8 +311,8 @@ class _Builder:
         grid = r.select(F.col("r_regionkey").alias("c"), F.col("r_name").alias("c_name"),
                         F.explode(F.array(F.lit(0), F.lit(1))).alias("a"),
                         F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("b"))
-        names = F.broadcast(r.where(F.col("r_regionkey") < 2)
-                            .select(F.col("r_regionkey").alias("_a"), F.col("r_name").alias("a_name")))
+        names = (r.where(F.col("r_regionkey") < 2)
+                 .select(F.col("r_regionkey").alias("_a"), F.col("r_name").alias("a_name")))
         grid = grid.join(names, F.col("a") == F.col("_a"), "inner")
         text = (F.when(F.col("b") == 0, "how likely are you to recommend us")
                 .when(F.col("b") == 1, "would you suggest us to other shops").otherwise("other question"))
