@@ -78,20 +78,23 @@ def left_join_fact(left: DataFrame, fact: DataFrame, left_key: str, fact_key: st
     A left outer join can only split skewed partitions of its *left* side, and here the
     hot key sits on the right. Written instead as
 
-        flagged = left LEFT JOIN distinct(fact keys)      -- keys aggregated map-side
-        flagged[has fact] INNER JOIN fact                 -- AQE may split either side
-        UNION ALL flagged[no fact] with NULL fact columns
-
-    Same rows as the left join. Both branches read the one ``flagged`` frame (its
-    exchanges are planned once and reused), the inner join shuffles only the fact,
-    and the union keeps the left key's hash partitioning for later GROUP BY / DISTINCT.
-    ``fact_keys`` (a frame with column ``fact_key``) gives a cheaper source of the
-    fact's keys than the full fact plan.
+        keyed = left WHERE left_key IS NOT NULL
+        keyed INNER JOIN fact                                -- AQE may split either side
+        UNION ALL keyed LEFT ANTI JOIN distinct(fact keys)   -- keys aggregated map-side
+        UNION ALL left WHERE left_key IS NULL                -- never matches
+    (unmatched rows padded with NULL fact columns): the same rows as the left join.
+
+    Both large branches start from the same ``keyed`` plan (the explicit NOT NULL
+    filter equals the one the inner join infers), so its exchanges are planned once
+    and reused; the union keeps the key's hash partitioning for a later GROUP BY /
+    DISTINCT. ``fact_keys`` (a frame with column ``fact_key``) is a cheaper source of
+    the fact's keys than the full fact plan.
     """
+    keyed = left.where(F.col(left_key).isNotNull())
     keys = ((fact_keys if fact_keys is not None else fact).select(F.col(fact_key).alias("_fact_key"))
             .where(F.col("_fact_key").isNotNull()).distinct())
-    flagged = left.join(keys, F.col(left_key) == F.col("_fact_key"), "left")
-    matched = flagged.where(F.col("_fact_key").isNotNull()).join(fact, F.col(left_key) == F.col(fact_key), "inner")
-    unmatched = flagged.where(F.col("_fact_key").isNull()).select(
-        *[F.col(c) for c in flagged.columns], *[F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields])
-    return matched.unionByName(unmatched).drop("_fact_key")
+    matched = keyed.join(fact, F.col(left_key) == F.col(fact_key), "inner")
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields]
+    unmatched = keyed.join(keys, F.col(left_key) == F.col("_fact_key"), "left_anti").select(*left.columns, *pad)
+    null_keyed = left.where(F.col(left_key).isNull()).select(*left.columns, *pad)
+    return matched.unionByName(unmatched).unionByName(null_keyed)

@@ -53,13 +53,12 @@ def fulfilment_base(t, modes: Sequence[int] = (1, 2)) -> DataFrame:
     """Every joined row of the fulfilment item facts (all fan-out kept)."""
     orders = real_delivered_orders(t, modes)
     items = enrich_items(items_of(t), t)
-    # retailer copies per user and logs per stop fan out (kept: they are rows of the
-    # facts); joined skew-safe since one user or stop may hold a large share of them
+    # retailer copies per user and logs per stop fan out: those rows are the output
+    # itself (the aggregating funnel counts them instead, see plans.fulfilment)
     return (orders
-            .transform(lambda o: left_join_fact(o, D.retailer_dim(t), "user_id", "r_user_id",
-                                                t["retailers"].select(F.col("user_id").alias("r_user_id"))))
+            .join(D.retailer_dim(t), F.col("user_id") == F.col("r_user_id"), "left")
             .join(D.route_dim(t), F.col("stop_id") == F.col("stop_ref"), "left")
-            .transform(lambda o: left_join_fact(o, _logs(t), "stop_id", "log_stop_id"))
+            .join(_logs(t), F.col("stop_id") == F.col("log_stop_id"), "left")
             .join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
             .join(D.invoice_dim(t), F.col("id") == F.col("inv_order_id"), "left")
             .transform(lambda o: left_join_fact(o, items, "id", "order_id", t["order_items"])))
@@ -183,11 +182,10 @@ def dropship_base(t, *, modes: Sequence[int] = (3,), with_fanout_only_joins: boo
     reasons = code_table(role(t["cancellation_reasons"], {"id": "_cr_ref", "description": "cancel_reason"}))
     items = enrich_items(items_of(t), t, supplier_city=False)
     base = (orders.join(reasons, F.col("cancel_reason_id") == F.col("_cr_ref"), "left")
-            .transform(lambda o: left_join_fact(o, D.retailer_dim(t, with_city=True), "user_id", "r_user_id",
-                                                t["retailers"].select(F.col("user_id").alias("r_user_id")))))
+            .join(D.retailer_dim(t, with_city=True), F.col("user_id") == F.col("r_user_id"), "left"))
     if with_fanout_only_joins:
         base = (base.join(D.route_dim(t).select("stop_ref", "route_id"), F.col("stop_id") == F.col("stop_ref"), "left")
-                .transform(lambda o: left_join_fact(o, _logs(t), "stop_id", "log_stop_id")))
+                .join(_logs(t), F.col("stop_id") == F.col("log_stop_id"), "left"))
     return (base.join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
             .transform(lambda o: left_join_fact(o, items, "id", "order_id", t["order_items"])))
 
