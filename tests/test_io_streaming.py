@@ -36,3 +36,19 @@ def test_streaming_typed_extract_matches_batch(spark, small_tables, tmp_path):
     batch = audit_log.audit_log_typed(logs, 6)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_growth_marts_read_back_equal(spark, small_tables, tmp_path):
+    import datetime as dt
+
+    from tijara.plans import item_facts, rfm
+    from tijara.plans.marts import build_growth_marts
+
+    start, as_of = dt.date(1995, 1, 1), dt.date(2001, 8, 1)
+    build_growth_marts(spark, small_tables, "test_growth", start=start, as_of=as_of,
+                       survey_patterns=("recommend us",), root=str(tmp_path / "marts"))
+    written = spark.table("test_growth.rfm_report")
+    direct = rfm.report(item_facts.all_gmv(small_tables), start, as_of)
+    assert written.count() == direct.count()
+    assert written.exceptAll(direct.select(*written.columns)).count() == 0
+    assert spark.table("test_growth.retailer_performance").count() == small_tables["retailers"].count()

@@ -34,15 +34,19 @@ def query(name: str):
     return deco
 
 
-_TABLES: dict[tuple[int, str], Tables] = {}
+_TABLES: dict[tuple[int, str], tuple[SparkSession, Tables]] = {}
 
 
 def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
-    """Domain tables of one test directory, planned once per session (plans only, no data)."""
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _TABLES:
-        _TABLES[key] = TestTables(spark, sf_dir)
-    return _TABLES[key]
+    """Domain tables of one test directory, planned once per session (plans only, no data).
+
+    The cache holds the session object itself, so its id cannot be reused while cached.
+    """
+    key = (id(spark), sf_dir)
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _TABLES[key] = (spark, TestTables(spark, sf_dir))
+    return hit[1]
 
 
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
