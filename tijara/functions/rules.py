@@ -221,7 +221,3 @@ def guarded_ratio(num: Column, den: Column) -> Column:
 def safe_ratio(num: Column, den: Column) -> Column:
     """``SAFE_DIVIDE``: NULL when den is 0 or NULL."""
     return F.try_divide(num.cast("double"), den.cast("double"))
-
-
-def to_double(col: Column) -> Column:
-    return col.cast("double")

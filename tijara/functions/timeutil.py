@@ -29,10 +29,6 @@ def local_date(ts, offset_hours: int = LOCAL_OFFSET_HOURS) -> Column:
     return F.to_date(to_local(ts, offset_hours))
 
 
-def utc_bound(local: dt.datetime, offset_hours: int = LOCAL_OFFSET_HOURS) -> dt.datetime:
-    """A local-time bound moved to UTC, so the comparison can reach the scan."""
-    return local - dt.timedelta(hours=offset_hours)
-
 
 def ntz(value) -> Column:
     """Literal TIMESTAMP_NTZ (zone-free) from a datetime/date/text."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +18,3 @@ def apportion(part: Column, whole: Column, amount: Column) -> Column:
     """
     return (F.when(whole != 0, share(part, whole) * F.coalesce(amount, F.lit(0)).cast("double"))
             .otherwise(F.lit(0.0)))
-
-
-def apportion_all(part: Column, whole: Column, amounts: Mapping[str, Column]) -> list[Column]:
-    """``apportion`` for several amount columns; ``amounts`` maps output name -> amount."""
-    return [apportion(part, whole, amt).alias(name) for name, amt in amounts.items()]

@@ -30,11 +30,6 @@ def role(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(src).alias(dst) for src, dst in columns.items()])
 
 
-def lookup(df: DataFrame, dim: DataFrame, left_key: str | Column, right_key: str, how: str = "left") -> DataFrame:
-    """``df LEFT JOIN dim ON df.left_key = dim.right_key`` keeping dim's other columns."""
-    lk = F.col(left_key) if isinstance(left_key, str) else left_key
-    return df.join(dim, lk == dim[right_key], how)
-
 
 def canonical_int_key(text: Column) -> Column:
     """Integer key of a text id, NULL unless the text is exactly ``cast(int as text)``.

@@ -20,7 +20,7 @@ from tijara.functions.rules import guarded_ratio
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, to_local
 from tijara.operators.dims import code_table, left_join_fact, role
 from tijara.plans import dimensions as D
-from tijara.plans.item_facts import RULES, enrich_items, fulfilment_measures, items_of, real_delivered_orders
+from tijara.plans.item_facts import enrich_items, fulfilment_measures, items_of, real_delivered_orders
 
 # ---------------------------------------------------------------------------
 # returns discrepancy

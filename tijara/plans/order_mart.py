@@ -23,7 +23,7 @@ from tijara.functions import codes
 from tijara.functions.rules import ItemCols, Rules
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, ntz, to_local
 from tijara.operators.apportion import apportion
-from tijara.operators.dims import category_parent, code_table, left_join_fact, role
+from tijara.operators.dims import category_parent, code_table, left_join_fact
 from tijara.operators.keyed import best_by_score, completeness_score, latest_per_key
 from tijara.operators.pivot import payment_pivot
 from tijara.plans import dimensions as D

@@ -14,10 +14,6 @@ from tijara.functions.rules import safe_ratio
 from tijara.functions.timeutil import date_lit, quarter_end, quarter_label, quarter_start
 from tijara.operators.cumulative import first_period_counts, running
 
-METRIC_COLS = ("user_id", "quarter_from_system_delivery_date", "NMV", "delivered_orders", "AOV",
-               "months_of_orders_all_status", "unique_user_orders", "last_order_date", "first_order_date")
-
-
 def first_quarter_on_or_after(start: dt.date) -> Column:
     q = quarter_start(date_lit(start))
     return F.when(q < date_lit(start), F.add_months(q, 3)).otherwise(q)
