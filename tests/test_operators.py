@@ -156,3 +156,46 @@ def test_cumulative_matches_literal_form(spark):
         GROUP BY 1, 2, 3, 4""")
     assert fast == rows(literal)
     assert len(fast) == 8
+
+
+def test_left_join_fact_equals_left_join(spark):
+    from tijara.operators.dims import left_join_fact
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (3, "c"), (1, "a2")], "id int, tag string")
+    # key 1 is hot, 3 has no fact rows, NULL fact keys never match
+    fact = spark.createDataFrame([(1, 10)] * 50 + [(2, 20), (None, 99)], "order_id int, v int")
+    got = rows(left_join_fact(left, fact, "id", "order_id"))
+    want = rows(left.join(fact, left["id"] == fact["order_id"], "left"))
+    assert got == want and len(got) == 103
+
+
+def test_pivot_total_equals_input_total_over_known_modes(small_tables):
+    t = small_tables
+    pv = payment_pivot(t["order_payments"])
+    total_pivot = pv.select(sum(F.coalesce(F.col(f"amount_{m}"), F.lit(0)) for m in ("COD", "Finja", "BNPL", "Wallet"))
+                            .alias("s")).agg(F.sum("s")).first()[0]
+    total_in = (t["order_payments"].where(F.col("payment_types_id").isin(1, 2, 3, 4))
+                .agg(F.sum(F.coalesce("amount", F.lit(0)))).first()[0])
+    assert total_pivot == total_in
+
+
+def test_cumulative_last_quarter_equals_all_time(small_tables):
+    from tijara.plans import item_facts, rfm
+
+    start, as_of = dt.date(1995, 1, 1), dt.date(2003, 1, 1)   # calendar covers every fact
+    gmv = item_facts.all_gmv(small_tables)
+    last = (rfm.cumulative(gmv, start, as_of).where(F.col("first_day_of_quarter") == dt.date(2003, 1, 1))
+            .select("rfm_user_id", "Cumulative_delivered_orders", "Cumulative_unique_user_orders"))
+    all_time = (gmv.where(F.col("user_id").isNotNull())
+                .groupBy(F.col("user_id").alias("rfm_user_id"))
+                .agg(F.count_distinct("delivered_orders").alias("o"), F.count_distinct("System_Delivery_Date").alias("d")))
+    assert rows(last) == rows(all_time)
+
+
+def test_funnel_identities(small_tables):
+    from tijara.plans import fulfilment
+
+    f = fulfilment.fulfilment_funnel(small_tables)
+    bad = f.where(F.abs(F.col("Pre-Dispatch Cancellation") - (F.col("Total Punched GMV") - F.col("Ordered GMV"))) > 1e-6)
+    bad = bad.unionByName(f.where(F.abs(F.col("Unfulfilled") - (F.col("Ordered GMV") - F.col("Dispatched GMV"))) > 1e-6))
+    assert f.count() > 0 and bad.count() == 0
