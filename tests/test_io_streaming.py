@@ -52,3 +52,14 @@ def test_growth_marts_read_back_equal(spark, small_tables, tmp_path):
     assert written.count() == direct.count()
     assert written.exceptAll(direct.select(*written.columns)).count() == 0
     assert spark.table("test_growth.retailer_performance").count() == small_tables["retailers"].count()
+
+
+def test_gmv_mart_reads_prune_partitions(spark, small_tables, tmp_path):
+    import datetime as dt
+
+    from tijara.plans.marts import build_gmv_mart
+    from tijara.plans.retailer_performance import last3m_totals
+
+    t = build_gmv_mart(spark, small_tables, "test_gmv", path=str(tmp_path / "all_gmv"))
+    plan = last3m_totals(t["all_gmv"], dt.date(2001, 8, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(delivery_quarter" in plan and "delivery_quarter#" in plan

@@ -38,6 +38,9 @@ def ntz(value) -> Column:
 
 
 def date_lit(value) -> Column:
+    """A DATE from a date/datetime/ISO text (or a Column, cast)."""
+    if isinstance(value, Column):
+        return value.cast("date")
     if isinstance(value, (dt.date, dt.datetime)):
         value = value.isoformat()[:10]
     return F.lit(value).cast("date")

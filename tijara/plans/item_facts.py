@@ -228,6 +228,24 @@ def all_gmv(t, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
                     F.when(r.delivered(), F.col("id")).alias("delivered_orders")))
 
 
+GMV_PARTITION = "delivery_quarter"
+
+
 def gmv_mart(t) -> DataFrame:
     """``all_gmv`` from the tables when present (a persisted mart), else derived."""
     return t["all_gmv"] if "all_gmv" in t else all_gmv(t)
+
+
+def delivered_since(gmv: DataFrame, start) -> DataFrame:
+    """Facts with ``System_Delivery_Date >= start``.
+
+    On the persisted mart (partitioned by delivery quarter) the implied bound on the
+    partition column is added as well, so only the quarters from ``start`` on are listed
+    and read (partition pruning); on a derived frame it is the plain filter.
+    """
+    from tijara.functions.timeutil import date_lit, quarter_start
+
+    cond = F.col("System_Delivery_Date") >= date_lit(start)
+    if GMV_PARTITION in gmv.columns:
+        cond = cond & (F.col(GMV_PARTITION) >= quarter_start(date_lit(start)))
+    return gmv.where(cond)

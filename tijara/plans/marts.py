@@ -19,9 +19,10 @@ from tijara.sources.io import Tables, write_mart
 
 def build_gmv_mart(spark: SparkSession, t: Tables, schema: str, *, path: str | None = None) -> Tables:
     """Write ``all_gmv`` (partitioned by delivery quarter) and return tables that read it."""
-    gmv = item_facts.all_gmv(t).withColumn("delivery_quarter", rfm.quarter_start("System_Delivery_Date"))
-    write_mart(gmv, schema, "all_gmv", path=path, partition_by=["delivery_quarter"])
-    return t.with_table("all_gmv", spark.table(f"`{schema}`.`all_gmv`").drop("delivery_quarter"))
+    part = item_facts.GMV_PARTITION
+    gmv = item_facts.all_gmv(t).withColumn(part, rfm.quarter_start("System_Delivery_Date"))
+    write_mart(gmv, schema, "all_gmv", path=path, partition_by=[part])
+    return t.with_table("all_gmv", spark.table(f"`{schema}`.`all_gmv`"))
 
 
 def build_growth_marts(spark: SparkSession, t: Tables, schema: str, *, start: dt.date, as_of: dt.date,

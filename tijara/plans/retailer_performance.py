@@ -17,6 +17,7 @@ from tijara.functions.rules import safe_ratio
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, epoch_seconds_to_ntz, months_back, to_local
 from tijara.operators.dims import code_table, role
 from tijara.operators.keyed import nth_latest_values, top_n_per_key
+from tijara.plans.item_facts import delivered_since
 from tijara.plans.rfm import user_date_key
 
 DELIVERED = (4, 5)
@@ -69,7 +70,7 @@ def last3m_totals(gmv: DataFrame, as_of: dt.date) -> DataFrame:
     """Punched, net, dispatched, return and cancelled GMV since ``as_of`` - 3 months.
 
     Cancelled is NULL for a user without cancelled rows."""
-    recent = gmv.where(F.col("System_Delivery_Date") >= months_back(as_of, 3))
+    recent = delivered_since(gmv, months_back(as_of, 3))
     return recent.groupBy("user_id").agg(
         F.sum("Ordered_GMV").cast("double").alias("total_punched_GMV_last3months"),
         F.sum("Delivered_GMV").cast("double").alias("total_NMV_last3months"),

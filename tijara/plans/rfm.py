@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tijara.functions.rules import safe_ratio
 from tijara.functions.timeutil import date_lit, quarter_end, quarter_label, quarter_start
 from tijara.operators.cumulative import first_period_counts, running
+from tijara.plans.item_facts import delivered_since
 
 def first_quarter_on_or_after(start: dt.date) -> Column:
     q = quarter_start(date_lit(start))
@@ -38,7 +39,7 @@ def quarter_metrics(gmv: DataFrame, start: dt.date) -> DataFrame:
     """Per (user, quarter of delivery): NMV, delivered orders, AOV, active months, order days,
     last / first order date."""
     d = F.col("System_Delivery_Date")
-    facts = gmv.where(d >= date_lit(start))
+    facts = delivered_since(gmv, start)
     nmv = F.sum("Delivered_GMV")
     orders = F.count_distinct("delivered_orders")
     return facts.groupBy("user_id", quarter_start(d).alias("quarter_from_system_delivery_date")).agg(
@@ -74,7 +75,7 @@ def cumulative(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
     """To-date metrics at each quarter end per user (users without facts vanish)."""
     d = F.col("System_Delivery_Date")
     first_q = first_quarter_on_or_after(start)
-    facts = (gmv.where((d >= date_lit(start)) & F.col("user_id").isNotNull())
+    facts = (delivered_since(gmv, start).where(F.col("user_id").isNotNull())
              # facts dated before the first calendar quarter count from that quarter on
              .withColumn("_q", F.greatest(quarter_start(d), first_q)))
     per_q = facts.groupBy("user_id", "_q").agg(
