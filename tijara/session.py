@@ -30,9 +30,12 @@ DEFAULTS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply DEFAULTS where the session has no value of its own."""
+    """Apply DEFAULTS where the session has no value of its own.
+
+    Static settings (fixed when the application started) are left alone.
+    """
     for key, value in DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
+        if spark.conf.get(key, None) in (None, "") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 
