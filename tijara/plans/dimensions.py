@@ -86,10 +86,11 @@ def retailer_dim(t, *, retailers: DataFrame | None = None, with_city: bool = Fal
     return out
 
 
-def route_dim(t) -> DataFrame:
-    """Stop -> stop status, route -> route status, driver, route end. Keyed by ``stop_ref``."""
-    stops = t["stops"].select(F.col("id").alias("stop_ref"), F.col("stop_status"), F.col("route_id").alias("_stop_route"))
-    stop_status = code_table(role(t["stop_status"], {"id": "_ss_ref", "name": "stop_status_name"}))
+def route_level_dim(t) -> DataFrame:
+    """Route -> route status, driver user, route end (cash collection). Keyed by ``route_id``.
+
+    Built at route grain so the stop-grain frame meets all of it with one join on route id.
+    """
     routes = t["routes"].select(F.col("id").alias("route_id"), F.col("name").alias("route_name"),
                                 F.col("status").alias("_route_status"), F.col("user_id").alias("_route_user"),
                                 F.col("created_at").alias("route_created_at"),
@@ -97,12 +98,20 @@ def route_dim(t) -> DataFrame:
     route_status = code_table(role(t["route_status"], {"id": "_rs_ref", "name": "route_status_name"}))
     drivers = role(t["users"], {"id": "driver_id", "name": "driver_name", "mobile": "driver_mobile"})
     cash = t["cash_collection"].select(F.col("route_id").alias("_cash_route"), F.col("created_at").alias("route_end_at"))
-    return (stops.join(stop_status, F.col("_ss_ref") == F.col("stop_status"), "left")
-            .join(routes, F.col("route_id") == F.col("_stop_route"), "left")
-            .join(route_status, F.col("_rs_ref") == F.col("_route_status"), "left")
+    return (routes.join(route_status, F.col("_rs_ref") == F.col("_route_status"), "left")
             .join(drivers, F.col("driver_id") == F.col("_route_user"), "left")
             .join(cash, F.col("_cash_route") == F.col("route_id"), "left")
-            .drop("_ss_ref", "_stop_route", "_rs_ref", "_route_status", "_route_user", "_cash_route"))
+            .drop("_rs_ref", "_route_status", "_route_user", "_cash_route"))
+
+
+def route_dim(t) -> DataFrame:
+    """Stop -> stop status, then its route with route status, driver and route end.
+    Keyed by ``stop_ref``; one join of the stops on route id."""
+    stops = t["stops"].select(F.col("id").alias("stop_ref"), F.col("stop_status"), F.col("route_id").alias("_stop_route"))
+    stop_status = code_table(role(t["stop_status"], {"id": "_ss_ref", "name": "stop_status_name"}))
+    return (stops.join(stop_status, F.col("_ss_ref") == F.col("stop_status"), "left")
+            .join(route_level_dim(t), F.col("route_id") == F.col("_stop_route"), "left")
+            .drop("_ss_ref", "_stop_route"))
 
 
 def agent_dim(t) -> DataFrame:
