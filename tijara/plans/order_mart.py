@@ -116,23 +116,27 @@ def order_denormalized(t, *, start: dt.datetime, end: dt.datetime, exclusive_sel
     value = order_value(sku_value).select(F.col("order_id").alias("_ov"), "totalpriceperorder")
     pivot = payment_pivot(in_window(t["order_payments"])).withColumnRenamed("order_id", "_pay")
 
-    # SKU-level rows: item -> product, variant, product categories -> category tree, seller, supplier
+    # SKU-level rows: item -> product (with its categories and their parents), variant,
+    # SKU seller and supplier; product-keyed and SKU-keyed parts are pre-joined at their
+    # own grain so the items meet each with one join
     products = t["products"].select(F.col("id").alias("product_ref"), F.col("name").alias("product_name"))
-    variants = t["product_variants"].select(F.col("id").alias("variant_ref"), F.col("name").alias("variant_name"))
     bridge = t["product_categories"].select(F.col("product_id").alias("_pc_product"),
                                             F.col("category_id").alias("_pc_category"))
     tree = code_table(category_parent(t["categories"]).select(
         F.col("category_id").alias("_cat_ref"), F.col("category_name").alias("sub_category"),
         F.col("parent_name").alias("category")))
+    product_dim = (products.join(bridge, F.col("product_ref") == F.col("_pc_product"), "left")
+                   .join(tree, F.col("_pc_category") == F.col("_cat_ref"), "left")
+                   .select("product_ref", "product_name", "sub_category", "category"))
+    variants = t["product_variants"].select(F.col("id").alias("variant_ref"), F.col("name").alias("variant_name"))
+    suppliers = t["suppliers"].select(F.col("user_id").alias("_sup_user"), "is_internal")
+    sku_sellers = (D.seller_dim(t, with_supplier_city=False)
+                   .join(suppliers, F.col("psd_user_id") == F.col("_sup_user"), "left").drop("_sup_user"))
     skv = sku_value.select(F.col("order_id").alias("_sv_order"), F.col("sku_id").alias("_sv_sku"),
                            "totalpriceperordersku")
-    lines = (items.join(products, F.col("product_id") == F.col("product_ref"), "left")
+    lines = (items.join(product_dim, F.col("product_id") == F.col("product_ref"), "left")
              .join(variants, F.col("variant_id") == F.col("variant_ref"), "left")
-             .join(bridge, F.col("product_ref") == F.col("_pc_product"), "left")
-             .join(tree, F.col("_pc_category") == F.col("_cat_ref"), "left")
-             .join(D.seller_dim(t, with_supplier_city=False), F.col("sku_id") == F.col("psd_sku_id"), "left")
-             .join(t["suppliers"].select(F.col("user_id").alias("_sup_user"), "is_internal"),
-                   F.col("psd_user_id") == F.col("_sup_user"), "left")
+             .join(sku_sellers, F.col("sku_id") == F.col("psd_sku_id"), "left")
              .join(skv, (F.col("order_id") == F.col("_sv_order")) & (F.col("sku_id") == F.col("_sv_sku")), "left"))
 
     cities = code_table(t["cities"].select(F.col("id").alias("_city_ref"), F.col("name").alias("city_name"),
