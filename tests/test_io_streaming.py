@@ -63,3 +63,21 @@ def test_gmv_mart_reads_prune_partitions(spark, small_tables, tmp_path):
     t = build_gmv_mart(spark, small_tables, "test_gmv", path=str(tmp_path / "all_gmv"))
     plan = last3m_totals(t["all_gmv"], dt.date(2001, 8, 1))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(delivery_quarter" in plan and "delivery_quarter#" in plan
+
+
+def test_bucketed_tables_join_without_shuffle(spark, small_tables, tmp_path):
+    from pyspark.sql import functions as F
+
+    write_mart(small_tables["orders"], "test_bucket", "orders", path=str(tmp_path / "o"), bucket_by=(8, ["id"]))
+    write_mart(small_tables["order_items"].drop("id"), "test_bucket", "order_items", path=str(tmp_path / "i"),
+               bucket_by=(8, ["order_id"]))
+    o, i = spark.table("test_bucket.orders"), spark.table("test_bucket.order_items")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = o.join(i, F.col("id") == F.col("order_id"), "left")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == small_tables["orders"].join(small_tables["order_items"].drop("id"),
+                                                        F.col("id") == F.col("order_id"), "left").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -70,17 +70,24 @@ def load_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def write_mart(df: DataFrame, schema: str, name: str, *, path: str | None = None,
-               partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
+               partition_by: list[str] | None = None, bucket_by: tuple[int, list[str]] | None = None,
+               mode: str = "overwrite") -> None:
     """Sink a mart into a named schema (``config(schema=...)`` of the source models).
 
     Column names with spaces or symbols are kept: parquet stores them as-is.
     ``path`` makes it an external table (the form used in tests without a metastore).
+    ``partition_by`` lets date filters prune directories; ``bucket_by=(n, cols)`` stores
+    the table hash-bucketed so joins / aggregations on ``cols`` with another table
+    bucketed the same way read co-located buckets without a shuffle.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
     writer = df.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        n, cols = bucket_by
+        writer = writer.bucketBy(n, *cols).sortBy(*cols)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(f"`{schema}`.`{name}`")
