@@ -81,3 +81,19 @@ def test_bucketed_tables_join_without_shuffle(spark, small_tables, tmp_path):
                                                         F.col("id") == F.col("order_id"), "left").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_membership_and_override(spark, small_tables, tmp_path):
+    from tijara.plans.item_facts import gmv_mart
+    from tijara.sources.io import CatalogTables
+
+    small_tables["stops"].write.parquet(str(tmp_path / "stops"))
+    pt = ParquetTables(spark, str(tmp_path))
+    assert "stops" in pt and "all_gmv" not in pt
+    marker = small_tables["stops"].limit(0)
+    over = pt.with_table("all_gmv", marker)
+    assert "all_gmv" in over and "stops" in over and "nope" not in over
+    assert gmv_mart(over) is marker                       # a persisted mart is preferred over deriving
+    write_mart(small_tables["cities"], "test_cat", "cities", path=str(tmp_path / "cities_tbl"))
+    ct = CatalogTables(spark, "test_cat")
+    assert "cities" in ct and "orders" not in ct and ct["cities"].count() == small_tables["cities"].count()

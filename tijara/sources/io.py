@@ -12,15 +12,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
 class Tables(Mapping):
-    """Lazy, memoised name -> DataFrame mapping (each name is planned once)."""
+    """Lazy, memoised name -> DataFrame mapping (each name is planned once).
 
-    def __init__(self, factory: Callable[[str], DataFrame], names: list[str] | None = None):
+    ``names`` lists the tables when known up front; otherwise ``exists(name)`` answers
+    ``name in tables`` (catalog lookup, path check).
+    """
+
+    def __init__(self, factory: Callable[[str], DataFrame], names: list[str] | None = None,
+                 exists: Callable[[str], bool] | None = None):
         self._factory = factory
         self._names = names
+        self._exists = exists
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -31,37 +38,48 @@ class Tables(Mapping):
     def __contains__(self, name: object) -> bool:
         if name in self._cache:
             return True
-        return self._names is not None and name in self._names
+        if self._names is not None:
+            return name in self._names
+        return bool(self._exists and self._exists(name))
 
     def __iter__(self):
-        return iter(self._names or list(self._cache))
+        return iter(self._names if self._names is not None else list(self._cache))
 
     def __len__(self) -> int:
-        return len(self._names or self._cache)
+        return len(self._names if self._names is not None else self._cache)
 
     def with_table(self, name: str, df: DataFrame) -> "Tables":
         """Same mapping with one name bound to a given DataFrame (e.g. a derived mart)."""
         base = self
-
-        def factory(n: str) -> DataFrame:
-            return df if n == name else base[n]
-
-        names = list(self._names or []) + ([name] if self._names is not None and name not in self._names else [])
-        return Tables(factory, names or None)
+        names = None if self._names is None else sorted(set(self._names) | {name})
+        return Tables(lambda n: df if n == name else base[n], names, lambda n: n == name or n in base)
 
 
 def CatalogTables(spark: SparkSession, database: str | None = None) -> Tables:
     def load(name: str) -> DataFrame:
         return spark.table(f"{database}.{name}" if database else name)
 
-    return Tables(load)
+    def exists(name: str) -> bool:
+        return spark.catalog.tableExists(f"{database}.{name}" if database else name)
+
+    return Tables(load, exists=exists)
 
 
 def ParquetTables(spark: SparkSession, root: str) -> Tables:
+    def path(name: str) -> str:
+        return f"{root.rstrip('/')}/{name}"
+
     def load(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+        return spark.read.parquet(path(name))
+
+    def exists(name: str) -> bool:
+        try:
+            load(name)
+            return True
+        except AnalysisException:
+            return False
 
-    return Tables(load)
+    return Tables(load, exists=exists)
 
 
 def load_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
