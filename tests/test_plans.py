@@ -67,3 +67,37 @@ def test_funnel_aggregates_without_extra_exchange_on_order_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_fact_key_is_split_by_aqe(spark):
+    """One order key holding most fact rows: the inner branch of ``left_join_fact`` is
+    skew-split by AQE at run time; a plain left join with the hot key on its right side
+    is not (Spark can only split the preserved side of an outer join)."""
+    from pyspark.sql import functions as F
+
+    from tijara.operators.dims import left_join_fact
+
+    orders = spark.range(0, 2000).select(F.col("id").alias("oid"), (F.col("id") % 7).alias("x"))
+    items = spark.range(0, 60000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise(F.col("id") % 2000).alias("order_id"),  # key 1: 80% of rows
+        F.col("id").alias("item"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        safe = left_join_fact(orders, items, "oid", "order_id")
+        plain = orders.join(items, F.col("oid") == F.col("order_id"), "left")
+        # execute the frames themselves so their adaptive plans are final
+        assert len(safe.collect()) == len(plain.collect()) == 60000 + 1599   # matched + orders without items
+        safe_plan = safe._jdf.queryExecution().executedPlan().toString()
+        plain_plan = plain._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in safe_plan and "isFinalPlan=true" in plain_plan
+        assert "skew=true" in safe_plan
+        assert "skew=true" not in plain_plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
