@@ -78,11 +78,13 @@ def cumulative(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
     facts = (delivered_since(gmv, start).where(F.col("user_id").isNotNull())
              # facts dated before the first calendar quarter count from that quarter on
              .withColumn("_q", F.greatest(quarter_start(d), first_q)))
+    # a date lies in exactly one (clamped) quarter, so its days are new in that quarter;
+    # an order may span dates, so orders are credited to their first quarter
     per_q = facts.groupBy("user_id", "_q").agg(
         F.sum("Delivered_GMV").alias("_nmv"), F.max(d).alias("_last"), F.min(d).alias("_first"),
+        F.count_distinct(d).alias("_new_days"),
         F.count(F.lit(1)).alias("_rows"), F.count("Delivered_GMV").alias("_valued"))
     new_orders = first_period_counts(facts, "user_id", "_q", F.col("delivered_orders"), "_new_orders")
-    new_days = first_period_counts(facts, "user_id", "_q", d, "_new_days")
     users = facts.groupBy(F.col("user_id").alias("rfm_user_id")).agg(F.count(F.lit(1)).alias("_all_rows"))
     spine = users.select("rfm_user_id", "_all_rows",
                          F.explode(quarter_days(start, as_of)).alias("first_day_of_quarter"))
@@ -91,8 +93,7 @@ def cumulative(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
         return (F.col("rfm_user_id") == df["user_id"]) & (F.col("first_day_of_quarter") == df["_q"])
 
     j = (spine.join(per_q, on(per_q), "left").drop("user_id", "_q")
-         .join(new_orders, on(new_orders), "left").drop("user_id", "_q")
-         .join(new_days, on(new_days), "left").drop("user_id", "_q"))
+         .join(new_orders, on(new_orders), "left").drop("user_id", "_q"))
     r = running(j, "rfm_user_id", "first_day_of_quarter",
                 sums={"_c_nmv": "_nmv", "_c_orders": "_new_orders", "_c_days": "_new_days",
                       "_c_rows": "_rows", "_c_valued": "_valued"},
