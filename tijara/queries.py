@@ -4,8 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tijara.plans import fulfilment, item_facts, monthly_gmv
-from tijara.registry import SIZE_THRESHOLD, query
+from tijara.functions import codes
+from tijara.functions.rules import ItemCols, Rules
+from tijara.functions.timeutil import local_date, ntz, to_local
+from tijara.operators.dims import category_descendants, category_parent, role
+from tijara.operators.pivot import payment_pivot
+from tijara.plans import audit_log, catalogue, fulfilment, item_facts, monthly_gmv, order_mart, retailer_performance, rfm
+from tijara.plans import dimensions as D
+from tijara.registry import (AS_OF, AUDIT_CUT_DATE, AUDIT_MONTH, EXCLUSIVE_SELLER, ORDER_WINDOW, RFM_START,
+                             SIZE_THRESHOLD, SURVEY_PATTERNS, query)
 
 # ---- drop-ship monthly GMV ------------------------------------------------
 
@@ -60,12 +67,6 @@ def q_fulfilment_top_n(t):
 
 # ---- order mart and its parts ---------------------------------------------
 
-from tijara.functions import codes  # noqa: E402
-from tijara.functions.rules import ItemCols, Rules  # noqa: E402
-from tijara.functions.timeutil import local_date, ntz, to_local  # noqa: E402
-from tijara.operators.pivot import payment_pivot  # noqa: E402
-from tijara.plans import order_mart  # noqa: E402
-from tijara.registry import EXCLUSIVE_SELLER, ORDER_WINDOW  # noqa: E402
 
 _R = Rules(ItemCols())
 
@@ -242,11 +243,6 @@ def q_order_denormalized(t):
 
 # ---- catalogue --------------------------------------------------------------
 
-from tijara.operators.dims import category_descendants, category_parent, role  # noqa: E402
-from tijara.plans import audit_log, catalogue, retailer_performance, rfm  # noqa: E402
-from tijara.plans import dimensions as D  # noqa: E402
-from tijara.registry import AS_OF, AUDIT_CUT_DATE, AUDIT_MONTH, RFM_START, SURVEY_PATTERNS  # noqa: E402
-
 
 @query("commission_rate_card")
 def q_commission_rate_card(t):
