@@ -31,16 +31,25 @@ def last_two_order_dates(gmv: DataFrame) -> DataFrame:
 
 
 def customer_metrics(gmv: DataFrame) -> DataFrame:
-    """Categories bought (distinct, sorted, comma-separated), order days, AOV, first delivered date."""
+    """Categories bought (distinct, sorted, comma-separated), order days, AOV, first delivered date.
+
+    The distinct counts are planned as Spark's expand-and-aggregate rewrite (distinct values
+    spread over the shuffle, so a hot user is not one in-memory set); the category list is
+    its own hash aggregate (bounded by the number of categories) joined back per user —
+    mixed into the distinct rewrite it would force a sort-based aggregation.
+    """
     cats = F.array_sort(F.collect_set("Category"))
     nmv = F.sum("Delivered_GMV")
     orders = F.count_distinct("delivered_orders")
     d = F.col("System_Delivery_Date")
-    return gmv.groupBy("user_id").agg(
-        F.when(F.size(cats) > 0, F.array_join(cats, ", ")).alias("categories"),
+    category_list = gmv.groupBy(F.col("user_id").alias("_cu")).agg(
+        F.when(F.size(cats) > 0, F.array_join(cats, ", ")).alias("categories"))
+    counts = gmv.groupBy("user_id").agg(
         F.count_distinct(user_date_key(F.col("user_id"), d)).alias("unique_user_orders"),
         safe_ratio(nmv, orders).alias("AOV"),
         F.min(F.when(F.col("order_status_code").isin(*DELIVERED), d)).alias("first_order_date"))
+    return (counts.join(category_list, F.col("user_id").eqNullSafe(F.col("_cu")), "inner")
+            .select("user_id", "categories", "unique_user_orders", "AOV", "first_order_date"))
 
 
 def survey_answers(results: DataFrame, surveys: DataFrame, patterns: Sequence[str]) -> DataFrame:
