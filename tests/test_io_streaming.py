@@ -97,3 +97,19 @@ def test_tables_membership_and_override(spark, small_tables, tmp_path):
     write_mart(small_tables["cities"], "test_cat", "cities", path=str(tmp_path / "cities_tbl"))
     ct = CatalogTables(spark, "test_cat")
     assert "cities" in ct and "orders" not in ct and ct["cities"].count() == small_tables["cities"].count()
+
+
+def test_cli_writes_mart(spark, small_tables, tmp_path):
+    from tijara.__main__ import main
+
+    root = tmp_path / "domain"
+    for name in ("orders", "order_items", "product_sku", "products", "product_categories", "categories",
+                 "retailers", "users", "cities", "areas", "sub_areas", "stops", "stop_status", "routes",
+                 "route_status", "transaction_logs", "cash_collection", "orders_agents", "product_sku_details",
+                 "cancellation_reasons"):
+        small_tables[name].write.parquet(str(root / name))
+    main(["monthly-gmv", "--parquet-root", str(root), "--schema", "test_cli", "--path-root", str(tmp_path / "out")])
+    from tijara.plans.monthly_gmv import monthly_delivered_gmv
+
+    written = spark.table("test_cli.monthly_delivered_gmv")
+    assert sorted(written.collect()) == sorted(monthly_delivered_gmv(small_tables).collect())
