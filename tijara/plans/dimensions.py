@@ -104,26 +104,31 @@ def route_level_dim(t) -> DataFrame:
             .drop("_rs_ref", "_route_status", "_route_user", "_cash_route"))
 
 
-def route_dim(t) -> DataFrame:
+def route_dim(t, stops: DataFrame | None = None) -> DataFrame:
     """Stop -> stop status, then its route with route status, driver and route end.
-    Keyed by ``stop_ref``; one join of the stops on route id."""
-    stops = t["stops"].select(F.col("id").alias("stop_ref"), F.col("stop_status"), F.col("route_id").alias("_stop_route"))
+    Keyed by ``stop_ref``; one join of the stops on route id. ``stops`` restricts the
+    stops (default: all)."""
+    stops = (stops if stops is not None else t["stops"]).select(
+        F.col("id").alias("stop_ref"), F.col("stop_status"), F.col("route_id").alias("_stop_route"))
     stop_status = code_table(role(t["stop_status"], {"id": "_ss_ref", "name": "stop_status_name"}))
     return (stops.join(stop_status, F.col("_ss_ref") == F.col("stop_status"), "left")
             .join(route_level_dim(t), F.col("route_id") == F.col("_stop_route"), "left")
             .drop("_ss_ref", "_stop_route"))
 
 
-def agent_dim(t) -> DataFrame:
+def agent_dim(t, order_ids: DataFrame | None = None) -> DataFrame:
     """Order -> order agent user, keyed by the integer order id (``agent_order_key``).
 
     The bridge stores ids as text and is matched as ``text = cast(id as text)``;
     ``canonical_int_key`` keeps exactly the rows that can match, keyed by integer.
+    ``order_ids`` (one column ``_oid``) restricts it to those orders.
     """
     bridge = t["orders_agents"].select(canonical_int_key(F.col("order_id")).alias("agent_order_key"),
                                        F.col("agent_id"), canonical_int_key(F.col("agent_id")).alias("_agent_key"))
     agents = role(t["users"], {"id": "order_agent_id", "name": "order_agent"})
     matched = bridge.where(F.col("agent_order_key").isNotNull())
+    if order_ids is not None:
+        matched = matched.join(order_ids, F.col("agent_order_key") == F.col("_oid"), "left_semi")
     return (matched.join(agents, F.col("order_agent_id") == F.col("_agent_key"), "left").drop("_agent_key"))
 
 

@@ -141,11 +141,17 @@ def order_denormalized(t, *, start: dt.datetime, end: dt.datetime, exclusive_sel
 
     cities = code_table(t["cities"].select(F.col("id").alias("_city_ref"), F.col("name").alias("city_name"),
                                            "is_exclusive"))
-    retailers = D.retailer_dim(t, retailers=best_retailer_profile(t["retailers"]))
-    route = D.route_dim(t)
-    logs = latest_transaction_per_stop(t["transaction_logs"]).select(
+    # per-key dimensions are computed for the window's keys only (exact: each key's
+    # value depends on its own rows), so their cost follows the window, not the history
+    window_users = orders.select(F.col("user_id").alias("_wu"))
+    window_stops = orders.select(F.col("stop_id").alias("_ws"))
+    retailers = D.retailer_dim(t, retailers=best_retailer_profile(
+        t["retailers"].join(window_users, F.col("user_id") == F.col("_wu"), "left_semi")))
+    route = D.route_dim(t, stops=t["stops"].join(window_stops, F.col("id") == F.col("_ws"), "left_semi"))
+    logs = latest_transaction_per_stop(
+        t["transaction_logs"].join(window_stops, F.col("stop_id") == F.col("_ws"), "left_semi")).select(
         F.col("id").alias("log_id"), F.col("stop_id").alias("_log_stop"), F.col("created_at").alias("log_created_at"))
-    agents = D.agent_dim(t)
+    agents = D.agent_dim(t, order_ids=window_ids.select(F.col("_wid").alias("_oid")))
 
     j = (orders.join(cities, F.col("city_id") == F.col("_city_ref"), "left")
          .join(retailers, F.col("user_id") == F.col("r_user_id"), "left")
