@@ -132,3 +132,13 @@ def test_streaming_since_extract_matches_batch(spark, small_tables, tmp_path):
     batch = audit_log.audit_log_since(logs, cut)
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_configure_leaves_static_settings_alone(spark):
+    from tijara.session import DEFAULTS, configure
+
+    for key in DEFAULTS:
+        if not spark.conf.isModifiable(key):
+            assert key == "spark.python.sql.dataFrameDebugging.enabled"
+    configure(spark)                      # must not try to set a static setting
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
