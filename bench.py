@@ -27,7 +27,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tijara.registry import QUERIES, all_queries, tables_for  # noqa: E402
-from tijara.session import get_session  # noqa: E402
+from tijara.session import local_session  # noqa: E402
 from tijara.sources.io import ParquetTables  # noqa: E402
 
 HEADLINE = ("monthly_delivered_gmv", "order_denormalized", "fulfilment_reconciled", "rfm_report",
@@ -50,7 +50,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = list(sys.argv[1:]) or list(HEADLINE)
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus * 2)
+    spark = local_session(f"local[{cpus}]", shuffle_partitions=cpus * 2)
     qs = all_queries()
 
     # setup: domain tables as parquet (a new scratch folder per run)

@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from bench import HEADLINE  # noqa: E402
 from tijara.registry import all_queries  # noqa: E402
-from tijara.session import get_session  # noqa: E402
+from tijara.session import local_session  # noqa: E402
 
 NODES = ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct",
          "HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "WindowGroupLimit", "Union",
@@ -51,7 +51,7 @@ def summarise(name, df):
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = get_session("local[8]", 16)
+    spark = local_session("local[8]", 16)
     qs = all_queries()
     lines = ["# Final physical plans of the headline jobs", "",
              f"Generated by `scripts/plan_report.py` on `{sf_dir}` (local[8], AQE on). Counts are plan nodes "

@@ -12,9 +12,9 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from tijara.session import get_session
+    from tijara.session import local_session
 
-    s = get_session("local[4]", shuffle_partitions=8)
+    s = local_session("local[4]", shuffle_partitions=8)
     # a cluster names a shared checkpoint folder; only where none is named do tests set one
     if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))

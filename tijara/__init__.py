@@ -9,6 +9,6 @@ plans/      the composite data jobs (order mart, fulfilment funnel, monthly GMV,
 streaming/  incremental (Structured Streaming) runner for the stateless audit-log extract
 """
 
-from tijara.session import get_session
+from tijara.session import local_session
 
-__all__ = ["get_session"]
+__all__ = ["local_session"]

@@ -1,7 +1,7 @@
 """Spark session defaults for the jobs.
 
-On a cluster the session is created by the platform; ``configure`` only fills
-settings that are unset, so cluster-level choices always win.
+A submitted job takes the session as the cluster set it up; ``configure`` only fills settings
+that are unset. Only ``local_session`` (tests, bench) sizes anything to the machine.
 """
 
 from __future__ import annotations
@@ -43,33 +43,34 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    This is a static setting: it is read, never overridden. Only when the session
-    names none (local runs) a scratch folder is registered for this application.
+    This is a static setting: it is read, never overridden. Where the session names none, a
+    single-machine ``local[...]`` run gets a scratch folder; on a cluster that is an error,
+    because a machine-local folder would be invisible to the other machines.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    existing = spark.sparkContext.getCheckpointDir()
-    if existing:
-        return existing
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tijara-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """Session for local runs and tests (cluster jobs receive theirs)."""
-    builder = SparkSession.builder.appName("tijara")
-    if master:
-        builder = builder.master(master)
-    cpus = os.cpu_count() or 8
+def job_session(name: str = "tijara") -> SparkSession:
+    """Session of a submitted job: every setting of the submit stays, DEFAULTS fill what is unset."""
+    return configure(SparkSession.builder.appName(name).getOrCreate())
+
+
+def local_session(master: str = "local[*]", shuffle_partitions: int | None = None) -> SparkSession:
+    """Single-machine session for tests and the bench, sized to its cores."""
     builder = (
-        builder.config("spark.ui.enabled", "false")
+        SparkSession.builder.appName("tijara").master(master)
+        .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or os.cpu_count() or 8))
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
