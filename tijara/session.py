@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +59,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, once (they need not have it installed)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tijara_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tijara-package-"), "tijara-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._tijara_shipped = True
+
+
 def job_session(name: str = "tijara") -> SparkSession:
     """Session of a submitted job: every setting of the submit stays, DEFAULTS fill what is unset."""
     return configure(SparkSession.builder.appName(name).getOrCreate())
