@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tijara.session import checkpoint_dir
+from tijara.session import checkpoint_dir, ship_package
 
 SLICE_BYTES = 4 << 20  # text bytes handled at once by a Python task
 SLICE_ROWS = 2000
@@ -21,6 +21,7 @@ def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts_of(docs: DataFrame) -> DataFrame:
     """(doc_id, text) of every row; a null text counts as empty."""
+    ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 

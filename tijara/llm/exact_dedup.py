@@ -168,12 +168,11 @@ def snapshot_filters(rows: DataFrame, shards: int) -> DataFrame:
 def exact_groups(docs: DataFrame, snapshot: Column) -> tuple[DataFrame, DataFrame]:
     """Digest rows (doc_id, sha) and groups (sha, keep_id, size) of equal texts.
 
-    ``snapshot`` numbers the immutable snapshot a row belongs to; null marks the incoming batch.
+    ``snapshot`` (an expression over doc_id and text) numbers the immutable snapshot a row belongs to;
+    null marks the incoming batch.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                        snapshot.cast("int").alias("snapshot"))
-    rows = stored(texts.mapInArrow(_digest_rows, "doc_id bigint, sha binary, snapshot int"), "digests")
+    numbered = texts_of(docs).withColumn("snapshot", snapshot.cast("int"))
+    rows = stored(numbered.mapInArrow(_digest_rows, "doc_id bigint, sha binary, snapshot int"), "digests")
     totals = (F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("size"))
     known = rows.where("snapshot is not null").groupBy("sha").agg(*totals)
     incoming = stored(rows.where("snapshot is null").groupBy("sha").agg(*totals), "incoming")
@@ -190,7 +189,7 @@ def exact_groups(docs: DataFrame, snapshot: Column) -> tuple[DataFrame, DataFram
     groups = stored(merged.unionByName(screened.where("not hit").drop("hit")), "groups")
 
     # byte check: rows of repeated digests are grouped by their whole bytes
-    repeated = texts.drop("snapshot").mapInArrow(_digest_texts, "doc_id bigint, sha binary, bytes binary").join(
+    repeated = texts_of(docs).mapInArrow(_digest_texts, "doc_id bigint, sha binary, bytes binary").join(
         groups.where("size > 1").select("sha"), "sha", "left_semi")
     by_bytes = repeated.groupBy("sha", "bytes").agg(*totals)
     checked = by_bytes.groupBy("sha").agg(F.max("keep_id").alias("keep_id"), F.sum("size").alias("size"),
