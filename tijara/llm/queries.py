@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from tijara.llm import exact_dedup
+from tijara.llm import bpe_codec, exact_dedup, license_scan, secret_scan, token_counts
 
 QUERIES = {
+    "op2_license_scan": license_scan.op2_license_scan,
+    "op3_token_counts": token_counts.op3_token_counts,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
+    "op9_bpe_codec": bpe_codec.op9_bpe_codec,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
