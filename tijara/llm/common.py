@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in pieces of about SLICE_BYTES of ``column``; one row is never cut."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if i > start and (total + n > SLICE_BYTES or i - start >= SLICE_ROWS):
