@@ -4,8 +4,8 @@ Spark counts the corpus's words (all texts; map-side combined), the most frequen
 and compiled into a minimal acyclic automaton: words with equal endings share their states, and the
 numbers on the arcs of a word's path add up to its ordinal, which leads to its token ids. The
 arrays are shipped as one file (bounded by ``lexicon_words``), memory-mapped by every Python worker,
-and walked for all distinct words of a slice of texts at once. Words outside it are merged exactly
-by the tokenizer itself.
+and walked for all distinct words of a slice of texts at once. Words outside it are merged
+exactly, all of a slice at once.
 
 A word here is a piece of text that the tokenizer never joins with its neighbours: texts are cut
 before a single blank or line break between two visible characters (and after such a line break),
@@ -23,20 +23,21 @@ import json
 import os
 import re
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tijara.llm.common import read_documents, slices, texts_of
+from tijara.llm.common import read_documents, slices, stored, texts_of
 
 LEXICON_WORDS = 1 << 16
-MEMO_WORDS = 200_000  # merged unseen words that a Python worker remembers (speed only)
 COUNT_WORDS = 300_000  # distinct words a task counts before it hands partial counts on
 
 # visible characters of ASCII, Latin-1 and Latin Extended-A/B: none is white space
@@ -44,8 +45,63 @@ _V = "[!-~¡-ɏ]"
 _CUT = re.compile(f"(?<={_V})(?=[ \n]{_V})|(?<={_V}\n)(?={_V})")
 
 
+# the tokenizer's own splitting, for text of the characters above
+_PIECES = regex.compile(public_tokenizers.PATTERN)
+_OTHER = re.compile("[^ \n!-~¡-ɏ]")
+_PLAIN = re.compile("[ ]?[^ \n]+|\n")
+
+
 def words_of(text: str) -> list[str]:
-    return _CUT.split(text) if text else []
+    """The text cut into words; joined they give the text again.
+
+    A text of visible characters with single blanks and line breaks between them (the usual case)
+    takes a faster pattern with the same result.
+    """
+    if not text:
+        return []
+    if (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+            or _OTHER.search(text)):
+        return _CUT.split(text)
+    return _PLAIN.findall(text)
+
+
+class KeyTable:
+    """Positions of distinct 64-bit keys, found for whole arrays (open addressing, load under 1/8)."""
+
+    EMPTY = np.int64(-1)
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(8, int(len(keys) * 8).bit_length())
+        self.keys = np.full(1 << self.bits, self.EMPTY, np.int64)
+        self.at = np.zeros(1 << self.bits, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] == self.EMPTY
+            _, one = np.unique(slot[free], return_index=True)  # one key for each free slot
+            took = np.flatnonzero(free)[one]
+            self.keys[slot[took]], self.at[slot[took]] = keys[left[took]], left[took]
+            rest = np.ones(len(left), bool)
+            rest[took] = False
+            left, slot = left[rest], (slot[rest] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, -1 for others."""
+        out = np.full(len(keys), -1, np.int64)
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        hit = there == keys
+        out[hit] = self.at[slot[hit]]
+        open_ = np.flatnonzero(~hit & (there != self.EMPTY))
+        while len(open_):
+            slot_ = slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
+            there = self.keys[slot_]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.at[slot_[hit]]
+            open_ = open_[~hit & (there != self.EMPTY)]
+        return out
 
 
 # ---- the transducer ------------------------------------------------------------------------------
@@ -59,6 +115,7 @@ class Transducer:
 
     def __init__(self, arc_key: np.ndarray, arc_to: np.ndarray, arc_add: np.ndarray, final: np.ndarray):
         self.arc_key, self.arc_to, self.arc_add, self.final = arc_key, arc_to, arc_add, final
+        self.arcs = KeyTable(arc_key)
 
     @classmethod
     def compile(cls, words: list[bytes]) -> Transducer:
@@ -121,8 +178,8 @@ class Transducer:
             out[live[done]] = total[done]
             live, state, total = live[~ended], state[~ended], total[~ended]
             key = state << 8 | text[begin[live] + step]
-            arc = np.minimum(np.searchsorted(self.arc_key, key), len(self.arc_key) - 1)
-            ok = self.arc_key[arc] == key
+            arc = self.arcs.find(key)
+            ok = arc >= 0
             live, state, total = live[ok], self.arc_to[arc[ok]].astype(np.int64), total[ok] + self.arc_add[arc[ok]]
             step += 1
         return out
@@ -178,14 +235,66 @@ class Lexicon:
 
 # ---- encoding and decoding in a worker -------------------------------------------------------------
 
-def token_bytes(content: str) -> list[bytes]:
-    """Bytes of each id: byte-level token strings spelled back, added tokens as they stand."""
-    spec = json.loads(content)
-    # the byte-level alphabet: printable Latin-1 characters stand for themselves, the other bytes
-    # for the characters from 256 on, in order
+def byte_alphabet() -> dict[str, int]:
+    """The byte-level alphabet: printable Latin-1 characters stand for themselves, the other bytes
+    for the characters from 256 on, in order."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     other = [b for b in range(256) if b not in plain]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
+
+
+class Merger:
+    """The tokenizer's merges applied to many pieces at once.
+
+    In every round each piece merges all places of its pair of lowest rank, left to right; a merge
+    never makes a pair of lower rank, so this equals merging one place at a time.
+    """
+
+    def __init__(self, spec: dict):
+        vocab, byte_of = spec["model"]["vocab"], byte_alphabet()
+        self.first = np.zeros(256, np.int64)
+        for c, b in byte_of.items():
+            self.first[b] = vocab[c]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        self.ranks = KeyTable(np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64))  # position = rank
+        self.to = np.array([vocab[a + b] for a, b in pairs], np.int64)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece as little-endian 32-bit integers."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        piece = np.repeat(np.arange(len(pieces)), size)
+        ids = self.first[np.frombuffer(b"".join(pieces), np.uint8)]
+        none = len(self.to)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            pair = ids[:-1] << 32 | ids[1:]
+            at = self.ranks.find(pair)
+            rank = np.append(np.where((at >= 0) & (piece[1:] == piece[:-1]), at, none), none)
+            starts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+            least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(ids))))
+            over = least == none
+            done.append((piece[over], ids[over]))
+            chosen = (rank == least) & ~over
+            # of neighbouring places (a pair of equal symbols) every second one merges
+            run = np.flatnonzero(chosen)
+            begin = np.append(True, np.diff(run) != 1) if len(run) else np.zeros(0, bool)
+            nth = np.arange(len(run)) - np.maximum.accumulate(np.where(begin, np.arange(len(run)), 0))
+            run = run[nth % 2 == 0]
+            ids[run] = self.to[rank[run]]
+            keep = ~over
+            keep[run + 1] = False
+            ids, piece = ids[keep], piece[keep]
+        piece = np.concatenate([p for p, _ in done]) if done else piece
+        ids = np.concatenate([i for _, i in done]) if done else ids
+        order = np.argsort(piece, kind="stable")
+        ends = 4 * np.cumsum(np.bincount(piece, minlength=len(pieces)))
+        blob = ids[order].astype("<u4").tobytes()
+        return [blob[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist(), strict=False)]
+
+
+def token_bytes(content: str) -> list[bytes]:
+    """Bytes of each id: byte-level token strings spelled back, added tokens as they stand."""
+    spec, byte_of = json.loads(content), byte_alphabet()
     table = {i: bytes(byte_of[c] for c in t) for t, i in spec["model"]["vocab"].items()}
     table |= {a["id"]: a["content"].encode() for a in spec["added_tokens"]}
     return [table.get(i, b"") for i in range(max(table) + 1)]
@@ -207,7 +316,26 @@ class Codec:
     def __init__(self, content: str, lexicon: Lexicon):
         self.tokenizer, self.lexicon = load_tokenizer(content), lexicon
         self.bytes_of = token_bytes(content)
-        self.merged: dict[str, bytes] = {}
+        spec = json.loads(content)
+        self.merger = Merger(spec)
+        self.special = re.compile("|".join([_OTHER.pattern, *(re.escape(a["content"]) for a in spec["added_tokens"])]))
+
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words outside the lexicon: their pieces by the merger. Words with characters whose
+        Unicode class may differ between libraries, or with added tokens, go to the library itself."""
+        plain = [w for w in words if not self.special.search(w)]
+        split = [_PIECES.findall(w) for w in plain]
+        pieces = list(dict.fromkeys(p for ps in split for p in ps))
+        encoded = [p.encode() for p in pieces]
+        ids = dict(zip(pieces, self.lexicon.lookup(encoded), strict=True))
+        new = [p for p, found in ids.items() if found is None]
+        for p, i in zip(new, self.merger.merge([p.encode() for p in new]), strict=True):
+            ids[p] = i
+        out = {w: b"".join([ids[p] for p in ps]) for w, ps in zip(plain, split, strict=True)}
+        rest = [w for w in words if w not in out]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[w] = np.array(e.ids, "<u4").tobytes()
+        return [out[w] for w in words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -215,13 +343,7 @@ class Codec:
         words = list(dict.fromkeys(w for ws in split for w in ws))
         ids = dict(zip(words, self.lexicon.lookup([w.encode() for w in words]), strict=True))
         unseen = [w for w, found in ids.items() if found is None]
-        if len(self.merged) > MEMO_WORDS:
-            self.merged.clear()
-        new = [w for w in unseen if w not in self.merged]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.merged[w] = np.array(e.ids, "<u4").tobytes()
-        for w in unseen:
-            ids[w] = self.merged[w]
+        ids.update(zip(unseen, self.merged(unseen), strict=True))
         return [b"".join(map(ids.__getitem__, ws)) for ws in split]
 
     def decode(self, ids: bytes) -> str:
@@ -257,10 +379,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_words(docs: DataFrame, n: int) -> list[str]:
-    """The ``n`` most frequent words of all texts (ties: the smaller word); n bounds what is collected."""
+    """The most frequent words of all texts, at most ``n``: words of one count come all or not at all."""
     counted = texts_of(docs).select("text").mapInArrow(_count_words, "word string, n bigint")
-    total = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in total.orderBy(F.desc("n"), "word").limit(n).select("word").collect()]
+    total = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # the count that leaves at most n words above it, from the histogram of counts
+    w = Window.orderBy(F.desc("n"))
+    steps = total.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("above", F.sum("words").over(w))
+    least = steps.where(F.col("above") <= n).agg(F.min("n")).first()[0]
+    return [] if least is None else [r.word for r in total.where(F.col("n") >= least).select("word").collect()]
 
 
 def build_lexicon(words: list[str], content: str) -> Lexicon:
@@ -270,12 +396,10 @@ def build_lexicon(words: list[str], content: str) -> Lexicon:
 
 def ship_lexicon(spark: SparkSession, lexicon: Lexicon) -> str:
     """Name under which every worker finds the lexicon's file (Spark fetches it to each executor)."""
-    folder = tempfile.mkdtemp(prefix="tijara-lexicon-")
-    path = f"{folder}/scratch"
+    name = f"lexicon-{uuid.uuid4().hex}"
+    path = f"{tempfile.mkdtemp(prefix='tijara-lexicon-')}/{name}"
     lexicon.save(path)
-    name = f"lexicon-{hashlib.sha256(open(path, 'rb').read()).hexdigest()[:24]}"
-    os.rename(path, f"{folder}/{name}")
-    spark.sparkContext.addFile(f"{folder}/{name}")
+    spark.sparkContext.addFile(path)
     return name
 
 
