@@ -10,11 +10,15 @@ n - ceil(t n) + 1 ones, so:
    Shingles that one node alone holds are dropped by a count.
 3. Lists of (shingle, size class) hold what can link: sizes must be within t, so a node goes to its
    own size class and the next one.
-4. Every list's nodes are verified against the list's leader: pairs in proportion to the postings,
-   however large a group of near copies is. Verified links give components.
-5. What remains: pairs of a list whose nodes lie in different components, after length and position
-   filters. They are verified exactly too, so no link between different components is lost; pairs
-   inside a component could not change the result.
+4. Star: every node is verified against one node, its group's first or the leader that most of its
+   lists share, then against the other leaders whose component still differs. That is a few pairs per
+   node, however large a family of near copies is. Verified links give components.
+5. Rest: pairs of a list whose nodes still lie in different components, after length, position and
+   parity filters, are all verified, so no link between components is lost; pairs inside one
+   component could not change the result.
+
+Pairs are verified on whole sets. Before that each pair must pass the parity filter, which is exact:
+two sets differ in at least as many shingles as their 1024 parity bits differ.
 
 No list is collected anywhere, and no cap applies: lists of unrelated nodes keep all their pairs.
 
@@ -36,37 +40,35 @@ from pyspark.sql import functions as F
 
 from tijara.llm.common import read_documents, slices, stored, texts_of, utf8
 from tijara.llm.components import components
-from tijara.llm.shingles import WordHashes, in_order, shingle_levels, shingle_set
+from tijara.llm.shingles import WordHashes, in_order, parity_bits, shingle_levels, shingle_sets
 
-PAIRS = "u bigint, v bigint"
+PARITY = 1024
 
 
 def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), sig (128-bit hash of the set), prefix (its first shingles in order)."""
+    """doc_id, n (set size), sig (128-bit hash of the set), prefix (its first shingles in order), bits."""
     levels = texts.sparkSession.sparkContext.broadcast(shingle_levels(texts, k))  # 64 KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in slices(batches):
-            n, sig, prefix = [], [], []
-            for t in utf8(batch):
-                s = shingle_set(words, t, k)
-                n.append(len(s))
-                sig.append(xxhash.xxh128_digest(s.tobytes()))
-                first = len(s) - (-(-percent * len(s) // 100)) + 1 if len(s) else 0
-                prefix.append(in_order(s, levels.value)[:first].view(np.int64))
+            sets = shingle_sets(words, utf8(batch), k)
+            first = [len(s) - (-(-percent * len(s) // 100)) + 1 if len(s) else 0 for s in sets]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()), "sig": pa.array(sig, pa.binary()),
-                "prefix": pa.array(prefix, pa.list_(pa.int64()))})
+                "doc_id": batch.column("doc_id"), "n": pa.array(map(len, sets), pa.int64()),
+                "sig": pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
+                "prefix": pa.array([in_order(s, levels.value)[:p].view(np.int64) for s, p in zip(sets, first, strict=True)],
+                                   pa.list_(pa.int64())),
+                "bits": pa.array([parity_bits(s, PARITY) for s in sets], pa.list_(pa.int64()))})
 
-    return texts.mapInArrow(run, "doc_id bigint, n bigint, sig binary, prefix array<bigint>")
+    return texts.mapInArrow(run, "doc_id bigint, n bigint, sig binary, prefix array<bigint>, bits array<bigint>")
 
 
 def _full_sets(texts: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in slices(batches):
-            found = [shingle_set(words, t, k) for t in utf8(batch)]
+            found = shingle_sets(words, utf8(batch), k)
             yield pa.RecordBatch.from_pydict({
                 "id": batch.column("doc_id"), "sig": pa.array([xxhash.xxh128_digest(s.tobytes()) for s in found], pa.binary()),
                 "shingles": pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))})
@@ -74,80 +76,97 @@ def _full_sets(texts: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(run, "id bigint, sig binary, shingles array<bigint>")
 
 
-def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _may_link(nx: Column, ny: Column, bx: Column, by: Column, percent: int) -> Column:
+    """Size and parity filters; false only for pairs that can't link."""
+    differ = sum((F.bit_count(bx[i].bitwiseXOR(by[i])) for i in range(PARITY // 64)), F.lit(0))
+    return ((100 * F.least(nx, ny) >= percent * F.greatest(nx, ny))
+            & ((100 + percent) * (nx + ny - differ) >= 2 * percent * (nx + ny)))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among ``pairs`` (u, v) by the whole sets."""
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("su"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv"))
-    common = pairs.join(left, "u").join(right, "v").select(
+def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among ``pairs`` (u, v): the filters first, then the whole sets."""
+    light = [nodes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{x}")) for x in "uv"]
+    likely = pairs.where("u != v").join(light[0], "u").join(light[1], "v").where(
+        _may_link(F.col("nu"), F.col("nv"), F.col("bu"), F.col("bv"), percent)).select("u", "v")
+    whole = [sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "uv"]
+    common = stored(likely, "likely").join(whole[0], "u").join(whole[1], "v").select(
         "u", "v", F.size(F.array_intersect("su", "sv")).cast("bigint").alias("common"),
         (F.size("su") + F.size("sv")).cast("bigint").alias("total"))
-    return common.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select(
-        F.col("u").alias("a"), F.col("v").alias("b"))
+    return stored(common.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select(
+        F.col("u").alias("a"), F.col("v").alias("b")), "verified")
+
+
+def _placed(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """``nodes`` with their component so far."""
+    return stored(nodes.join(found, nodes["id"] == found["node"], "left").select(
+        *nodes.columns, F.coalesce("component", "id").alias("component")), "placed")
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     texts = texts_of(docs)
     rows = stored(_sets(texts, k, percent), "sets")
-    nodes = stored(rows.where("n > 0 and doc_id is not null").groupBy("n", "sig").agg(
-        F.min("doc_id").alias("id"), F.max("prefix").alias("prefix"))
+    every = stored(rows.where("n > 0 and doc_id is not null").groupBy("n", "sig").agg(
+        F.min("doc_id").alias("id"), F.max("prefix").alias("prefix"), F.max("bits").alias("bits"))
         .withColumn("prefix_key", F.xxhash64("prefix")), "nodes")
 
     # groups of nodes with equal size and prefix; the smallest id names the group
-    groups = nodes.groupBy("n", "prefix_key").agg(F.min("id").alias("group"), F.count(F.lit(1)).alias("members"),
-                                                  F.max("prefix").alias("prefix"))
-    groups = stored(groups, "groups")
+    groups = stored(every.groupBy("n", "prefix_key").agg(F.min("id").alias("group"), F.count(F.lit(1)).alias("members"),
+                                                         F.max("prefix").alias("prefix")), "groups")
     postings = groups.select("group", "n", "members", F.posexplode("prefix").alias("pos", "shingle"))
     shared = stored(postings.groupBy("shingle").agg(F.sum("members").alias("holders")).where("holders > 1").select("shingle"),
                     "shared")
-    step = math.log(100 / percent)
-    size_class = F.floor(F.log("n") / step).cast("int")
+    size_class = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
     lists = stored(postings.join(shared, "shingle").select(
         "shingle", "group", "n", "pos", F.explode(F.array(size_class, size_class + 1)).alias("class")), "lists")
-    member = nodes.join(groups.select("n", "prefix_key", "group"), ["n", "prefix_key"]).select("id", "sig", "group")
-    member = stored(member.join(lists.select("group").distinct(), "group", "left_semi"), "members")
-    sets = stored(_full_sets(texts, k).join(member.select("id", "sig"), ["id", "sig"], "left_semi")
-                  .dropDuplicates(["id", "sig"]).select("id", "shingles"), "candidate_sets")
-
-    # every list against its leader, and every group against its own first node
-    lead = lists.groupBy("shingle", "class").agg(F.min(F.struct("group", "n")).alias("first")).select(
-        "shingle", "class", F.col("first.group").alias("leader"), F.col("first.n").alias("leader_n"))
-    led = lists.join(lead, ["shingle", "class"]).where(_similar_sizes(F.col("n"), F.col("leader_n"), percent))
-    led = led.select("group", "leader").distinct()
-    star = member.join(led, "group").select(F.col("id").alias("u"), F.col("leader").alias("v")).unionByName(
-        member.select(F.col("id").alias("u"), F.col("group").alias("v")))
-    star = stored(star.where("u != v").distinct(), "star")
-    links = stored(_verified(star, sets, percent), "star_links")
-    found = stored(components(links), "star_components")
-
-    # pairs of a list that are not yet in one component
-    placed = stored(member.join(found, member["id"] == found["node"], "left").select(
-        "group", "id", F.coalesce("component", "id").alias("component")), "placed")
+    nodes = stored(every.join(groups.select("n", "prefix_key", "group"), ["n", "prefix_key"])
+                   .join(lists.select("group").distinct(), "group", "left_semi").select("id", "sig", "group", "n", "bits"), "members")
+    wanted = nodes.select(F.col("id").alias("doc_id")).distinct()
+    sets = stored(_full_sets(texts.join(wanted, "doc_id", "left_semi"), k)
+                  .join(nodes.select("id", "sig"), ["id", "sig"], "left_semi").dropDuplicates(["id", "sig"])
+                  .select("id", "shingles"), "candidate_sets")
+
+    # star, first step: each node against its group's first node, or that against its commonest leader
+    lead = stored(lists.groupBy("shingle", "class").agg(F.min("group").alias("leader")), "leaders")
+    led = stored(lists.join(lead, ["shingle", "class"]).where("group != leader").groupBy("group", "leader").agg(
+        F.count(F.lit(1)).alias("times")), "led")
+    best = led.groupBy("group").agg(F.max(F.struct("times", (-F.col("leader")).alias("leader"))).alias("best")).select(
+        F.col("group").alias("u"), (-F.col("best.leader")).alias("v"))
+    pairs = nodes.select(F.col("id").alias("u"), F.col("group").alias("v")).unionByName(best)
+    links = _verified(pairs, nodes, sets, percent)
+    found = components(links)
+    # second step: against the other leaders, where the component still differs
+    placed = _placed(nodes, found)
+    where = placed.select(F.col("id").alias("leader"), F.col("component").alias("lead_component")).distinct()
+    pairs = placed.join(led, "group").join(where, "leader").where("component != lead_component").select(
+        F.col("id").alias("u"), F.col("leader").alias("v")).distinct()
+    tried = stored(pairs, "tried")
+    links = links.unionByName(_verified(tried, nodes, sets, percent))
+    found = components(links)
+
+    # the rest: pairs of a list that are not yet in one component
+    placed = _placed(nodes, found)
     spread = placed.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_lists = lists.join(spread, "group").groupBy("shingle", "class").agg(
         F.min("low").alias("low"), F.max("high").alias("high")).where("low != high").select("shingle", "class")
-    entries = lists.join(open_lists, ["shingle", "class"]).join(placed, "group")
-    main = lead.join(placed.select(F.col("id").alias("leader"), F.col("component").alias("main")).distinct(), "leader").select(
-        "shingle", "class", "main")
-    entries = stored(entries.join(main, ["shingle", "class"]), "entries")
+    main = lead.join(placed.select(F.col("id").alias("leader"), F.col("component").alias("main")).distinct(), "leader").drop("leader")
+    entries = stored(lists.drop("n").join(open_lists, ["shingle", "class"]).join(main, ["shingle", "class"]).join(
+        placed.drop("sig"), "group"), "entries")
     x, y = entries.where("component != main").alias("x"), entries.alias("y")
     nx, ny, px, py = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
-    most = F.least(px, py) + 1 + F.least(nx - px, ny - py) - 1  # shared shingles, given this one's places
+    most = F.least(px, py) + F.least(nx - px, ny - py)  # shared shingles, given this one's places
     rest = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") == F.col("y.class"))
                   & (F.col("x.component") != F.col("y.component"))
                   & ((F.col("x.id") < F.col("y.id")) | (F.col("y.component") == F.col("y.main")))
-                  & _similar_sizes(nx, ny, percent) & ((100 + percent) * most >= percent * (nx + ny)))
+                  & ((100 + percent) * most >= percent * (nx + ny))
+                  & _may_link(nx, ny, F.col("x.bits"), F.col("y.bits"), percent))
     rest = rest.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
-    known = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    more = _verified(rest.join(known, ["u", "v"], "left_anti"), sets, percent)
-    joined = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    known = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    links = links.unionByName(_verified(rest.join(known, ["u", "v"], "left_anti"), nodes, sets, percent))
+    found = components(links)
 
     # rows -> node of their set -> component
-    ids = nodes.select("n", "sig", "id").join(joined, F.col("id") == F.col("node"), "left").select(
+    ids = every.select("n", "sig", "id").join(found, F.col("id") == F.col("node"), "left").select(
         "n", "sig", F.coalesce("component", "id").alias("component_id"))
     linked = rows.where("n > 0 and doc_id is not null").join(ids, ["n", "sig"]).select("doc_id", "n", "component_id")
     alone = rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))

@@ -37,26 +37,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of k words, in order; fewer words: one hash of all; none: none."""
-    n = len(h)
-    if not n:
-        return h
-    k = min(k, n)
-    out = np.full(n - k + 1, k, np.uint64)
+def shingle_hashes(words: WordHashes, texts: list[bytes], k: int) -> list[np.ndarray]:
+    """Each text's shingle hashes, in order and with repeats: runs of k words between ASCII white
+    space, A-Z lower-cased; one hash of all words if they are fewer; none without words."""
+    split = [t.lower().split() for t in texts]
+    size = np.fromiter(map(len, split), np.int64, len(split))
+    h = words.of([w for ws in split for w in ws])
+    runs = np.full(max(0, len(h) - k + 1), k, np.uint64)
     for i in range(k):
-        out = mix(out + h[i:n - k + 1 + i])
+        runs = mix(runs + h[i:i + len(runs)])
+    out = []
+    for end, n in zip(np.cumsum(size).tolist(), size.tolist(), strict=True):
+        if n >= k or not n:
+            out.append(runs[end - n:end - n + max(0, n - k + 1)])
+            continue
+        short = np.full(1, n, np.uint64)
+        for x in h[end - n:end]:
+            short = mix(short + x)
+        out.append(short)
     return out
 
 
-def shingle_set(words: WordHashes, text: bytes, k: int) -> np.ndarray:
-    """The text's distinct shingles, ascending: words between ASCII white space, A-Z lower-cased."""
-    return np.unique(shingle_hashes(words.of(text.lower().split()), k))
+def shingle_sets(words: WordHashes, texts: list[bytes], k: int) -> list[np.ndarray]:
+    """Each text's distinct shingles, ascending."""
+    return [np.unique(h) for h in shingle_hashes(words, texts, k)]
 
 
 def shingle_levels(texts: DataFrame, k: int) -> np.ndarray:
-    """For each of SLOTS hash slots, how far the number of documents' shingles in it exceeds the
-    average: 0 up to twice, then steps of half a doubling (uint8).
+    """For each of SLOTS hash slots, how far the number of shingles in it exceeds the average: 0 up to twice, then steps of half a doubling (uint8).
 
     Counted over all texts. A shingle that occurs in a noticeable share of documents lifts its slot
     at any size of the corpus, so sorting by (level, hash) puts common shingles last.
@@ -64,8 +72,8 @@ def shingle_levels(texts: DataFrame, k: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, total = WordHashes(), np.zeros(SLOTS, np.int64)
         for batch in slices(batches):
-            found = [shingle_set(words, t, k) >> _SHIFT for t in utf8(batch)]
-            total += np.bincount(np.concatenate(found).astype(np.int64), minlength=SLOTS)
+            found = np.concatenate(shingle_hashes(words, utf8(batch), k)) >> _SHIFT
+            total += np.bincount(found.astype(np.int64), minlength=SLOTS)
         slot = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"slot": pa.array(slot, pa.int64()), "n": pa.array(total[slot], pa.int64())})
 
@@ -77,5 +85,14 @@ def shingle_levels(texts: DataFrame, k: int) -> np.ndarray:
 
 
 def in_order(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Shingles by (level, hash): the one order that all documents' prefixes follow."""
-    return shingles[np.lexsort((shingles, levels[shingles >> _SHIFT]))]
+    """Ascending shingles put in the order (level, hash), which all documents' prefixes follow."""
+    return shingles[np.argsort(levels[shingles >> _SHIFT], kind="stable")]
+
+
+def parity_bits(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """Parity of the shingles in each of ``bits`` cells, as 64-bit integers.
+
+    Two sets differ in at least as many members as their parities differ in cells.
+    """
+    cells = np.bincount((shingles >> np.uint64(8)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64)
