@@ -32,10 +32,10 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tijara.llm.common import read_documents, slices, stored, texts_of
+from tijara.llm.common import count_for, read_documents, slices, stored, texts_of
 
 LEXICON_WORDS = 1 << 16
 COUNT_WORDS = 300_000  # distinct words a task counts before it hands partial counts on
@@ -382,10 +382,7 @@ def frequent_words(docs: DataFrame, n: int) -> list[str]:
     """The most frequent words of all texts, at most ``n``: words of one count come all or not at all."""
     counted = texts_of(docs).select("text").mapInArrow(_count_words, "word string, n bigint")
     total = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    # the count that leaves at most n words above it, from the histogram of counts
-    w = Window.orderBy(F.desc("n"))
-    steps = total.groupBy("n").agg(F.count(F.lit(1)).alias("words")).withColumn("above", F.sum("words").over(w))
-    least = steps.where(F.col("above") <= n).agg(F.min("n")).first()[0]
+    least = count_for(total, n)
     return [] if least is None else [r.word for r in total.where(F.col("n") >= least).select("word").collect()]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tijara.session import checkpoint_dir, ship_package
@@ -63,6 +63,17 @@ def utf8(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return a.cast(pa.large_binary() if pa.types.is_large_string(a.type) else pa.binary()).to_pylist()
 
 
+def count_for(counts: DataFrame, n: int) -> int | None:
+    """The least value of column ``n`` such that at most ``n`` rows have it or more; None if none fits.
+
+    From the histogram of values, so that rows of one count are taken all or not at all and what is
+    collected for them is bounded, whatever the number of partitions.
+    """
+    w = Window.orderBy(F.desc("n"))
+    steps = counts.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).withColumn("above", F.sum("rows").over(w))
+    return steps.where(F.col("above") <= n).agg(F.min("n")).first()[0]
+
+
 def crc_remainder(doc_id, divisor: int):
     """crc32(doc_id as text) mod ``divisor``, as the held-out rules define it."""
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(divisor))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tijara.llm import bpe_codec, decontaminate, exact_dedup, jaccard_join, license_scan, quality_knn, secret_scan, token_counts
+from tijara.llm import bpe_codec, context_mixing, decontaminate, exact_dedup, jaccard_join, license_scan, quality_knn, secret_scan, token_counts
 
 QUERIES = {
     "op1_quality_knn": quality_knn.op1_quality_knn,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_token_counts": token_counts.op3_token_counts,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
+    "op7_context_mixing": context_mixing.op7_context_mixing,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_bpe_codec": bpe_codec.op9_bpe_codec,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
