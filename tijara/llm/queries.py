@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tijara.llm import bpe_codec, context_mixing, decontaminate, exact_dedup, jaccard_join, license_scan, quality_knn, secret_scan, token_counts
+from tijara.llm import (bpe_codec, context_mixing, decontaminate, exact_dedup, jaccard_join, license_scan, quality_knn,
+                        secret_scan, substring_dedup, token_counts)
 
 QUERIES = {
     "op1_quality_knn": quality_knn.op1_quality_knn,
     "op2_license_scan": license_scan.op2_license_scan,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_context_mixing": context_mixing.op7_context_mixing,
