@@ -218,7 +218,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the rows that stay, with all their columns."""
+    """Pipeline stage: the rows that stay, with all their columns. Rows without a doc_id can't be told
+    apart: they all stay if one of them does."""
     kept = exact_dedup(docs, snapshot_of(F.col("doc_id"))).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
