@@ -47,7 +47,7 @@ PARITY = 1024
 
 def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, n (set size), sig (128-bit hash of the set), prefix (its first shingles in order), bits."""
-    levels = texts.sparkSession.sparkContext.broadcast(shingle_levels(texts, k))  # 64 KB
+    levels = texts.sparkSession.sparkContext.broadcast(shingle_levels(texts, k))  # 4 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -83,17 +83,31 @@ def _may_link(nx: Column, ny: Column, bx: Column, by: Column, percent: int) -> C
             & ((100 + percent) * (nx + ny - differ) >= 2 * percent * (nx + ny)))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among ``pairs`` (u, v): the filters first, then the whole sets."""
-    light = [nodes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{x}")) for x in "uv"]
-    likely = pairs.where("u != v").join(light[0], "u").join(light[1], "v").where(
-        _may_link(F.col("nu"), F.col("nv"), F.col("bu"), F.col("bv"), percent)).select("u", "v")
-    whole = [sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}")) for x in "uv"]
-    common = stored(likely, "likely").join(whole[0], "u").join(whole[1], "v").select(
-        "u", "v", F.size(F.array_intersect("su", "sv")).cast("bigint").alias("common"),
-        (F.size("su") + F.size("sv")).cast("bigint").alias("total"))
-    return stored(common.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select(
-        F.col("u").alias("a"), F.col("v").alias("b")), "verified")
+class _Verifier:
+    """Verifies pairs on whole sets; a document's set is made once, when a pair first needs it."""
+
+    def __init__(self, texts: DataFrame, nodes: DataFrame, k: int, percent: int):
+        self.texts, self.nodes, self.k, self.percent = texts, nodes, k, percent
+        self.sets: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """Links (a, b) among ``pairs`` (u, v): the filters first, then the whole sets."""
+        percent = self.percent
+        light = [self.nodes.select(F.col("id").alias(x), F.col("sig").alias(f"sig{x}"), F.col("n").alias(f"n{x}"),
+                                   F.col("bits").alias(f"b{x}")) for x in "uv"]
+        likely = stored(pairs.where("u != v").join(light[0], "u").join(light[1], "v").where(
+            _may_link(F.col("nu"), F.col("nv"), F.col("bu"), F.col("bv"), percent)).select("u", "sigu", "v", "sigv"), "likely")
+        wanted = likely.select(F.col("u").alias("doc_id")).union(likely.select("v")).distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
+        new = stored(_full_sets(self.texts.join(stored(wanted, "wanted"), "doc_id", "left_semi"), self.k), "whole_sets")
+        self.sets = new if self.sets is None else self.sets.unionByName(new)
+        whole = [self.sets.select(F.col("id").alias(x), F.col("sig").alias(f"sig{x}"), F.col("shingles").alias(f"s{x}")) for x in "uv"]
+        common = likely.join(whole[0], ["u", "sigu"]).join(whole[1], ["v", "sigv"]).select(
+            "u", "v", F.size(F.array_intersect("su", "sv")).cast("bigint").alias("common"),
+            (F.size("su") + F.size("sv")).cast("bigint").alias("total"))
+        return stored(common.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select(
+            F.col("u").alias("a"), F.col("v").alias("b")), "verified")
 
 
 def _placed(nodes: DataFrame, found: DataFrame) -> DataFrame:
@@ -121,10 +135,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         "shingle", "group", "n", "pos", F.explode(F.array(size_class, size_class + 1)).alias("class")), "lists")
     nodes = stored(every.join(groups.select("n", "prefix_key", "group"), ["n", "prefix_key"])
                    .join(lists.select("group").distinct(), "group", "left_semi").select("id", "sig", "group", "n", "bits"), "members")
-    wanted = nodes.select(F.col("id").alias("doc_id")).distinct()
-    sets = stored(_full_sets(texts.join(wanted, "doc_id", "left_semi"), k)
-                  .join(nodes.select("id", "sig"), ["id", "sig"], "left_semi").dropDuplicates(["id", "sig"])
-                  .select("id", "shingles"), "candidate_sets")
+    verifier = _Verifier(texts, nodes, k, percent)
 
     # star, first step: each node against its group's first node, or that against its commonest leader
     lead = stored(lists.groupBy("shingle", "class").agg(F.min("group").alias("leader")), "leaders")
@@ -133,7 +144,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     best = led.groupBy("group").agg(F.max(F.struct("times", (-F.col("leader")).alias("leader"))).alias("best")).select(
         F.col("group").alias("u"), (-F.col("best.leader")).alias("v"))
     pairs = nodes.select(F.col("id").alias("u"), F.col("group").alias("v")).unionByName(best)
-    links = _verified(pairs, nodes, sets, percent)
+    links = verifier.links(pairs)
     found = components(links)
     # second step: against the other leaders, where the component still differs
     placed = _placed(nodes, found)
@@ -141,7 +152,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     pairs = placed.join(led, "group").join(where, "leader").where("component != lead_component").select(
         F.col("id").alias("u"), F.col("leader").alias("v")).distinct()
     tried = stored(pairs, "tried")
-    links = links.unionByName(_verified(tried, nodes, sets, percent))
+    links = links.unionByName(verifier.links(tried))
     found = components(links)
 
     # the rest: pairs of a list that are not yet in one component
@@ -162,7 +173,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
                   & _may_link(nx, ny, F.col("x.bits"), F.col("y.bits"), percent))
     rest = rest.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
     known = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    links = links.unionByName(_verified(rest.join(known, ["u", "v"], "left_anti"), nodes, sets, percent))
+    links = links.unionByName(verifier.links(rest.join(known, ["u", "v"], "left_anti")))
     found = components(links)
 
     # rows -> node of their set -> component

@@ -10,10 +10,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tijara.llm.common import slices, utf8
+from tijara.llm.common import count_for, slices, stored, utf8
 
-SLOTS = 1 << 16
-_SHIFT = np.uint64(48)  # hash >> 48: the sketch's slot
+SLOTS = 1 << 22
+LEVELLED = 1 << 17
+_SHIFT = np.uint64(42)  # the hash's highest bits number its slot
 
 
 class WordHashes(dict):
@@ -64,24 +65,27 @@ def shingle_sets(words: WordHashes, texts: list[bytes], k: int) -> list[np.ndarr
 
 
 def shingle_levels(texts: DataFrame, k: int) -> np.ndarray:
-    """For each of SLOTS hash slots, how far the number of shingles in it exceeds the average: 0 up to twice, then steps of half a doubling (uint8).
+    """A level for each of SLOTS hash slots: 0 for ordinary ones, more the commoner their shingles are
+    (uint8, two steps per doubling of the count).
 
-    Counted over all texts. A shingle that occurs in a noticeable share of documents lifts its slot
-    at any size of the corpus, so sorting by (level, hash) puts common shingles last.
+    Every task counts all its shingles by slot and hands on the slots that stand out from its average;
+    Spark adds them up, and the LEVELLED largest get a level. So a shingle in a noticeable share of the
+    documents is seen at any size of the corpus. Levels only order shingles: no result depends on them.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = WordHashes(), np.zeros(SLOTS, np.int64)
+        words, total = WordHashes(), np.zeros(SLOTS, np.int32)
         for batch in slices(batches):
-            found = np.concatenate(shingle_hashes(words, utf8(batch), k)) >> _SHIFT
-            total += np.bincount(found.astype(np.int64), minlength=SLOTS)
-        slot = np.flatnonzero(total)
+            found = (np.concatenate(shingle_hashes(words, utf8(batch), k)) >> _SHIFT).astype(np.int64)
+            slot, n = np.unique(found, return_counts=True)
+            total[slot] += n.astype(np.int32)
+        slot = np.flatnonzero(total >= max(4.0, 4 * total.mean()))
         yield pa.RecordBatch.from_pydict({"slot": pa.array(slot, pa.int64()), "n": pa.array(total[slot], pa.int64())})
 
-    counts = np.zeros(SLOTS)
-    for r in texts.select("text").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        counts[r.slot] = r.n  # SLOTS rows at most
-    ratio = counts / max(1.0, counts.mean())
-    return np.clip(2 * np.log2(np.maximum(ratio, 1)) - 1, 0, 255).astype(np.uint8)
+    counts = stored(texts.select("text").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")), "slots")
+    levels, least = np.zeros(SLOTS, np.uint8), count_for(counts, LEVELLED)
+    for r in [] if least is None else counts.where(F.col("n") >= least).collect():
+        levels[r.slot] = min(255, 1 + int(2 * np.log2(r.n)))
+    return levels
 
 
 def in_order(shingles: np.ndarray, levels: np.ndarray) -> np.ndarray:
