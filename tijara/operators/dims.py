@@ -17,11 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def code_table(df: DataFrame) -> DataFrame:
-    """Marks a lookup (code) table. Left to the planner's size checks; see module doc."""
-    return df
-
-
 def role(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """One role of a role-playing table: a projection with renamed columns.
 
@@ -49,47 +44,50 @@ def category_parent(categories: DataFrame) -> DataFrame:
     """
     c = categories.select(F.col("id").alias("category_id"), F.col("name").alias("category_name"),
                           F.col("parent_id"))
-    p = code_table(categories.select(F.col("id").alias("parent_ref"), F.col("name").alias("parent_name")))
+    p = categories.select(F.col("id").alias("parent_ref"), F.col("name").alias("parent_name"))
     return c.join(p, F.col("parent_id") == F.col("parent_ref"), "left")
 
 
 def category_descendants(categories: DataFrame) -> DataFrame:
     """Each category with its children and grandchildren (fan-out, one row per path)."""
     top = categories.select(F.col("id").alias("category_id"), F.col("name").alias("category_name"))
-    sub = code_table(categories.select(F.col("id").alias("sub_id"), F.col("name").alias("sub_name"),
-                                       F.col("parent_id").alias("sub_parent")))
-    subsub = code_table(categories.select(F.col("id").alias("subsub_id"), F.col("name").alias("subsub_name"),
-                                          F.col("parent_id").alias("subsub_parent")))
+    sub = categories.select(F.col("id").alias("sub_id"), F.col("name").alias("sub_name"),
+                                       F.col("parent_id").alias("sub_parent"))
+    subsub = categories.select(F.col("id").alias("subsub_id"), F.col("name").alias("subsub_name"),
+                                          F.col("parent_id").alias("subsub_parent"))
     return (top.join(sub, F.col("sub_parent") == F.col("category_id"), "left")
             .join(subsub, F.col("subsub_parent") == F.col("sub_id"), "left")
             .drop("sub_parent", "subsub_parent"))
 
 
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, ref: str, spread_by: str, ways: int = 1024) -> DataFrame:
+    """``left LEFT JOIN right ON left.key = right.ref`` where very many ``key`` are NULL.
+
+    NULL keys match nothing, yet a plain join hashes all of them to one task. Here a second key
+    deals them over ``ways`` values of a hash of ``spread_by``; it is 0 for every other row, so
+    matches and the partitioning of equal keys stay. Consecutive joins on the same key and
+    ``spread_by`` share one shuffle of ``left``.
+    """
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(ways))).otherwise(F.lit(0).cast("bigint"))
+    side = right.withColumn("_zero", F.col(ref) * 0)  # computed, so that the join keeps it as a key
+    return (left.withColumn("_spread", spread)
+            .join(side, (F.col(key) == F.col(ref)) & (F.col("_spread") == F.col("_zero")), "left")
+            .drop("_spread", "_zero"))
+
+
 def left_join_fact(left: DataFrame, fact: DataFrame, left_key: str, fact_key: str,
-                   fact_keys: DataFrame | None = None) -> DataFrame:
-    """``left LEFT JOIN fact ON left.left_key = fact.fact_key`` for a fact table far larger
-    than ``left`` in which one key may hold a large share of the rows.
-
-    A left outer join can only split skewed partitions of its *left* side, and here the
-    hot key sits on the right. Written instead as
-
-        keyed = left WHERE left_key IS NOT NULL
-        keyed INNER JOIN fact                                -- AQE may split either side
-        UNION ALL keyed LEFT ANTI JOIN distinct(fact keys)   -- keys aggregated map-side
-        UNION ALL left WHERE left_key IS NULL                -- never matches
-    (unmatched rows padded with NULL fact columns): the same rows as the left join.
-
-    Both large branches start from the same ``keyed`` plan (the explicit NOT NULL
-    filter equals the one the inner join infers), so its exchanges are planned once
-    and reused; the union keeps the key's hash partitioning for a later GROUP BY /
-    DISTINCT. ``fact_keys`` (a frame with column ``fact_key``) is a cheaper source of
-    the fact's keys than the full fact plan.
+                   left_keys: DataFrame, fact_keys: DataFrame) -> DataFrame:
+    """``left LEFT JOIN fact ON left.left_key = fact.fact_key`` for a fact table far larger than
+    ``left`` in which one key may hold a large share of the rows.
+
+    A left outer join can only split skewed partitions of its left side, and here the hot key sits
+    on the right. So the keys of ``left`` without facts get one empty fact row each, and an inner join,
+    either side of which can be split, gives the rows of the left join. ``left_keys`` (column
+    ``left_key``, not NULL) and ``fact_keys`` (column ``fact_key``) are cheap sources of the two sides'
+    keys, so neither side's plan is repeated; the fact keys are made distinct map-side.
     """
-    keyed = left.where(F.col(left_key).isNotNull())
-    keys = ((fact_keys if fact_keys is not None else fact).select(F.col(fact_key).alias("_fact_key"))
-            .where(F.col("_fact_key").isNotNull()).distinct())
-    matched = keyed.join(fact, F.col(left_key) == F.col(fact_key), "inner")
-    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields]
-    unmatched = keyed.join(keys, F.col(left_key) == F.col("_fact_key"), "left_anti").select(*left.columns, *pad)
-    null_keyed = left.where(F.col(left_key).isNull()).select(*left.columns, *pad)
-    return matched.unionByName(unmatched).unionByName(null_keyed)
+    keys = fact_keys.select(F.col(fact_key).alias("_fact_key")).where("_fact_key is not null").distinct()
+    lonely = left_keys.select(left_key).distinct().join(keys, F.col(left_key) == F.col("_fact_key"), "left_anti")
+    empty = [F.col(left_key).alias("_meets"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema.fields]]
+    facts = fact.withColumn("_meets", F.col(fact_key)).unionByName(lonely.select(*empty))
+    return left.join(facts, F.col(left_key) == F.col("_meets"), "inner").drop("_meets")

@@ -35,16 +35,12 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
 
 def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Rows holding the max of ``order_col`` per key (groupwise max + self join).
+    """The row holding the max of ``order_col`` per key, in one pass over ``df``.
 
-    The max per key is a map-side-combined aggregate (a hot key collapses to one
-    row per task before the shuffle); rows are then matched on (key, max), which
-    hashes on both columns so a hot key's rows still spread over many tasks.
-    Ties on the max keep every tied row; NULL keys drop out.
+    ``order_col`` is meant to be a surrogate id; of rows that tie on it one is kept. NULL keys and
+    NULL order values drop out.
     """
-    top = df.groupBy(F.col(key).alias("_k")).agg(F.max(order_col).alias("_m")).where(F.col("_k").isNotNull())
-    return (df.join(top, (F.col(key) == F.col("_k")) & (F.col(order_col) == F.col("_m")), "inner")
-            .drop("_k", "_m"))
+    return top_n_per_key(df.where(F.col(order_col).isNotNull()), [key], [F.col(order_col).desc()])
 
 
 def completeness_score(fields: Sequence[str | Column]) -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tijara.operators.dims import canonical_int_key, category_parent, code_table, role
+from tijara.operators.dims import canonical_int_key, category_parent, role
 
 
 def sku_catalogue_dim(t) -> DataFrame:
@@ -33,9 +33,9 @@ def sku_catalogue_dim(t) -> DataFrame:
     products = t["products"].select(F.col("id").alias("_product_ref"), F.col("name").alias("product_name"))
     bridge = t["product_categories"].select(F.col("product_id").alias("_pc_product"),
                                             F.col("category_id").alias("_pc_category"))
-    tree = code_table(category_parent(t["categories"]).select(
+    tree = category_parent(t["categories"]).select(
         F.col("category_id").alias("sub_category_id"), F.col("category_name").alias("sub_category"),
-        F.col("parent_ref").alias("category_id"), F.col("parent_name").alias("category")))
+        F.col("parent_ref").alias("category_id"), F.col("parent_name").alias("category"))
     out = (sku.join(products, F.col("_sku_product") == F.col("_product_ref"), "left")
            .join(bridge, F.col("_product_ref") == F.col("_pc_product"), "left")
            .join(tree, F.col("_pc_category") == F.col("sub_category_id"), "left"))
@@ -51,13 +51,23 @@ def seller_dim(t, with_supplier_city: bool = True) -> DataFrame:
     if with_supplier_city:
         sup = t["suppliers"].select(F.col("user_id").alias("_sup_user"), F.col("city_id").alias("_sup_city"),
                                     F.col("is_internal").alias("supplier_is_internal"))
-        cities = code_table(role(t["cities"], {"id": "_city_ref", "name": "supplier_city"}))
+        cities = role(t["cities"], {"id": "_city_ref", "name": "supplier_city"})
         out = (out.join(sup, F.col("psd_user_id") == F.col("_sup_user"), "left")
                .join(cities, F.col("_sup_city") == F.col("_city_ref"), "left")
                .drop("_sup_user", "_sup_city", "_city_ref"))
     return out
 
 
+def sku_item_dim(t, with_supplier_city: bool = True) -> DataFrame:
+    """Everything an item meets by its SKU, keyed by ``item_sku``: catalogue and seller side by side.
+
+    ``items ⟕ catalogue ⟕ seller`` on one key equals ``items ⟕ (catalogue FULL JOIN seller)``, so items
+    need one join, whose hot SKUs adaptive execution can split.
+    """
+    both = sku_catalogue_dim(t).join(seller_dim(t, with_supplier_city), F.col("sku_ref") == F.col("psd_sku_id"), "full")
+    return both.withColumn("item_sku", F.coalesce("sku_ref", "psd_sku_id")).where("item_sku is not null")
+
+
 def retailer_dim(t, *, retailers: DataFrame | None = None, with_city: bool = False) -> DataFrame:
     """Retailer rows of a user with user, areas and signup agent. Keyed by ``r_user_id``.
 
@@ -72,8 +82,8 @@ def retailer_dim(t, *, retailers: DataFrame | None = None, with_city: bool = Fal
                  F.col("sub_area_id").alias("r_sub_area_id"), *[c for c in ("phone", "cnic_number", "store_type")
                                                                  if c in r.columns])
     users = role(t["users"], {"id": "u_id", "name": "user_name", "mobile": "user_mobile", "refer_by": "u_refer_by"})
-    areas = code_table(role(t["areas"], {"id": "_area_ref", "name": "area"}))
-    sub_areas = code_table(role(t["sub_areas"], {"id": "_sub_area_ref", "name": "sub_area"}))
+    areas = role(t["areas"], {"id": "_area_ref", "name": "area"})
+    sub_areas = role(t["sub_areas"], {"id": "_sub_area_ref", "name": "sub_area"})
     signup = role(t["users"], {"id": "signup_agent_id", "name": "signup_agent"})
     out = (r.join(users, F.col("u_id") == F.col("r_user_id"), "left")
            .join(areas, F.col("_area_ref") == F.col("r_area_id"), "left")
@@ -81,7 +91,7 @@ def retailer_dim(t, *, retailers: DataFrame | None = None, with_city: bool = Fal
            .join(signup, F.col("signup_agent_id") == F.col("u_refer_by"), "left")
            .drop("_area_ref", "_sub_area_ref"))
     if with_city:
-        cities = code_table(role(t["cities"], {"id": "_rcity_ref", "name": "retailer_city"}))
+        cities = role(t["cities"], {"id": "_rcity_ref", "name": "retailer_city"})
         out = out.join(cities, F.col("_rcity_ref") == F.col("r_city_id"), "left").drop("_rcity_ref")
     return out
 
@@ -95,7 +105,7 @@ def route_level_dim(t) -> DataFrame:
                                 F.col("status").alias("_route_status"), F.col("user_id").alias("_route_user"),
                                 F.col("created_at").alias("route_created_at"),
                                 F.col("started_at").alias("route_started_at"))
-    route_status = code_table(role(t["route_status"], {"id": "_rs_ref", "name": "route_status_name"}))
+    route_status = role(t["route_status"], {"id": "_rs_ref", "name": "route_status_name"})
     drivers = role(t["users"], {"id": "driver_id", "name": "driver_name", "mobile": "driver_mobile"})
     cash = t["cash_collection"].select(F.col("route_id").alias("_cash_route"), F.col("created_at").alias("route_end_at"))
     return (routes.join(route_status, F.col("_rs_ref") == F.col("_route_status"), "left")
@@ -110,7 +120,7 @@ def route_dim(t, stops: DataFrame | None = None) -> DataFrame:
     stops (default: all)."""
     stops = (stops if stops is not None else t["stops"]).select(
         F.col("id").alias("stop_ref"), F.col("stop_status"), F.col("route_id").alias("_stop_route"))
-    stop_status = code_table(role(t["stop_status"], {"id": "_ss_ref", "name": "stop_status_name"}))
+    stop_status = role(t["stop_status"], {"id": "_ss_ref", "name": "stop_status_name"})
     return (stops.join(stop_status, F.col("_ss_ref") == F.col("stop_status"), "left")
             .join(route_level_dim(t), F.col("route_id") == F.col("_stop_route"), "left")
             .drop("_ss_ref", "_stop_route"))

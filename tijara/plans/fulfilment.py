@@ -11,6 +11,7 @@ those counts. Sum of weighted rows == sum over the fan-out rows, exactly.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 from tijara.functions import codes
 from tijara.functions.rules import guarded_ratio
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, to_local
-from tijara.operators.dims import code_table, left_join_fact, role
+from tijara.operators.dims import left_join_spread, role
 from tijara.plans import dimensions as D
-from tijara.plans.item_facts import enrich_items, fulfilment_measures, items_of, real_delivered_orders
+from tijara.plans.item_facts import enrich_items, fulfilment_measures, items_of, real_delivered_orders, with_items
 
 # ---------------------------------------------------------------------------
 # returns discrepancy
@@ -32,15 +33,15 @@ def return_discrepancy_detail(t, offset_hours: int = LOCAL_OFFSET_HOURS) -> Data
     The route and its user must exist (inner joins); rows without a reason are dropped.
     """
     rd = t["return_discrepancy"].where(F.col("id").isNotNull() & F.col("reason_id").isNotNull())
-    reasons = code_table(role(t["reasons"], {"id": "_reason_ref", "reason": "reason"}))
+    reasons = role(t["reasons"], {"id": "_reason_ref", "reason": "reason"})
     sku = t["product_sku"].select(F.col("id").alias("_sku_ref"), F.col("product_id").alias("_sku_product"))
     products = t["products"].select(F.col("id").alias("_product_ref"), F.col("name").alias("product_name"))
     routes = t["routes"].select(F.col("id").alias("_route_ref"), F.col("name").alias("route_name"),
                                 F.col("status").alias("_route_status"), F.col("user_id").alias("_route_user"))
-    route_status = code_table(role(t["route_status"], {"id": "_rs_ref", "name": "route_status_name"}))
+    route_status = role(t["route_status"], {"id": "_rs_ref", "name": "route_status_name"})
     users = role(t["users"], {"id": "_user_ref", "name": "driver_name"})
     drivers = t["drivers"].select(F.col("user_id").alias("driver_id"), F.col("city_id").alias("_driver_city"))
-    cities = code_table(role(t["cities"], {"id": "_city_ref", "name": "city"}))
+    cities = role(t["cities"], {"id": "_city_ref", "name": "city"})
     joined = (rd.join(reasons, F.col("_reason_ref") == F.col("reason_id"), "left")
               .join(sku, F.col("_sku_ref") == F.col("sku_id"), "left")
               .join(products, F.col("_sku_product") == F.col("_product_ref"), "left")
@@ -93,33 +94,41 @@ FUNNEL_KEYS = ("City", "Delivery Date", "Seller Order Status", "route_id", "Rout
                "seller_id", "Seller", "Seller Invoice ID", "Commission Rate (%)")
 
 
-def _weighted_base(t, modes: Sequence[int], offset_hours: int) -> DataFrame:
+def _weighted_base(t, modes: Sequence[int], dedupe_logs: bool) -> DataFrame:
     """Funnel rows at (order, item, key-bearing dims) grain with fan-out weight ``_w``."""
     orders = real_delivered_orders(t, modes)
     # users that have retailer rows: row count (fan-out) and the user's name/mobile
     ret_rows = t["retailers"].groupBy(F.col("user_id").alias("_ru")).agg(F.count(F.lit(1)).alias("_n_ret"))
     users = role(t["users"], {"id": "_uid", "name": "user_name", "mobile": "user_mobile"})
     retailer_users = ret_rows.join(users, F.col("_uid") == F.col("_ru"), "left").drop("_uid")
-    log_rows = t["transaction_logs"].groupBy(F.col("stop_id").alias("_log_stop")).agg(F.count(F.lit(1)).alias("_n_log"))
+    log_rows = (t["transaction_logs"].groupBy(F.col("stop_id").alias("_log_stop"))
+                .agg((F.lit(1) if dedupe_logs else F.count(F.lit(1))).alias("_n_log")))
     agent_rows = D.agent_dim(t).groupBy("agent_order_key").agg(F.count(F.lit(1)).alias("_n_agent"))
     route = D.route_dim(t).select("stop_ref", "stop_status", "stop_status_name", "route_id", "route_name",
                                   "route_status_name", "route_end_at", "driver_id", "driver_name")
     items = enrich_items(items_of(t), t)
-    base = (orders
-            .join(retailer_users, F.col("user_id") == F.col("_ru"), "left")
-            .join(route, F.col("stop_id") == F.col("stop_ref"), "left")
-            .join(log_rows, F.col("stop_id") == F.col("_log_stop"), "left")
-            .join(agent_rows, F.col("id") == F.col("agent_order_key"), "left")
-            .join(D.invoice_dim(t), F.col("id") == F.col("inv_order_id"), "left")
-            .transform(lambda o: left_join_fact(o, items, "id", "order_id", t["order_items"])))
+    base = orders.join(retailer_users, F.col("user_id") == F.col("_ru"), "left")
+    base = left_join_spread(base, route, "stop_id", "stop_ref", "id")
+    base = left_join_spread(base, log_rows, "stop_id", "_log_stop", "id")
+    base = (base.join(agent_rows, F.col("id") == F.col("agent_order_key"), "left")
+            .join(D.invoice_dim(t), F.col("id") == F.col("inv_order_id"), "left"))
+    base = with_items(base, items, t, orders)
     weight = (F.coalesce(F.col("_n_ret"), F.lit(1)) * F.coalesce(F.col("_n_log"), F.lit(1))
               * F.coalesce(F.col("_n_agent"), F.lit(1)))
     return base.withColumn("_w", weight)
 
 
-def funnel(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
-    """Ordered -> dispatched -> delivered -> returned per order/SKU/route/driver (25 keys)."""
-    base = _weighted_base(t, modes, offset_hours)
+def commission(gmv: Column, rate: Column) -> Column:
+    """Rounded commission of a value at a percentage, in exact decimals (halves away from zero)."""
+    return F.round(gmv.cast("decimal(20,4)") * rate.cast("decimal(12,6)") * F.lit(Decimal("0.01")), 0).cast("double")
+
+
+def funnel(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS, *,
+           dedupe_logs: bool = False) -> DataFrame:
+    """Ordered -> dispatched -> delivered -> returned per order/SKU/route/driver (25 keys).
+
+    Sums repeat per transaction log of the order's stop; ``dedupe_logs`` counts one."""
+    base = _weighted_base(t, modes, dedupe_logs)
     facts = base.select(
         *fulfilment_measures(offset_hours),
         to_local("route_end_at", offset_hours).alias("Route End Time"),
@@ -153,8 +162,7 @@ def funnel(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HO
         *[F.col(k).cast("double").alias(k) if k == "Commission Rate (%)" else F.col(k) for k in FUNNEL_KEYS],
         "Qty Ordered", "Dispatched Qty", "Delivered Qty", "Return Qty", "SS Qty",
         *[F.col(m).cast("double").alias(m) for m in money],
-        F.round(F.col("Delivered GMV").cast("double") * F.col("Commission Rate (%)").cast("double") / 100, 0)
-        .alias("Commission Value"),
+        commission(F.col("Delivered GMV"), F.col("Commission Rate (%)")).alias("Commission Value"),
         guarded_ratio(F.col("Dispatched GMV"), F.col("Ordered GMV")).alias("Fulfilled (Dispatched) GMV %"),
         guarded_ratio(F.col("Delivered GMV"), F.col("Dispatched GMV")).alias("D2N %"),
         guarded_ratio(F.col("Return GMV"), F.col("Dispatched GMV")).alias("D2R %"),

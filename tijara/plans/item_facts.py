@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from tijara.functions import codes
 from tijara.functions.rules import ItemCols, Rules
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, local_date, to_local
-from tijara.operators.dims import code_table, left_join_fact, role
+from tijara.operators.dims import left_join_fact, left_join_spread, role
+from tijara.operators.keyed import latest_per_key
 from tijara.plans import dimensions as D
 
 RULES = Rules(ItemCols())
@@ -33,10 +34,8 @@ def items_of(t) -> DataFrame:
 
 
 def enrich_items(items: DataFrame, t, *, supplier_city: bool = True) -> DataFrame:
-    """Items with catalogue/category and seller dims (both keyed on the item's sku_id,
-    so the two joins share one shuffle of the items)."""
-    return (items.join(D.sku_catalogue_dim(t), F.col("sku_id") == F.col("sku_ref"), "left")
-            .join(D.seller_dim(t, with_supplier_city=supplier_city), F.col("sku_id") == F.col("psd_sku_id"), "left"))
+    """Items with catalogue, category and seller, met with one join on the SKU."""
+    return items.join(D.sku_item_dim(t, supplier_city), F.col("sku_id") == F.col("item_sku"), "left").drop("item_sku")
 
 
 def real_delivered_orders(t, modes: Sequence[int]) -> DataFrame:
@@ -45,23 +44,29 @@ def real_delivered_orders(t, modes: Sequence[int]) -> DataFrame:
                    & F.col("fulfilment_mode_id").isin(*modes))
 
 
-def _logs(t) -> DataFrame:
-    return t["transaction_logs"].select(F.col("stop_id").alias("log_stop_id"), F.col("created_at").alias("log_created_at"))
+def with_items(orders: DataFrame, items: DataFrame, t, order_ids: DataFrame) -> DataFrame:
+    """``orders LEFT JOIN items`` on the order id; ``order_ids`` (column id) are the same orders."""
+    return left_join_fact(orders, items, "id", "order_id", order_ids.select("id"), t["order_items"])
 
 
-def fulfilment_base(t, modes: Sequence[int] = (1, 2)) -> DataFrame:
-    """Every joined row of the fulfilment item facts (all fan-out kept)."""
+def transaction_log_rows(t, dedupe_logs: bool = False) -> DataFrame:
+    """Transaction logs by stop; with ``dedupe_logs`` only each stop's newest one."""
+    logs = latest_per_key(t["transaction_logs"], "stop_id", "id") if dedupe_logs else t["transaction_logs"]
+    return logs.select(F.col("stop_id").alias("log_stop_id"), F.col("created_at").alias("log_created_at"))
+
+
+def fulfilment_base(t, modes: Sequence[int] = (1, 2), dedupe_logs: bool = False) -> DataFrame:
+    """Every joined row of the fulfilment item facts (all fan-out kept, but for the logs' if wanted)."""
     orders = real_delivered_orders(t, modes)
     items = enrich_items(items_of(t), t)
     # retailer copies per user and logs per stop fan out: those rows are the output
     # itself (the aggregating funnel counts them instead, see plans.fulfilment)
-    return (orders
-            .join(D.retailer_dim(t), F.col("user_id") == F.col("r_user_id"), "left")
-            .join(D.route_dim(t), F.col("stop_id") == F.col("stop_ref"), "left")
-            .join(_logs(t), F.col("stop_id") == F.col("log_stop_id"), "left")
-            .join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
-            .join(D.invoice_dim(t), F.col("id") == F.col("inv_order_id"), "left")
-            .transform(lambda o: left_join_fact(o, items, "id", "order_id", t["order_items"])))
+    base = orders.join(D.retailer_dim(t), F.col("user_id") == F.col("r_user_id"), "left")
+    base = left_join_spread(base, D.route_dim(t), "stop_id", "stop_ref", "id")
+    base = left_join_spread(base, transaction_log_rows(t, dedupe_logs), "stop_id", "log_stop_id", "id")
+    base = (base.join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
+            .join(D.invoice_dim(t), F.col("id") == F.col("inv_order_id"), "left"))
+    return with_items(base, items, t, orders)
 
 
 def fulfilment_measures(offset_hours: int = LOCAL_OFFSET_HOURS) -> list:
@@ -105,9 +110,10 @@ FULFILMENT_MONEY = ("Order Price", "Bulk Discount", "Total Punched GMV", "Ordere
                     "Delivered GMV", "Commission Rate (%)", "Return GMV")
 
 
-def fulfilment_item_facts(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
+def fulfilment_item_facts(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS, *,
+                          dedupe_logs: bool = False) -> DataFrame:
     """One row per joined (order, item, log, agent, retailer row, ...) combination."""
-    base = fulfilment_base(t, modes)
+    base = fulfilment_base(t, modes, dedupe_logs)
     cols = fulfilment_measures(offset_hours) + [
         to_local("log_created_at", offset_hours).alias("Payment/Delivery Time"),
         F.col("user_id"), F.col("user_name").alias("User Name"), F.col("user_mobile").alias("mobile"),
@@ -172,27 +178,28 @@ def dropship_measures(offset_hours: int = LOCAL_OFFSET_HOURS) -> list:
 DROPSHIP_MONEY = ("Order Price", "Ordered GMV", "Delivered GMV", "Commission Rate (%)", "Cancelled GMV")
 
 
-def dropship_base(t, *, modes: Sequence[int] = (3,), with_fanout_only_joins: bool = True) -> DataFrame:
+def dropship_base(t, *, modes: Sequence[int] = (3,), with_fanout_only_joins: bool = True,
+                  dedupe_logs: bool = False) -> DataFrame:
     """Drop-ship order items with every dimension of the monthly report.
 
     The stop/route/log joins add no column; they only repeat rows. They are kept
     for the row-level facts and skipped when the caller applies DISTINCT.
     """
     orders = real_delivered_orders(t, modes)
-    reasons = code_table(role(t["cancellation_reasons"], {"id": "_cr_ref", "description": "cancel_reason"}))
+    reasons = role(t["cancellation_reasons"], {"id": "_cr_ref", "description": "cancel_reason"})
     items = enrich_items(items_of(t), t, supplier_city=False)
     base = (orders.join(reasons, F.col("cancel_reason_id") == F.col("_cr_ref"), "left")
             .join(D.retailer_dim(t, with_city=True), F.col("user_id") == F.col("r_user_id"), "left"))
     if with_fanout_only_joins:
-        base = (base.join(D.route_dim(t).select("stop_ref", "route_id"), F.col("stop_id") == F.col("stop_ref"), "left")
-                .join(_logs(t), F.col("stop_id") == F.col("log_stop_id"), "left"))
-    return (base.join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
-            .transform(lambda o: left_join_fact(o, items, "id", "order_id", t["order_items"])))
+        base = left_join_spread(base, D.route_dim(t).select("stop_ref", "route_id"), "stop_id", "stop_ref", "id")
+        base = left_join_spread(base, transaction_log_rows(t, dedupe_logs), "stop_id", "log_stop_id", "id")
+    base = base.join(D.agent_dim(t), F.col("id") == F.col("agent_order_key"), "left")
+    return with_items(base, items, t, orders)
 
 
 def dropship_item_facts(t, offset_hours: int = LOCAL_OFFSET_HOURS, *, money_as_double: bool = True,
-                        with_fanout_only_joins: bool = True) -> DataFrame:
-    out = dropship_base(t, with_fanout_only_joins=with_fanout_only_joins).select(*dropship_measures(offset_hours))
+                        with_fanout_only_joins: bool = True, dedupe_logs: bool = False) -> DataFrame:
+    out = dropship_base(t, with_fanout_only_joins=with_fanout_only_joins, dedupe_logs=dedupe_logs).select(*dropship_measures(offset_hours))
     if not money_as_double:
         return out
     return out.select(*[F.col(c).cast("double").alias(c) if c in DROPSHIP_MONEY else F.col(c) for c in out.columns])
@@ -215,8 +222,7 @@ def all_gmv(t, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
     cats = D.sku_catalogue_dim(t).select("sku_ref", "category")
     items = items_of(t).join(cats, F.col("sku_id") == F.col("sku_ref"), "left")
     r = RULES
-    return (o.join(stops, F.col("stop_id") == F.col("stop_ref"), "left")
-            .transform(lambda x: left_join_fact(x, items, "id", "order_id", t["order_items"]))
+    return (with_items(left_join_spread(o, stops, "stop_id", "stop_ref", "id"), items, t, o)
             .select(F.col("id").alias("order_id"), "user_id", "sku_id", "fulfilment_mode_id",
                     F.col("status").alias("order_status_code"),
                     local_date("delivered_at", offset_hours).alias("System_Delivery_Date"),

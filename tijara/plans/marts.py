@@ -20,7 +20,8 @@ from tijara.sources.io import Tables, write_mart
 def build_gmv_mart(spark: SparkSession, t: Tables, schema: str, *, path: str | None = None) -> Tables:
     """Write ``all_gmv`` (partitioned by delivery quarter) and return tables that read it."""
     part = item_facts.GMV_PARTITION
-    gmv = item_facts.all_gmv(t).withColumn(part, rfm.quarter_start("System_Delivery_Date"))
+    # rows of a quarter meet in few tasks (large quarters are split), so few files are written per folder
+    gmv = item_facts.all_gmv(t).withColumn(part, rfm.quarter_start("System_Delivery_Date")).hint("rebalance", part)
     write_mart(gmv, schema, "all_gmv", path=path, partition_by=[part])
     return t.with_table("all_gmv", spark.table(f"`{schema}`.`all_gmv`"))
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tijara.functions import codes
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS
-from tijara.operators.dims import code_table
 from tijara.plans.item_facts import DROPSHIP_MONEY, dropship_item_facts
 
 
@@ -21,7 +20,7 @@ def dropship_distinct(t, *, threshold: float = 50000, offset_hours: int = LOCAL_
     would remove their copies anyway. Equal items of one order merge, as DISTINCT does.
     """
     x = dropship_item_facts(t, offset_hours, money_as_double=False, with_fanout_only_joins=False)
-    names = code_table(t["categories"].select(F.col("name").alias("_cat_name")))
+    names = t["categories"].select(F.col("name").alias("_cat_name"))
     a = (x.join(names, F.col("Category") == F.col("_cat_name"), "left_semi")
          .withColumn("RDS/BULK Classification", codes.size_class("Ordered GMV", threshold))
          .distinct())

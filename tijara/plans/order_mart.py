@@ -23,7 +23,7 @@ from tijara.functions import codes
 from tijara.functions.rules import ItemCols, Rules
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, ntz, to_local
 from tijara.operators.apportion import apportion
-from tijara.operators.dims import category_parent, code_table, left_join_fact
+from tijara.operators.dims import category_parent, left_join_fact, left_join_spread
 from tijara.operators.keyed import best_by_score, completeness_score, latest_per_key
 from tijara.operators.pivot import payment_pivot
 from tijara.plans import dimensions as D
@@ -44,8 +44,9 @@ def order_sku_value(items: DataFrame, orders: DataFrame, stops: DataFrame) -> Da
     """Per (order, SKU): value by the delivered rule (drop-ship nets picked qty) and punched value."""
     o = orders.select(F.col("id").alias("_oid"), "fulfilment_mode_id", "status", "stop_id")
     s = stops.select(F.col("id").alias("stop_ref"), "stop_status")
-    j = (items.join(o, F.col("order_id") == F.col("_oid"), "left")
-         .join(s, F.col("stop_id") == F.col("stop_ref"), "left"))
+    # stops join the orders, at their grain; the items then meet one frame on the order id, which
+    # also clusters the aggregation
+    j = items.join(left_join_spread(o, s, "stop_id", "stop_ref", "_oid"), F.col("order_id") == F.col("_oid"), "left")
     return j.groupBy("order_id", "sku_id").agg(
         F.sum(RULES.value()).alias("totalpriceperordersku"),
         F.sum(F.col("price") * F.col("qty")).alias("punchedgmvperordersku"))
@@ -122,15 +123,15 @@ def order_denormalized(t, *, start: dt.datetime, end: dt.datetime, exclusive_sel
     products = t["products"].select(F.col("id").alias("product_ref"), F.col("name").alias("product_name"))
     bridge = t["product_categories"].select(F.col("product_id").alias("_pc_product"),
                                             F.col("category_id").alias("_pc_category"))
-    tree = code_table(category_parent(t["categories"]).select(
+    tree = category_parent(t["categories"]).select(
         F.col("category_id").alias("_cat_ref"), F.col("category_name").alias("sub_category"),
-        F.col("parent_name").alias("category")))
+        F.col("parent_name").alias("category"))
     product_dim = (products.join(bridge, F.col("product_ref") == F.col("_pc_product"), "left")
                    .join(tree, F.col("_pc_category") == F.col("_cat_ref"), "left")
                    .select("product_ref", "product_name", "sub_category", "category"))
     variants = t["product_variants"].select(F.col("id").alias("variant_ref"), F.col("name").alias("variant_name"))
     suppliers = t["suppliers"].select(F.col("user_id").alias("_sup_user"), "is_internal")
-    sku_sellers = (D.seller_dim(t, with_supplier_city=False)
+    sku_sellers = (D.seller_dim(t, with_supplier_city=False)  # keyed by SKU: met by the items with one join
                    .join(suppliers, F.col("psd_user_id") == F.col("_sup_user"), "left").drop("_sup_user"))
     skv = sku_value.select(F.col("order_id").alias("_sv_order"), F.col("sku_id").alias("_sv_sku"),
                            "totalpriceperordersku")
@@ -139,8 +140,8 @@ def order_denormalized(t, *, start: dt.datetime, end: dt.datetime, exclusive_sel
              .join(sku_sellers, F.col("sku_id") == F.col("psd_sku_id"), "left")
              .join(skv, (F.col("order_id") == F.col("_sv_order")) & (F.col("sku_id") == F.col("_sv_sku")), "left"))
 
-    cities = code_table(t["cities"].select(F.col("id").alias("_city_ref"), F.col("name").alias("city_name"),
-                                           "is_exclusive"))
+    cities = t["cities"].select(F.col("id").alias("_city_ref"), F.col("name").alias("city_name"),
+                                           "is_exclusive")
     # per-key dimensions are computed for the window's keys only (exact: each key's
     # value depends on its own rows), so their cost follows the window, not the history
     window_users = orders.select(F.col("user_id").alias("_wu"))
@@ -154,14 +155,14 @@ def order_denormalized(t, *, start: dt.datetime, end: dt.datetime, exclusive_sel
     agents = D.agent_dim(t, order_ids=window_ids.select(F.col("_wid").alias("_oid")))
 
     j = (orders.join(cities, F.col("city_id") == F.col("_city_ref"), "left")
-         .join(retailers, F.col("user_id") == F.col("r_user_id"), "left")
-         .join(route, F.col("stop_id") == F.col("stop_ref"), "left")
-         .join(logs, F.col("stop_id") == F.col("_log_stop"), "left")
-         .where(F.col("fulfilment_mode_id").isin(1, 2, 3) | (F.col("stop_status") == 5))
+         .join(retailers, F.col("user_id") == F.col("r_user_id"), "left"))
+    j = left_join_spread(j, route, "stop_id", "stop_ref", "id")
+    j = left_join_spread(j, logs, "stop_id", "_log_stop", "id")
+    j = (j.where(F.col("fulfilment_mode_id").isin(1, 2, 3) | (F.col("stop_status") == 5))
          .join(agents, F.col("id") == F.col("agent_order_key"), "left")
          .join(pivot, F.col("id") == F.col("_pay"), "left")
          .join(value, F.col("id") == F.col("_ov"), "left")
-         .transform(lambda o: left_join_fact(o, lines, "id", "order_id", items)))
+         .transform(lambda o: left_join_fact(o, lines, "id", "order_id", orders.select("id"), in_window(t["order_items"]))))
 
     part, whole = F.col("totalpriceperordersku"), F.col("totalpriceperorder")
     cancelled = F.col("status") == 6

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tijara.functions.rules import safe_ratio
 from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, epoch_seconds_to_ntz, months_back, to_local
-from tijara.operators.dims import code_table, role
+from tijara.operators.dims import role
 from tijara.operators.keyed import nth_latest_values, top_n_per_key
 from tijara.plans.item_facts import delivered_since
 from tijara.plans.rfm import user_date_key
@@ -60,7 +60,7 @@ def survey_answers(results: DataFrame, surveys: DataFrame, patterns: Sequence[st
     for p in patterns:
         m = F.col("question_text").contains(p)
         match = m if match is None else (match | m)
-    j = results.join(code_table(s), (F.col("option_id") == F.col("_o")) & (F.col("question_id") == F.col("_q"))
+    j = results.join(s, (F.col("option_id") == F.col("_o")) & (F.col("question_id") == F.col("_q"))
                      & (F.col("survey_id") == F.col("_s")), "inner")
     return j.where(match).select(
         "user_id", "result_id", F.col("created_at").alias("result_created_at"), "survey_id", "survey_name",
@@ -95,10 +95,10 @@ def retailer_performance(t, gmv: DataFrame, *, as_of: dt.date, patterns: Sequenc
                               "sub_area_id", F.col("store_type").alias("_store_type"))
     users = t["users"].select(F.col("id").alias("user_id"), F.col("name").alias("User_Name"), "mobile",
                               F.col("created_at").alias("_signup"), "is_active")
-    cities = code_table(role(t["cities"], {"id": "_city", "name": "City"}))
-    areas = code_table(role(t["areas"], {"id": "_area", "name": "Area"}))
-    sub_areas = code_table(role(t["sub_areas"], {"id": "_sub_area", "name": "Sub_Area"}))
-    store_types = code_table(role(t["store_type"], {"id": "_st", "name": "store_type"}))
+    cities = role(t["cities"], {"id": "_city", "name": "City"})
+    areas = role(t["areas"], {"id": "_area", "name": "Area"})
+    sub_areas = role(t["sub_areas"], {"id": "_sub_area", "name": "Sub_Area"})
+    store_types = role(t["store_type"], {"id": "_st", "name": "store_type"})
     metrics = customer_metrics(gmv).withColumnRenamed("user_id", "_cm")
     last_two = last_two_order_dates(gmv).withColumnRenamed("user_id", "_lt")
     nps = latest_survey_answer(t["nps_results"], t["nps_surveys"], patterns).select(
