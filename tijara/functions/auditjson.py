@@ -1,17 +1,17 @@
 """Audit-log JSON: the document paths read from ``changes`` and their types.
 
-The document is parsed once per row with ``from_json`` into a struct whose leaves
-are all strings — exactly the text a ``->>`` path step yields (a JSON number or
-boolean becomes its text, JSON null becomes NULL). Typed columns are then cast
-from that text with ``try_cast``: a malformed value becomes NULL instead of
-failing the job.
+The document is parsed once per row into a VARIANT, from which every path is read as text: strings as
+they stand, booleans as ``true`` / ``false``, JSON null and absent paths as NULL, numbers with all their
+digits. Three spellings of numbers differ from the document's own text: trailing zeros of a fraction are
+dropped (``12.50`` reads ``12.5``), exponents are written out or normalised, and numbers beyond 38
+digits become doubles. A document that is no JSON (or names a key twice) reads as all NULL. Typed columns
+are cast from the text with ``try_cast``: a malformed value becomes NULL instead of failing the job.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---- fixed values: JSON leaves of the audit document and their SQL types ------
 CURRENT_FIELDS = (
@@ -34,33 +34,20 @@ SELLER_CHANGE_FIELDS = (("expiry_date", "date"), ("stock_availability_date", "da
 # plain decimal number text (sign, digits, optional point and digits)
 NUMERIC_TEXT = r"^[-+]?[0-9]*\.?[0-9]+$"
 # the text form of updated_at
-UPDATED_AT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+UPDATED_AT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"  # one to six digits of a second, or none
 # -------------------------------------------------------------------------------
 
 
-def _text_struct(fields) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name, _ in fields])
-
-
-CHANGES_SCHEMA = T.StructType([
-    T.StructField("current", _text_struct(CURRENT_FIELDS)),
-    T.StructField("sku", T.StructType(_text_struct(SKU_FIELDS).fields + [
-        T.StructField("seller_change_requests", _text_struct(SELLER_CHANGE_FIELDS))])),
-])
-
-
 def parse_changes(col: Column | str = "changes") -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.from_json(c, CHANGES_SCHEMA)
+    return F.try_parse_json(F.col(col) if isinstance(col, str) else col)
 
 
 def leaf_columns(doc: str = "_doc") -> list[tuple[str, Column, str]]:
     """(output name, text column, SQL type) for every path, in report order."""
-    out = [(name, F.col(f"{doc}.current.{name}"), typ) for name, typ in CURRENT_FIELDS]
-    out += [(f"sku_{name}", F.col(f"{doc}.sku.{name}"), typ) for name, typ in SKU_FIELDS]
-    out += [(f"sku_{name}", F.col(f"{doc}.sku.seller_change_requests.{name}"), typ)
-            for name, typ in SELLER_CHANGE_FIELDS]
-    return out
+    groups = (("", "$.current", CURRENT_FIELDS), ("sku_", "$.sku", SKU_FIELDS),
+              ("sku_", "$.sku.seller_change_requests", SELLER_CHANGE_FIELDS))
+    return [(prefix + name, F.try_variant_get(F.col(doc), f"{path}.{name}", "string"), typ)
+            for prefix, path, fields in groups for name, typ in fields]
 
 
 def typed(text: Column, sql_type: str) -> Column:

@@ -14,13 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_period_counts(facts: DataFrame, key: str, period: str, item: Column, name: str) -> DataFrame:
-    """Per (key, period): number of distinct non-NULL ``item`` values first seen in that period."""
-    firsts = (facts.select(key, period, item.alias("_item")).where(F.col("_item").isNotNull())
-              .groupBy(key, "_item").agg(F.min(period).alias(period)))
-    return firsts.groupBy(key, period).agg(F.count(F.lit(1)).alias(name))
-
-
 def running(df: DataFrame, key: str, order: str, sums: dict[str, str], mins: dict[str, str] = {},
             maxs: dict[str, str] = {}) -> DataFrame:
     """Add running sum / min / max columns (output name -> input column) per key ordered by ``order``."""

@@ -1,8 +1,8 @@
 """Retailer performance profile: one row per retailer record with purchase history,
 latest survey answer and last-3-month totals.
 
-The four per-user aggregates are all keyed by user id, so they meet the retailer
-rows in joins that share one partitioning.
+The report takes all per-user values from one pass over the item facts (``purchase_profile``);
+the single metrics are also there on their own.
 """
 
 from __future__ import annotations
@@ -10,11 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tijara.functions.rules import safe_ratio
-from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, epoch_seconds_to_ntz, months_back, to_local
+from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, date_lit, epoch_seconds_to_ntz, months_back, to_local
 from tijara.operators.dims import role
 from tijara.operators.keyed import nth_latest_values, top_n_per_key
 from tijara.plans.item_facts import delivered_since
@@ -89,6 +89,35 @@ def last3m_totals(gmv: DataFrame, as_of: dt.date) -> DataFrame:
         .alias("total_cancelled_GMV_last3months"))
 
 
+def purchase_profile(gmv: DataFrame, as_of: dt.date) -> DataFrame:
+    """All per-user values of the profile from one pass over the facts.
+
+    Facts are first summed per (user, day, status, delivered order, category), which is combined
+    map-side; a user's days and categories are sets that the calendar and the catalogue bound.
+    """
+    d, status = F.col("System_Delivery_Date"), F.col("order_status_code")
+    money = ("Ordered_GMV", "Delivered_GMV", "Dispatched_GMV", "Return_GMV")
+    daily = gmv.groupBy("user_id", "System_Delivery_Date", "order_status_code", "delivered_orders", "Category").agg(
+        *[F.sum(c).alias(c) for c in money])
+    delivered = F.when(status.isin(*DELIVERED), d)
+    recent = d >= date_lit(months_back(as_of, 3))
+    cats, days = F.array_sort(F.collect_set("Category")), F.sort_array(F.collect_set(delivered), asc=False)
+
+    def last3m(c: str, also: Column = F.lit(True)) -> Column:
+        return F.sum(F.when(recent & also, F.col(c))).cast("double")
+
+    return daily.groupBy("user_id").agg(
+        F.when(F.size(cats) > 0, F.array_join(cats, ", ")).alias("categories"),
+        F.count_distinct(user_date_key(F.col("user_id"), d)).alias("unique_user_orders"),
+        safe_ratio(F.sum("Delivered_GMV"), F.count_distinct("delivered_orders")).alias("AOV"),
+        F.min(delivered).alias("first_order_date"), F.try_element_at(days, F.lit(1)).alias("last_order_date"),
+        F.try_element_at(days, F.lit(2)).alias("second_last_order_date"),
+        last3m("Ordered_GMV").alias("total_punched_GMV_last3months"), last3m("Delivered_GMV").alias("total_NMV_last3months"),
+        last3m("Dispatched_GMV").alias("total_dispatched_GMV_last3months"),
+        last3m("Return_GMV").alias("total_return_GMV_last3months"),
+        last3m("Ordered_GMV", status == 6).alias("total_cancelled_GMV_last3months"))
+
+
 def retailer_performance(t, gmv: DataFrame, *, as_of: dt.date, patterns: Sequence[str],
                          offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
     r = t["retailers"].select(F.col("user_id").alias("retailer_id"), "store_name", "city_id", "area_id",
@@ -99,21 +128,17 @@ def retailer_performance(t, gmv: DataFrame, *, as_of: dt.date, patterns: Sequenc
     areas = role(t["areas"], {"id": "_area", "name": "Area"})
     sub_areas = role(t["sub_areas"], {"id": "_sub_area", "name": "Sub_Area"})
     store_types = role(t["store_type"], {"id": "_st", "name": "store_type"})
-    metrics = customer_metrics(gmv).withColumnRenamed("user_id", "_cm")
-    last_two = last_two_order_dates(gmv).withColumnRenamed("user_id", "_lt")
+    bought = purchase_profile(gmv, as_of).withColumnRenamed("user_id", "_cm")
     nps = latest_survey_answer(t["nps_results"], t["nps_surveys"], patterns).select(
         F.col("user_id").alias("_nps"), F.col("result_created_time").alias("result_created_at"), "question_text",
         "selected_option")
-    recent = last3m_totals(gmv, as_of).withColumnRenamed("user_id", "_l3")
     j = (r.join(users, F.col("retailer_id") == F.col("user_id"), "left")
          .join(cities, F.col("city_id") == F.col("_city"), "left")
          .join(areas, F.col("_area") == F.col("area_id"), "left")
          .join(sub_areas, F.col("_sub_area") == F.col("sub_area_id"), "left")
          .join(store_types, F.col("_store_type") == F.col("_st"), "left")
-         .join(metrics, F.col("_cm") == F.col("retailer_id"), "left")
-         .join(last_two, F.col("_lt") == F.col("retailer_id"), "left")
-         .join(nps, F.col("_nps") == F.col("retailer_id"), "left")
-         .join(recent, F.col("_l3") == F.col("retailer_id"), "left"))
+         .join(bought, F.col("_cm") == F.col("retailer_id"), "left")
+         .join(nps, F.col("_nps") == F.col("retailer_id"), "left"))
     return j.select(
         "retailer_id", "user_id", "User_Name", "mobile", "store_name", "City", "Area", "Sub_Area",
         to_local("_signup", offset_hours).alias("signup_date"), "is_active", "store_type", "categories",

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tijara.functions.rules import safe_ratio
 from tijara.functions.timeutil import date_lit, quarter_end, quarter_label, quarter_start
-from tijara.operators.cumulative import first_period_counts, running
+from tijara.operators.cumulative import running
 from tijara.plans.item_facts import delivered_since
 
 def first_quarter_on_or_after(start: dt.date) -> Column:
@@ -63,43 +63,78 @@ def user_quarter_spine(metrics: DataFrame, start: dt.date, as_of: dt.date) -> Da
     return with_quarter_columns(spine)
 
 
+def calendar(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    """The quarters in [start, as_of], if any fact lies there: one max over the delivery date."""
+    seen = delivered_since(gmv, start).agg(F.max("System_Delivery_Date").alias("_last")).where("_last is not null")
+    return with_quarter_columns(seen.select(F.explode(quarter_days(start, as_of)).alias("first_day_of_quarter")))
+
+
+def _on_spine(per_quarter: DataFrame, user: str, quarter: str, start: dt.date, as_of: dt.date,
+              **totals: Column) -> DataFrame:
+    """Every quarter of every user in ``per_quarter``, with that quarter's row where there is one.
+
+    A user's rows (one per quarter, so the calendar bounds them) are gathered into a map by quarter and
+    looked up for each calendar day: no second read, no self join. ``totals`` are aggregates over all of a
+    user's quarters, also those outside the calendar.
+    """
+    values = [c for c in per_quarter.columns if c != user]
+    totals = [c.alias(name) for name, c in totals.items()]
+    gathered = per_quarter.groupBy(F.col(user).alias("rfm_user_id")).agg(
+        *totals, F.map_from_entries(F.collect_list(F.struct(F.col(quarter).alias("key"), F.struct(*values).alias("value")))).alias("_by"))
+    spine = gathered.withColumn("first_day_of_quarter", F.explode(quarter_days(start, as_of)))
+    spine = spine.withColumn("_row", F.try_element_at("_by", F.col("first_day_of_quarter")))
+    kept = [c for c in gathered.columns if c not in ("_by", "rfm_user_id")]
+    return spine.select("rfm_user_id", "first_day_of_quarter", *kept, *[F.col(f"_row.{c}").alias(c) for c in values])
+
+
 def quarter_user_spine(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
-    """Spine left-joined with the in-quarter metrics."""
+    """Spine with the in-quarter metrics (a NULL user's quarters carry none)."""
     m = quarter_metrics(gmv, start)
-    spine = user_quarter_spine(m, start, as_of)
-    return spine.join(m, (F.col("rfm_user_id") == F.col("user_id"))
-                      & (F.col("first_day_of_quarter") == F.col("quarter_from_system_delivery_date")), "left")
+    key = "quarter_from_system_delivery_date"
+    out = _on_spine(m, "user_id", key, start, as_of)
+    there = F.col("rfm_user_id").isNotNull() & F.col(key).isNotNull()
+    values = [c for c in m.columns if c != "user_id"]
+    return with_quarter_columns(out.select("first_day_of_quarter", "rfm_user_id", F.when(there, F.col("rfm_user_id")).alias("user_id"),
+                                           *[F.when(there, F.col(c)).alias(c) for c in values]))
 
 
-def cumulative(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
-    """To-date metrics at each quarter end per user (users without facts vanish)."""
-    d = F.col("System_Delivery_Date")
-    first_q = first_quarter_on_or_after(start)
-    facts = (delivered_since(gmv, start).where(F.col("user_id").isNotNull())
-             # facts dated before the first calendar quarter count from that quarter on
-             .withColumn("_q", F.greatest(quarter_start(d), first_q)))
-    # a date lies in exactly one (clamped) quarter, so its days are new in that quarter;
-    # an order may span dates, so orders are credited to their first quarter
-    per_q = facts.groupBy("user_id", "_q").agg(
-        F.sum("Delivered_GMV").alias("_nmv"), F.max(d).alias("_last"), F.min(d).alias("_first"),
-        F.count_distinct(d).alias("_new_days"),
-        F.count(F.lit(1)).alias("_rows"), F.count("Delivered_GMV").alias("_valued"))
-    new_orders = first_period_counts(facts, "user_id", "_q", F.col("delivered_orders"), "_new_orders")
-    users = facts.groupBy(F.col("user_id").alias("rfm_user_id")).agg(F.count(F.lit(1)).alias("_all_rows"))
-    spine = users.select("rfm_user_id", "_all_rows",
-                         F.explode(quarter_days(start, as_of)).alias("first_day_of_quarter"))
-
-    def on(df):
-        return (F.col("rfm_user_id") == df["user_id"]) & (F.col("first_day_of_quarter") == df["_q"])
-
-    j = (spine.join(per_q, on(per_q), "left").drop("user_id", "_q")
-         .join(new_orders, on(new_orders), "left").drop("user_id", "_q"))
-    r = running(j, "rfm_user_id", "first_day_of_quarter",
+def _history(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    """Per user and calendar quarter: in-quarter metrics and to-date values, from one pass over the facts.
+
+    Facts are first summed per (user, day, order). An order may span days, so it is credited to its
+    first quarter; a day lies in one quarter. That makes distinct counts additive, and running sums
+    give the to-date values.
+    """
+    d, first_q = F.col("System_Delivery_Date"), first_quarter_on_or_after(start)
+    daily = (delivered_since(gmv, start).where(F.col("user_id").isNotNull())
+             .groupBy("user_id", "System_Delivery_Date", "delivered_orders")
+             .agg(F.sum("Delivered_GMV").alias("_gmv"), F.count(F.lit(1)).alias("_rows"), F.count("Delivered_GMV").alias("_valued"))
+             # facts dated before the first calendar quarter count to-date from that quarter on
+             .withColumn("_own", quarter_start(d)).withColumn("_q", F.greatest(quarter_start(d), first_q)))
+    credited = daily.withColumn("_credit", F.min("_q").over(Window.partitionBy("user_id", "delivered_orders")))
+    inside = F.col("_own") == F.col("_q")
+
+    def own(c: Column) -> Column:
+        return F.when(inside, c)
+
+    per_q = credited.groupBy("user_id", "_q").agg(
+        F.sum("_gmv").alias("_nmv"), F.max(d).alias("_last"), F.min(d).alias("_first"), F.count_distinct(d).alias("_new_days"),
+        F.count_distinct(F.when(F.col("_credit") == F.col("_q"), F.col("delivered_orders"))).alias("_new_orders"),
+        F.sum("_rows").alias("_rows"), F.sum("_valued").alias("_valued"), F.max(inside).alias("_has"),
+        F.sum(own(F.col("_gmv"))).alias("_own_nmv"), F.count_distinct(own(F.col("delivered_orders"))).alias("_own_orders"),
+        F.count_distinct(own(F.trunc(d, "month"))).alias("_own_months"), F.count_distinct(own(d)).alias("_own_days"),
+        F.max(own(d)).alias("_own_last"), F.min(own(d)).alias("_own_first"))
+    spine = _on_spine(per_q, "user_id", "_q", start, as_of, _all_rows=F.sum("_rows"))
+    r = running(spine, "rfm_user_id", "first_day_of_quarter",
                 sums={"_c_nmv": "_nmv", "_c_orders": "_new_orders", "_c_days": "_new_days",
                       "_c_rows": "_rows", "_c_valued": "_valued"},
                 mins={"_c_first": "_first"}, maxs={"_c_last": "_last"})
-    return r.select(
-        quarter_end("first_day_of_quarter").alias("last_day_of_quarter"), "first_day_of_quarter", "rfm_user_id",
+    return r
+
+
+def _to_date() -> list[Column]:
+    return [
+        quarter_end("first_day_of_quarter").alias("last_day_of_quarter"), F.col("first_day_of_quarter"), F.col("rfm_user_id"),
         F.col("rfm_user_id").alias("rfm2_user_id"),
         # SUM(CASE WHEN due THEN gmv ELSE 0 END) is NULL only when every fact is due and unvalued
         F.when((F.col("_c_valued") == 0) & (F.col("_c_rows") == F.col("_all_rows")), F.lit(None))
@@ -107,12 +142,26 @@ def cumulative(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
         F.col("_c_orders").cast("bigint").alias("Cumulative_delivered_orders"),
         F.col("_c_days").cast("bigint").alias("Cumulative_unique_user_orders"),
         F.col("_c_last").alias("Cumulative_last_order_date"),
-        F.col("_c_first").alias("Cumulative_first_order_date"))
+        F.col("_c_first").alias("Cumulative_first_order_date")]
+
+
+def _in_quarter() -> list[Column]:
+    def has(c: Column) -> Column:
+        return F.when(F.col("_has"), c)
+
+    return [
+        has(F.col("rfm_user_id")).alias("user_id"), has(F.col("first_day_of_quarter")).alias("quarter_from_system_delivery_date"),
+        has(F.col("_own_nmv").cast("double")).alias("NMV"), has(F.col("_own_orders")).alias("delivered_orders"),
+        has(safe_ratio(F.col("_own_nmv"), F.col("_own_orders"))).alias("AOV"),
+        has(F.col("_own_months")).alias("months_of_orders_all_status"), has(F.col("_own_days")).alias("unique_user_orders"),
+        has(F.col("_own_last")).alias("last_order_date"), has(F.col("_own_first")).alias("first_order_date")]
+
+
+def cumulative(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    """To-date metrics at each quarter end per user (users without facts vanish)."""
+    return _history(gmv, start, as_of).select(*_to_date())
 
 
 def report(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
-    """To-date metrics joined with the in-quarter metrics of the same quarter."""
-    c = cumulative(gmv, start, as_of)
-    m = quarter_metrics(gmv, start)
-    return c.join(m, (m["user_id"] == c["rfm2_user_id"])
-                  & (m["quarter_from_system_delivery_date"] == c["first_day_of_quarter"]), "left")
+    """To-date metrics with the in-quarter metrics of the same quarter."""
+    return _history(gmv, start, as_of).select(*_to_date(), *_in_quarter())

@@ -345,8 +345,7 @@ def q_audit_log_since(t):
 @query("quarter_calendar")
 def q_quarter_calendar(t):
     """The calendar quarters of the RFM spine (the calendar as the report joins it)."""
-    spine = rfm.user_quarter_spine(rfm.quarter_metrics(item_facts.gmv_mart(t), RFM_START), RFM_START, AS_OF)
-    return spine.select("quarter", "first_day_of_quarter", "last_day_of_quarter").distinct()
+    return rfm.calendar(item_facts.gmv_mart(t), RFM_START, AS_OF)
 
 
 @query("rfm_quarter_metrics")
