@@ -46,6 +46,25 @@ def test_since_cut_is_midnight(spark):
     assert got == ["2023-06-21T00:00:00.000001Z"]
 
 
+def test_since_cut_with_any_fraction(spark):
+    """No fraction, and one to six digits, on both sides of the cut."""
+    docs = [f'{{"current":{{"updated_at":"2023-06-{d}T{t}Z"}}}}' for d, t in (
+        ("25", "10:00:00"), ("20", "10:00:00"), ("21", "00:00:00"), ("21", "00:00:01"), ("25", "10:00:00.5"),
+        ("21", "00:00:00.001"), ("20", "23:59:59.999"), ("21", "00:00:00.000"))]
+    got = sorted(r.updated_at for r in audit_log.audit_log_since(_logs(spark, docs), dt.date(2023, 6, 21)).collect())
+    assert got == ["2023-06-21T00:00:00.001Z", "2023-06-21T00:00:01Z", "2023-06-25T10:00:00.5Z", "2023-06-25T10:00:00Z"]
+
+
+def test_text_extract_keeps_all_digits(spark):
+    docs = ['{"current":{"mrp":12345678901234567890.12,"price":12.50,"weight":1e3,"id":0.1,"rank":-7}}',
+            '{"current":{"mrp":true,"code":"12.50","price":null}}', '{"current":{"mrp":1},"current":{"mrp":2}}', "[]", "{}", None]
+    got = [(r.mrp, r.price, r.weight, r.id, r.rank, r.code) for r in audit_log.audit_log_text(_logs(spark, docs)).collect()]
+    assert got[0][0] == "12345678901234567890.12" and got[0][1] == "12.5"     # documented: trailing zeros go
+    assert float(got[0][2]) == 1000 and got[0][3:5] == ("0.1", "-7")
+    assert got[1] == ("true", None, None, None, None, "12.50")
+    assert got[2:] == [(None,) * 6] * 4                                        # a key named twice, no object, nothing
+
+
 def test_numeric_ids_regex(spark):
     docs = ['{"current":{"id":"-.5"}}', '{"current":{"id":"5."}}', '{"current":{"id":"1e5"}}',
             '{"current":{"id":"+12"}}', '{"current":{}}']

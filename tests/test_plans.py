@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from tests.conftest import SMALL
@@ -69,10 +71,33 @@ def test_funnel_aggregates_without_extra_exchange_on_order_key(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_hot_fact_key_is_split_by_aqe(spark):
-    """One order key holding most fact rows: the inner branch of ``left_join_fact`` is
-    skew-split by AQE at run time; a plain left join with the hot key on its right side
-    is not (Spark can only split the preserved side of an outer join)."""
+# every partition of a few kB counts as large, and nothing is broadcast
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@pytest.fixture
+def skew_conf(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def _final_plan(df):
+    df.collect()  # the frame itself, so that its adaptive plan is final
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    return plan.split("== Initial Plan ==")[0]
+
+
+def test_hot_fact_key_is_split_by_aqe(spark, skew_conf):
+    """One order key holding most fact rows: ``left_join_fact`` is split by AQE at run time; a plain
+    left join with the hot key on its right side is not."""
     from pyspark.sql import functions as F
 
     from tijara.operators.dims import left_join_fact
@@ -81,23 +106,109 @@ def test_hot_fact_key_is_split_by_aqe(spark):
     items = spark.range(0, 60000).select(
         F.when(F.col("id") % 10 < 8, F.lit(1)).otherwise(F.col("id") % 2000).alias("order_id"),  # key 1: 80% of rows
         F.col("id").alias("item"))
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
+    safe = left_join_fact(orders, items, "oid", "order_id", orders, items)
+    plain = orders.join(items, F.col("oid") == F.col("order_id"), "left")
+    assert "skew=true" in _final_plan(safe)
+    assert "skew=true" not in _final_plan(plain)
+    assert safe.count() == plain.count() == 60000 + 1599   # matched + orders without items
+
+
+@pytest.fixture(scope="module")
+def hot_tables(spark, tmp_path_factory):
+    """Written domain tables: one SKU on most items, most orders without a stop, one hot order."""
+    from pyspark.sql import functions as F
+
+    from tijara.registry import tables_for
+    from tijara.sources.io import ParquetTables
+
+    root = str(tmp_path_factory.mktemp("hot"))
+    base = tables_for(spark, "/root/testdata/sf0.01")
+    for name in base:
+        df = base[name]
+        if name == "order_items":
+            hot_sku = df.agg(F.min("sku_id")).first()[0]
+            df = df.withColumn("sku_id", F.when(F.col("id") % 10 < 8, F.lit(hot_sku)).otherwise(F.col("sku_id")))
+        elif name == "orders":
+            df = df.withColumn("stop_id", F.when(F.col("id") % 10 == 0, F.col("stop_id")))
+        df.repartition(4).write.parquet(f"{root}/{name}")
+    return ParquetTables(spark, root)
+
+
+@pytest.mark.parametrize("job", ["fulfilment_funnel", "monthly_delivered_gmv", "order_denormalized"])
+def test_whole_jobs_split_the_hot_sku(hot_tables, skew_conf, job):
+    """The whole jobs, with a hot SKU and 90 % of the orders without a stop, run on split partitions."""
+    from tijara.registry import QUERIES, all_queries
+
+    all_queries()
+    assert "skew=true" in _final_plan(QUERIES[job](hot_tables))
+
+
+def test_null_stops_are_spread(spark):
+    """Orders without a stop leave the stop join's shuffle evenly dealt."""
+    from pyspark.sql import functions as F
+
+    from tijara.operators.dims import left_join_spread
+
+    orders = spark.range(0, 20000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("stop_id"))
+    stops = spark.range(0, 20000, 10).select(F.col("id").alias("ref"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        safe = left_join_fact(orders, items, "oid", "order_id")
-        plain = orders.join(items, F.col("oid") == F.col("order_id"), "left")
-        # execute the frames themselves so their adaptive plans are final
-        assert len(safe.collect()) == len(plain.collect()) == 60000 + 1599   # matched + orders without items
-        safe_plan = safe._jdf.queryExecution().executedPlan().toString()
-        plain_plan = plain._jdf.queryExecution().executedPlan().toString()
-        assert "isFinalPlan=true" in safe_plan and "isFinalPlan=true" in plain_plan
-        assert "skew=true" in safe_plan
-        assert "skew=true" not in plain_plan
+        joined = left_join_spread(orders, stops, "stop_id", "ref", "id")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20000 and max(sizes) < 2 * 20000 / 8
     finally:
-        for k, v in old.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("job, scans", [("rfm_report", 1), ("rfm_cumulative", 1), ("quarter_user_spine", 1),
+                                        ("quarter_calendar", 1), ("retailer_performance", 1)])
+def test_one_scan_of_the_fact_mart(spark, tmp_path, job, scans):
+    """Jobs over the persisted item facts read them once."""
+    from tijara.plans import item_facts
+    from tijara.registry import QUERIES, all_queries, tables_for
+
+    all_queries()
+    t = tables_for(spark, SMALL)
+    path = str(tmp_path / "all_gmv")
+    item_facts.all_gmv(t).write.parquet(path)
+    df = QUERIES[job](t.with_table("all_gmv", spark.read.parquet(path)))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[order_id#\d+L?,user_id#\d+L?,sku_id#", plan)) == scans
+
+
+def test_latest_log_is_one_scan(spark, tmp_path):
+    from tijara.operators.keyed import latest_per_key
+
+    path = str(tmp_path / "logs")
+    spark.createDataFrame([(1, 7), (2, 7)], "id int, stop_id int").write.parquet(path)
+    plan = latest_per_key(spark.read.parquet(path), "stop_id", "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_sorted_outputs(spark):
+    """The order mart and the rate card come sorted, NULLs where the report's engine puts them."""
+    from tijara.registry import all_queries
+
+    def first_last(names, nulls_first):
+        def key(row):
+            return [((row[c] is None) != nulls_first, row[c] if row[c] is not None else 0) for c in names]
+        return key
+
+    mart = all_queries()["order_denormalized"](spark, "/root/testdata/sf0.01").collect()
+    by = ("MasterOrderID", "OrderID", "OrderType", "OrderCreatedAt", "Product_Name", "Product Variant Name")
+    assert len(mart) > 100 and [first_last(by, True)(r) for r in mart] == sorted(first_last(by, True)(r) for r in mart)
+    card = all_queries()["commission_rate_card"](spark, "/root/testdata/sf0.01").collect()
+    by = ("City", "Category ID", "Category", "Sub-Category ID")
+    assert len(card) > 5 and [first_last(by, False)(r) for r in card] == sorted(first_last(by, False)(r) for r in card)
+
+
+def test_sort_keeps_nulls_in_place(spark):
+    """NULLs in each sort key of the rate card stand last, of the mart first."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(None, 1), ("a", None), ("a", 1), (None, None)], "City string, k int")
+    out = [tuple(r) for r in df.orderBy(F.col("City").asc_nulls_last(), F.col("k").asc_nulls_last()).collect()]
+    assert out == [("a", 1), ("a", None), (None, 1), (None, None)]
+    assert [tuple(r) for r in df.orderBy("City", "k").collect()] == [(None, None), (None, 1), ("a", None), ("a", 1)]

@@ -6,6 +6,7 @@ from __future__ import annotations
 import decimal
 import itertools
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +59,23 @@ def py_rules(m, st, t, ss, stop_key, order_stop, qty, picked, ret, price):
         out["pre_dispatch_cancelled_qty"] = 0
     out["total_pre_dispatch_cancelled_qty"] = c(qty) if (own and st == 6) else 0
     out["value"] = price * value_qty
+    # order-mart money
+    out["punched_gmv"] = out["qty_ordered"] * price
+    out["delivered_gmv"] = delivered * price
+    out["cancelled_gmv"] = None if ds else (c(qty) * price if own and st == 6 else 0)
+    out["pre_dispatch_cancelled_gmv"] = out["cancelled_qty"] * price
+    out["actualized_commission"] = 7.5 / 100 * delivered * float(price)
+    # funnel and drop-ship money; a NULL quantity gives NULL where it is not read as 0
+    times = None if qty is None else price * qty
+    out["funnel_punched_gmv"] = times if t == 1 else 0
+    out["funnel_ordered_gmv"] = times if order_stop is not None and t == 1 else 0
+    out["funnel_dispatched_gmv"] = price * c(picked) if t == 1 else 0
+    spot_value = (None if picked is None else picked * price) if t == 2 else 0
+    stop_value = (c(ret) if ss == 4 else c(picked) if ss == 5 else 0) * price
+    out["funnel_return_gmv"] = None if spot_value is None else stop_value - spot_value
+    out["ds_ordered_gmv"] = times if t == 1 else 0
+    out["ds_delivered_gmv"] = (c(qty) - c(ret)) * price if dlv else 0
+    out["ds_commission_value"] = float(out["ds_delivered_gmv"]) * (7.5 / 100)
     # funnel
     out["funnel_qty_ordered"] = qty if (order_stop is not None and t == 1) else 0
     stop_ret = c(ret) if ss == 4 else (c(picked) if ss == 5 else 0)
@@ -74,14 +92,19 @@ def test_rule_grid(spark):
         T.StructField("stop_ref", T.LongType()), T.StructField("stop_id", T.LongType()),
         T.StructField("qty", T.LongType()), T.StructField("picked_qty", T.LongType()),
         T.StructField("return_qty", T.LongType()), T.StructField("price", T.DecimalType(18, 2)),
+        T.StructField("commission_value", T.DecimalType(5, 2)),
     ])
     data = []
     for m, st, t, ss, (q, p, r) in itertools.product(MODES, STATUSES, TYPES, STOP_STATUSES, QTYS):
-        stop_key = None if ss is None else 99
-        data.append((m, st, t, ss, stop_key, stop_key, q, p, r, decimal.Decimal("2.50")))
+        # a stop and its row; no stop; a stop id that names no stop row
+        for stop_key, order_stop in ((99, 99),) if ss is not None else ((None, None), (None, 99)):
+            data.append((m, st, t, ss, stop_key, order_stop, q, p, r, decimal.Decimal("2.50"), decimal.Decimal("7.50")))
     df = spark.createDataFrame(data, schema)
     R = Rules(ItemCols())
-    out = df.select("*",
+    money = ("punched_gmv", "delivered_gmv", "cancelled_gmv", "pre_dispatch_cancelled_gmv", "actualized_commission",
+             "funnel_punched_gmv", "funnel_ordered_gmv", "funnel_dispatched_gmv", "funnel_return_gmv", "ds_ordered_gmv",
+             "ds_delivered_gmv", "ds_commission_value")
+    out = df.select("*", *[getattr(R, m)().alias(m) for m in money],
                     R.qty_ordered().alias("qty_ordered"), R.picked_qty().alias("picked_qty_r"),
                     R.dispatched_qty().alias("dispatched_qty"), R.spot_sold_qty().alias("spot_sold_qty"),
                     R.delivered_qty().alias("delivered_qty"), R.return_qty().alias("return_qty_r"),
@@ -103,6 +126,8 @@ def test_rule_grid(spark):
         }
         for k, v in got.items():
             assert v == exp[k], (k, row, v, exp[k])
+        for k in money:
+            assert row[k] == (pytest.approx(exp[k]) if isinstance(row[k], float) else exp[k]), (k, row, exp[k])
 
 
 def test_not_applicable_is_null_not_zero(spark):

@@ -69,7 +69,7 @@ def left_join_spread(left: DataFrame, right: DataFrame, key: str, ref: str, spre
     ``spread_by`` share one shuffle of ``left``.
     """
     spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(ways))).otherwise(F.lit(0).cast("bigint"))
-    side = right.withColumn("_zero", F.col(ref) * 0)  # computed, so that the join keeps it as a key
+    side = right.withColumn("_zero", F.pmod(F.xxhash64(ref), F.lit(1)))  # a 0 that the optimiser can't fold: a join key
     return (left.withColumn("_spread", spread)
             .join(side, (F.col(key) == F.col(ref)) & (F.col("_spread") == F.col("_zero")), "left")
             .drop("_spread", "_zero"))

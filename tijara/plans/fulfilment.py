@@ -182,12 +182,13 @@ def fulfilment_funnel(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCA
     return funnel(t, modes, offset_hours).select(*FUNNEL_OUT)
 
 
-def reconciled(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
+def reconciled(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS, *,
+               dedupe_logs: bool = False) -> DataFrame:
     """Funnel with net-of-bulk-discount value and return qty minus counted returns.
 
     Each funnel row meets every roll-up row of its (route, SKU) — several days fan out.
     """
-    y = funnel(t, modes, offset_hours)
+    y = funnel(t, modes, offset_hours, dedupe_logs=dedupe_logs)
     rd = return_discrepancy_rollup(t, offset_hours=offset_hours).select(
         F.col("route_id").alias("_rd_route"), F.col("sku_id").alias("_rd_sku"),
         F.col("Actual Return Qty").alias("_rd_actual"))
@@ -199,14 +200,15 @@ def reconciled(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSE
         .alias("Discrepency in Returns(To be Charged)"))
 
 
-def top_n(t, n: int = 500, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
+def top_n(t, n: int = 500, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS, *,
+          dedupe_logs: bool = False) -> DataFrame:
     """First ``n`` reconciled rows by city, delivery date (newest first), route, SKU.
 
     NULL placement follows the report's engine (ASC -> NULLS LAST, DESC -> NULLS FIRST);
     the remaining columns break ties so the cut is deterministic. Planned as a
     per-partition top-n followed by one merge (``TakeOrderedAndProject``).
     """
-    r = reconciled(t, modes, offset_hours)
+    r = reconciled(t, modes, offset_hours, dedupe_logs=dedupe_logs)
     lead = [F.col("City").asc_nulls_last(), F.col("Delivery Date").desc_nulls_first(),
             F.col("route_id").asc_nulls_last(), F.col("sku_id").asc_nulls_last()]
     rest = [F.col(c).asc_nulls_last() for c in r.columns if c not in ("City", "Delivery Date", "route_id", "sku_id")]
