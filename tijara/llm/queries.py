@@ -19,5 +19,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op6_jaccard_join": jaccard_join.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
