@@ -118,24 +118,24 @@ def filter_holds(keys: np.ndarray, seed: int, seg_len: int, seg_count: int, tabl
 
 # ---- Spark side --------------------------------------------------------------------------------
 
-def _digest(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
+def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        texts = [t.lower() for t in utf8(batch)]  # bytes.lower() touches A-Z only
-        cols = {"doc_id": batch.column("doc_id"),
-                "sha": pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())}
-        if with_text:
-            cols["bytes"] = pa.array(texts, pa.binary())
-        else:
-            cols["snapshot"] = batch.column("snapshot")
-        yield pa.RecordBatch.from_pydict(cols)
+        digests = [hashlib.sha256(t.lower()).digest() for t in utf8(batch)]  # bytes.lower() touches A-Z only
+        yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "sha": pa.array(digests, pa.binary()),
+                                          "snapshot": batch.column("snapshot")})
 
 
-def _digest_rows(batches):
-    yield from _digest(batches, False)
-
-
-def _digest_texts(batches):
-    yield from _digest(batches, True)
+def _digest_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sha, bytes, keep_id, size): equal texts of a slice leave the task as one row."""
+    for batch in slices(batches):
+        groups: dict[bytes, list] = {}
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), utf8(batch), strict=True):
+            groups.setdefault(text.lower(), []).append(doc_id)
+        known = [[i for i in ids if i is not None] for ids in groups.values()]
+        yield pa.RecordBatch.from_pydict({
+            "sha": pa.array([hashlib.sha256(t).digest() for t in groups], pa.binary()), "bytes": pa.array(list(groups), pa.binary()),
+            "keep_id": pa.array([max(ids, default=None) for ids in known], pa.int64()),
+            "size": pa.array(map(len, groups.values()), pa.int64())})
 
 
 def _key(sha: Column) -> Column:
@@ -189,9 +189,9 @@ def exact_groups(docs: DataFrame, snapshot: Column) -> tuple[DataFrame, DataFram
     groups = stored(merged.unionByName(screened.where("not hit").drop("hit")), "groups")
 
     # byte check: rows of repeated digests are grouped by their whole bytes
-    repeated = texts_of(docs).mapInArrow(_digest_texts, "doc_id bigint, sha binary, bytes binary").join(
+    repeated = texts_of(docs).mapInArrow(_digest_texts, "sha binary, bytes binary, keep_id bigint, size bigint").join(
         groups.where("size > 1").select("sha"), "sha", "left_semi")
-    by_bytes = repeated.groupBy("sha", "bytes").agg(*totals)
+    by_bytes = repeated.groupBy("sha", "bytes").agg(F.max("keep_id").alias("keep_id"), F.sum("size").alias("size"))
     checked = by_bytes.groupBy("sha").agg(F.max("keep_id").alias("keep_id"), F.sum("size").alias("size"),
                                           F.count(F.lit(1)).alias("n_texts"))
     checked = checked.select("sha", "keep_id", F.when(F.col("n_texts") > 1, F.raise_error(
