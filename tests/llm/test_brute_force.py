@@ -222,6 +222,12 @@ def test_jaccard_families(spark):
                 copy[place] = str(rng.choice(vocabulary))
             texts[len(texts) + 10] = " ".join(copy)
             base = copy if family % 2 else base  # every other family drifts
+    for size in (1020, 2045):  # sizes around a doubling of the parity bits
+        base = list(rng.choice(vocabulary, size))
+        for k in range(6):
+            copy = [*base[:size - 3 + k], *rng.choice(vocabulary, 4 * k)]
+            copy[50 * k] = "edited"
+            texts[len(texts) + 10] = " ".join(copy)
     for k in range(30):
         texts[len(texts) + 10] = "a line that all of these share " + str(k % 7)
     texts |= {1: "one", 2: "One", 3: "one two", 4: "one  two", 5: "", 6: " \n", 7: "two one"}

@@ -17,8 +17,9 @@ n - ceil(t n) + 1 ones, so:
    parity filters, are all verified, so no link between components is lost; pairs inside one
    component could not change the result.
 
-Pairs are verified on whole sets. Before that each pair must pass the parity filter, which is exact:
-two sets differ in at least as many shingles as their 1024 parity bits differ.
+Pairs are verified on whole sets. Before that each pair must pass the parity filters, which are exact:
+two sets differ in at least as many shingles as their parity bits differ. Lists carry 256 bits, nodes 1024,
+and nodes of more shingles than that at least a bit per shingle.
 
 No list is collected anywhere, and no cap applies: lists of unrelated nodes keep all their pairs.
 
@@ -43,6 +44,7 @@ from tijara.llm.components import components
 from tijara.llm.shingles import WordHashes, in_order, parity_bits, shingle_levels, shingle_sets
 
 PARITY = 1024
+COARSE = 256
 
 
 def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -59,9 +61,11 @@ def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
                 "sig": pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
                 "prefix": pa.array([in_order(s, levels.value)[:p].view(np.int64) for s, p in zip(sets, first, strict=True)],
                                    pa.list_(pa.int64())),
-                "bits": pa.array([parity_bits(s, PARITY) for s in sets], pa.list_(pa.int64()))})
+                "bits": pa.array([parity_bits(s, PARITY) for s in sets], pa.list_(pa.int64())),
+                "fine": pa.array([parity_bits(s, 1 << (len(s) - 1).bit_length()) if len(s) > PARITY else None for s in sets],
+                                 pa.list_(pa.int64()))})
 
-    return texts.mapInArrow(run, "doc_id bigint, n bigint, sig binary, prefix array<bigint>, bits array<bigint>")
+    return texts.mapInArrow(run, "doc_id bigint, n bigint, sig binary, prefix array<bigint>, bits array<bigint>, fine array<bigint>")
 
 
 def _full_sets(texts: DataFrame, k: int) -> DataFrame:
@@ -76,11 +80,38 @@ def _full_sets(texts: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(run, "id bigint, sig binary, shingles array<bigint>")
 
 
-def _may_link(nx: Column, ny: Column, bx: Column, by: Column, percent: int) -> Column:
+def _may_differ(differ: Column, nx: Column, ny: Column, percent: int) -> Column:
+    """Whether sets of these sizes that differ in ``differ`` shingles or more can still link."""
+    return (100 + percent) * (nx + ny - differ) >= 2 * percent * (nx + ny)
+
+
+def _may_link(nx: Column, ny: Column, bx: Column, by: Column, bits: int, percent: int) -> Column:
     """Size and parity filters; false only for pairs that can't link."""
-    differ = sum((F.bit_count(bx[i].bitwiseXOR(by[i])) for i in range(PARITY // 64)), F.lit(0))
-    return ((100 * F.least(nx, ny) >= percent * F.greatest(nx, ny))
-            & ((100 + percent) * (nx + ny - differ) >= 2 * percent * (nx + ny)))
+    differ = sum((F.bit_count(bx[i].bitwiseXOR(by[i])) for i in range(bits // 64)), F.lit(0))
+    return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & _may_differ(differ, nx, ny, percent)
+
+
+def _folded(bits: Column) -> Column:
+    """PARITY parity bits as COARSE ones: cells that meet modulo COARSE are combined."""
+    width = COARSE // 64
+    out = []
+    for i in range(width):
+        cell = bits[i]
+        for k in range(i + width, PARITY // 64, width):
+            cell = cell.bitwiseXOR(bits[k])
+        out.append(cell)
+    return F.array(*out)
+
+
+def _fine_differ(x: Column, y: Column) -> Column:
+    """Differing cells of two long parities; the longer one is folded to the other's length."""
+    width = F.least(F.size(x), F.size(y))
+
+    def fold(a: Column) -> Column:
+        halves = F.zip_with(F.slice(a, 1, width), F.slice(a, width + 1, width), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(a) > width, halves).otherwise(a)
+
+    return F.aggregate(F.zip_with(fold(x), fold(y), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
 
 
 class _Verifier:
@@ -94,9 +125,12 @@ class _Verifier:
         """Links (a, b) among ``pairs`` (u, v): the filters first, then the whole sets."""
         percent = self.percent
         light = [self.nodes.select(F.col("id").alias(x), F.col("sig").alias(f"sig{x}"), F.col("n").alias(f"n{x}"),
-                                   F.col("bits").alias(f"b{x}")) for x in "uv"]
-        likely = stored(pairs.where("u != v").join(light[0], "u").join(light[1], "v").where(
-            _may_link(F.col("nu"), F.col("nv"), F.col("bu"), F.col("bv"), percent)).select("u", "sigu", "v", "sigv"), "likely")
+                                   F.col("bits").alias(f"b{x}"), F.col("fine").alias(f"f{x}")) for x in "uv"]
+        both = pairs.where("u != v").join(light[0], "u").join(light[1], "v").where(
+            _may_link(F.col("nu"), F.col("nv"), F.col("bu"), F.col("bv"), PARITY, percent))
+        fine = F.when(F.col("fu").isNotNull() & F.col("fv").isNotNull(), _fine_differ(F.col("fu"), F.col("fv")))
+        likely = stored(both.where(_may_differ(F.coalesce(fine, F.lit(0)), F.col("nu"), F.col("nv"), percent)).select(
+            "u", "sigu", "v", "sigv"), "likely")
         wanted = likely.select(F.col("u").alias("doc_id")).union(likely.select("v")).distinct()
         if self.sets is not None:
             wanted = wanted.join(self.sets.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
@@ -113,7 +147,7 @@ class _Verifier:
 def _placed(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """``nodes`` with their component so far."""
     return stored(nodes.join(found, nodes["id"] == found["node"], "left").select(
-        *nodes.columns, F.coalesce("component", "id").alias("component")), "placed")
+        "id", "group", "n", "bits", F.coalesce("component", "id").alias("component")), "placed")
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
@@ -121,7 +155,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     texts = texts_of(docs)
     rows = stored(_sets(texts, k, percent), "sets")
     every = stored(rows.where("n > 0 and doc_id is not null").groupBy("n", "sig").agg(
-        F.min("doc_id").alias("id"), F.max("prefix").alias("prefix"), F.max("bits").alias("bits"))
+        F.min("doc_id").alias("id"), F.max("prefix").alias("prefix"), F.max("bits").alias("bits"),
+        F.max("fine").alias("fine"))
         .withColumn("prefix_key", F.xxhash64("prefix")), "nodes")
 
     # groups of nodes with equal size and prefix; the smallest id names the group
@@ -134,7 +169,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     lists = stored(postings.join(shared, "shingle").select(
         "shingle", "group", "n", "pos", F.explode(F.array(size_class, size_class + 1)).alias("class")), "lists")
     nodes = stored(every.join(groups.select("n", "prefix_key", "group"), ["n", "prefix_key"])
-                   .join(lists.select("group").distinct(), "group", "left_semi").select("id", "sig", "group", "n", "bits"), "members")
+                   .join(lists.select("group").distinct(), "group", "left_semi").select("id", "sig", "group", "n", "bits", "fine"), "members")
     verifier = _Verifier(texts, nodes, k, percent)
 
     # star, first step: each node against its group's first node, or that against its commonest leader
@@ -162,7 +197,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         F.min("low").alias("low"), F.max("high").alias("high")).where("low != high").select("shingle", "class")
     main = lead.join(placed.select(F.col("id").alias("leader"), F.col("component").alias("main")).distinct(), "leader").drop("leader")
     entries = stored(lists.drop("n").join(open_lists, ["shingle", "class"]).join(main, ["shingle", "class"]).join(
-        placed.drop("sig"), "group"), "entries")
+        placed.select("group", "id", "n", "component", _folded(F.col("bits")).alias("bits")), "group"), "entries")
     x, y = entries.where("component != main").alias("x"), entries.alias("y")
     nx, ny, px, py = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
     most = F.least(px, py) + F.least(nx - px, ny - py)  # shared shingles, given this one's places
@@ -170,7 +205,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
                   & (F.col("x.component") != F.col("y.component"))
                   & ((F.col("x.id") < F.col("y.id")) | (F.col("y.component") == F.col("y.main")))
                   & ((100 + percent) * most >= percent * (nx + ny))
-                  & _may_link(nx, ny, F.col("x.bits"), F.col("y.bits"), percent))
+                  & _may_link(nx, ny, F.col("x.bits"), F.col("y.bits"), COARSE, percent))
     rest = rest.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
     known = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     links = links.unionByName(verifier.links(rest.join(known, ["u", "v"], "left_anti")))
