@@ -14,6 +14,7 @@ from tijara.session import checkpoint_dir, ship_package
 
 SLICE_BYTES = 4 << 20  # text bytes handled at once by a Python task
 SLICE_ROWS = 2000
+BROADCAST_IDS = 1 << 20
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,16 @@ def utf8(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return a.cast(pa.large_binary() if pa.types.is_large_string(a.type) else pa.binary()).to_pylist()
 
 
+def among(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in ``ids`` (a stored table of that one column).
+
+    Up to BROADCAST_IDS ids (8 MB, below Spark's usual threshold) are counted and broadcast, so that
+    ``df`` with its texts stays where it is; more are joined by a shuffle.
+    """
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, key, "left_semi")
+
+
 def count_for(counts: DataFrame, n: int) -> int | None:
     """The least value of column ``n`` such that at most ``n`` rows have it or more; None if none fits.
 

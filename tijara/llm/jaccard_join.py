@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tijara.llm.common import read_documents, slices, stored, texts_of, utf8
+from tijara.llm.common import among, read_documents, slices, stored, texts_of, utf8
 from tijara.llm.components import components
 from tijara.llm.shingles import WordHashes, in_order, parity_bits, shingle_levels, shingle_sets
 
@@ -134,7 +134,7 @@ class _Verifier:
         wanted = likely.select(F.col("u").alias("doc_id")).union(likely.select("v")).distinct()
         if self.sets is not None:
             wanted = wanted.join(self.sets.select(F.col("id").alias("doc_id")), "doc_id", "left_anti")
-        new = stored(_full_sets(self.texts.join(stored(wanted, "wanted"), "doc_id", "left_semi"), self.k), "whole_sets")
+        new = stored(_full_sets(among(self.texts, stored(wanted, "wanted"), "doc_id"), self.k), "whole_sets")
         self.sets = new if self.sets is None else self.sets.unionByName(new)
         whole = [self.sets.select(F.col("id").alias(x), F.col("sig").alias(f"sig{x}"), F.col("shingles").alias(f"s{x}")) for x in "uv"]
         common = likely.join(whole[0], ["u", "sigu"]).join(whole[1], ["v", "sigv"]).select(

@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def held_out(doc_id: Column) -> Column:
-    return crc_remainder(doc_id, 3) == 1
+    return F.coalesce(crc_remainder(doc_id, 3) == 1, F.lit(False))
 
 
 def _model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:

@@ -21,7 +21,7 @@ class WordHashes(dict):
     """64-bit hash of each word; remembers words, within a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
