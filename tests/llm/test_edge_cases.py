@@ -109,3 +109,21 @@ def test_no_labels(spark):
     nothing = spark.createDataFrame([], "doc_id bigint, quality int")
     scored = quality_knn.score(df, quality_knn.fit(df, nothing, F.lit(True))).collect()
     assert {(r.score, r.predicted) for r in scored} == {(0.5, 1)}
+
+
+@pytest.mark.parametrize("bound", [1, 100])
+def test_ids_beyond_the_broadcast_bound(spark, monkeypatch, bound):
+    """Few ids are broadcast, many are joined by a shuffle; the rows are the same."""
+    from tijara.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_IDS", bound)
+    df = frame(spark, [(k, "t") for k in range(20)])
+    ids = spark.createDataFrame([(3,), (5,), (99,)], "doc_id bigint")
+    assert sorted(r.doc_id for r in common.among(df, ids, "doc_id").collect()) == [3, 5]
+
+
+def test_count_threshold_takes_counts_whole(spark):
+    from tijara.llm.common import count_for
+
+    counts = spark.createDataFrame([(5,), (4,), (4,), (2,)], "n bigint")
+    assert [count_for(counts, k) for k in (0, 1, 2, 3, 4, 9)] == [None, 5, 5, 4, 2, 2]

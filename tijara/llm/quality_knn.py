@@ -10,7 +10,7 @@ balanced by its share of the training rows so that a rare class is not outvoted
 
 Labels are learned from at most ``MAX_TRAIN`` labelled documents, those whose ids have the smallest
 hash: the bound on what is collected for the fit and broadcast (vectors of at most
-MAX_TRAIN x DIMENSIONS floats and a projection of TERMS x DIMENSIONS, under 4 MB). Each document is
+MAX_TRAIN x DIMENSIONS floats and a projection of TERMS x DIMENSIONS, under 2 MB). Each document is
 scored by one map over whole texts; nothing is shuffled but the chosen labelled rows.
 
 Defined results: null or empty text: no terms, so the score is a half (nothing speaks for either
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tijara.llm.common import crc_remainder, read_documents, slices, texts_of, utf8
 
-MAX_TRAIN = 6000
+MAX_TRAIN = 4000
 DIMENSIONS = 48
 NEIGHBOURS = 25
 SHARPNESS = 8  # votes weigh similarity to this power
@@ -92,14 +92,20 @@ class Model:
     """Latent space, labelled vectors and their votes."""
 
     def __init__(self, texts: list[bytes], labels: list[float]):
-        terms = np.stack([shape_terms(t) for t in texts]) if texts else np.zeros((0, TERMS), np.float32)
-        full = terms.any(axis=1) if len(texts) else np.zeros(0, bool)
-        terms, y = terms[full], np.asarray(labels, np.float64)[full]
-        self.empty = not len(terms)
+        full = [k for k, t in enumerate(texts) if t.strip()]
+        y = np.asarray(labels, np.float64)[full]
+        self.empty = not full
         if self.empty:
             return
-        self.idf = (np.log((1 + len(terms)) / (1 + (terms > 0).sum(axis=0))) + 1).astype(np.float32)
-        rows = _unit(terms * self.idf)
+        rows = np.zeros((len(full), TERMS), np.float32)  # the one large array; weighted in place
+        seen = np.zeros(TERMS, np.int64)
+        for row, k in zip(rows, full, strict=True):
+            row[:] = shape_terms(texts[k])
+            seen += row > 0
+        self.idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
+        for row in rows:
+            row *= self.idf
+            row /= np.linalg.norm(row) or 1.0
         self.space = right_vectors(rows, DIMENSIONS)
         self.vectors = _unit(rows @ self.space)
         # balanced votes: each class weighs a half in all
