@@ -18,8 +18,8 @@ n - ceil(t n) + 1 ones, so:
    component could not change the result.
 
 Pairs are verified on whole sets. Before that each pair must pass the parity filters, which are exact:
-two sets differ in at least as many shingles as their parity bits differ. Lists carry 256 bits, nodes 1024,
-and nodes of more shingles than that at least a bit per shingle.
+two sets differ in at least as many shingles as their parity bits differ. Lists and nodes carry 1024 bits,
+nodes of more shingles than that also at least a bit per shingle.
 
 No list is collected anywhere, and no cap applies: lists of unrelated nodes keep all their pairs.
 
@@ -44,7 +44,6 @@ from tijara.llm.components import components
 from tijara.llm.shingles import WordHashes, in_order, parity_bits, shingle_levels, shingle_sets
 
 PARITY = 1024
-COARSE = 256
 
 
 def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -85,24 +84,12 @@ def _may_differ(differ: Column, nx: Column, ny: Column, percent: int) -> Column:
     return (100 + percent) * (nx + ny - differ) >= 2 * percent * (nx + ny)
 
 
-def _may_link(nx: Column, ny: Column, bx: Column, by: Column, bits: int, percent: int) -> Column:
+def _may_link(nx: Column, ny: Column, bx: Column, by: Column, percent: int) -> Column:
     """Size and parity filters; false only for pairs that can't link."""
-    differ = sum((F.bit_count(bx[i].bitwiseXOR(by[i])) for i in range(bits // 64)), F.lit(0))
+    differ = sum((F.bit_count(bx[i].bitwiseXOR(by[i])) for i in range(PARITY // 64)), F.lit(0))
     return (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & _may_differ(differ, nx, ny, percent)
 
 
-def _folded(bits: Column) -> Column:
-    """PARITY parity bits as COARSE ones: cells that meet modulo COARSE are combined."""
-    width = COARSE // 64
-    out = []
-    for i in range(width):
-        cell = bits[i]
-        for k in range(i + width, PARITY // 64, width):
-            cell = cell.bitwiseXOR(bits[k])
-        out.append(cell)
-    return F.array(*out)
-
-
 def _fine_differ(x: Column, y: Column) -> Column:
     """Differing cells of two long parities; the longer one is folded to the other's length."""
     width = F.least(F.size(x), F.size(y))
@@ -127,7 +114,7 @@ class _Verifier:
         light = [self.nodes.select(F.col("id").alias(x), F.col("sig").alias(f"sig{x}"), F.col("n").alias(f"n{x}"),
                                    F.col("bits").alias(f"b{x}"), F.col("fine").alias(f"f{x}")) for x in "uv"]
         both = pairs.where("u != v").join(light[0], "u").join(light[1], "v").where(
-            _may_link(F.col("nu"), F.col("nv"), F.col("bu"), F.col("bv"), PARITY, percent))
+            _may_link(F.col("nu"), F.col("nv"), F.col("bu"), F.col("bv"), percent))
         fine = F.when(F.col("fu").isNotNull() & F.col("fv").isNotNull(), _fine_differ(F.col("fu"), F.col("fv")))
         likely = stored(both.where(_may_differ(F.coalesce(fine, F.lit(0)), F.col("nu"), F.col("nv"), percent)).select(
             "u", "sigu", "v", "sigv"), "likely")
@@ -197,7 +184,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         F.min("low").alias("low"), F.max("high").alias("high")).where("low != high").select("shingle", "class")
     main = lead.join(placed.select(F.col("id").alias("leader"), F.col("component").alias("main")).distinct(), "leader").drop("leader")
     entries = stored(lists.drop("n").join(open_lists, ["shingle", "class"]).join(main, ["shingle", "class"]).join(
-        placed.select("group", "id", "n", "component", _folded(F.col("bits")).alias("bits")), "group"), "entries")
+        placed.select("group", "id", "n", "component", "bits"), "group"), "entries")
     x, y = entries.where("component != main").alias("x"), entries.alias("y")
     nx, ny, px, py = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
     most = F.least(px, py) + F.least(nx - px, ny - py)  # shared shingles, given this one's places
@@ -205,7 +192,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
                   & (F.col("x.component") != F.col("y.component"))
                   & ((F.col("x.id") < F.col("y.id")) | (F.col("y.component") == F.col("y.main")))
                   & ((100 + percent) * most >= percent * (nx + ny))
-                  & _may_link(nx, ny, F.col("x.bits"), F.col("y.bits"), COARSE, percent))
+                  & _may_link(nx, ny, F.col("x.bits"), F.col("y.bits"), percent))
     rest = rest.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
     known = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     links = links.unionByName(verifier.links(rest.join(known, ["u", "v"], "left_anti")))
