@@ -32,12 +32,12 @@ BASE = {"under the mit license": "mit", "apache license version 2": "apache-2",
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
                    for c in range(256))
 
-# license families: label, its full name in words, its short names, keyword that any mention has.
+# license families: label, its full name in words, its short names, keywords of which any mention has one.
 # `{v}` stands for the versions, given after the keyword.
 FAMILIES = [
-    ("mit", "mit", "mit|x11|expat", "mit", ""),
+    ("mit", "mit", "mit|x11|expat", "mit|x11|expat", ""),
     ("mit-0", "mit no attribution", "mit 0|mit zero", "mit", ""),
-    ("apache-{v}", "apache(?: software)?", "apache(?: license)? {v}(?: 0)?|asl {v}", "apache", "1 2"),
+    ("apache-{v}", "apache(?: software)?", "apache(?: license)? {v}(?: 0)?|asl {v}", "apache|asl", "1 2"),
     ("gpl-{v}", "gnu general public", "(?:gnu )?gpl ?v?{v}(?: 0)?|gplv{v}", "g", "1 2 3"),
     ("lgpl-{v}", "gnu (?:lesser|library) general public", "(?:gnu )?lgpl ?v?{v}(?: [01])?|lgplv{v}", "g", "2 3"),
     ("agpl-{v}", "gnu affero general public", "(?:gnu )?agpl ?v?{v}(?: 0)?|agplv{v}", "g", "1 3"),
@@ -70,7 +70,7 @@ FAMILIES = [
     ("openssl", "openssl", "openssl", "openssl", ""),
     ("ncsa", "university of illinois ncsa open source", "ncsa", "ncsa", ""),
     ("postgresql", "postgresql", "postgresql", "postgresql", ""),
-    ("upl-1", "universal permissive", "upl 1 0", "up", ""),
+    ("upl-1", "universal permissive", "upl 1 0", "upl|universal", ""),
     ("ms-pl", "microsoft public", "ms pl", "m", ""),
     ("ms-rl", "microsoft reciprocal", "ms rl", "m", ""),
     ("sspl-1", "server side public", "sspl(?: 1)?", "s", ""),
@@ -79,7 +79,7 @@ FAMILIES = [
     ("odbl-1", "open database", "odbl(?: 1 0)?", "o", ""),
     ("odc-by-1", "open data commons attribution", "odc by(?: 1 0)?", "o", ""),
     ("pddl-1", "public domain dedication and", "pddl(?: 1 0)?", "p", ""),
-    ("cc0-1", "(?:cc0|creative commons zero)", "cc0(?: 1 0)?|cc zero", "cc0|creative", ""),
+    ("cc0-1", "(?:cc0|creative commons zero)", "cc0(?: 1 0)?|cc zero", "cc0|cc zero|creative", ""),
     ("cc-by", "creative commons attribution(?! non| share| no)", "cc by(?! nc| sa| nd)", "cc|creative", ""),
     ("cc-by-sa", "creative commons attribution share ?alike", "cc by sa", "cc|creative", ""),
     ("cc-by-nd", "creative commons attribution no ?deriv(?:s|atives)", "cc by nd", "cc|creative", ""),
