@@ -52,13 +52,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in pieces of about SLICE_BYTES of ``column``; one row is never cut."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in pieces of about ``size`` bytes of ``column``; one row is never cut."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
-            if i > start and (total + n > SLICE_BYTES or i - start >= SLICE_ROWS):
+            if i > start and (total + n > size or i - start >= SLICE_ROWS):
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n
