@@ -2,30 +2,35 @@
 
 Two documents link when their sets of distinct ``k``-word shingles have a Jaccard similarity of at
 least ``percent`` / 100. All shingles follow one global order, common ones last (a bounded sketch
-counts them over the whole corpus). Sets of similarity t share a shingle within their first
-n - ceil(t n) + 1 ones, so:
+counts them over the whole corpus). A linked set of n shingles misses at most n - ceil(t n) of them in its
+partner, so with p = n - ceil(t n) + 1 two linked sets share at least e + 1 of their first p + e shingles (e = p // 2,
+of the smaller one):
 
 1. Documents with equal sets become one node (map-side combined; copies cost one row per task).
-2. Nodes of equal size and prefix become one group; groups are posted under their prefix shingles.
-   Shingles that one node alone holds are dropped by a count.
-3. Lists of (shingle, size class) hold what can link: sizes must be within t, so a node goes to its
+2. Nodes of equal size and prefix become one group, posted once under its first p + e shingles.
+3. The postings give exact counts. The rarest of the e + 1 shingles that two linked groups both posted can't be among
+   the e most frequent ones of either, so a group leaves those out (e of the smallest partner it may have).
+   Shingles that one group alone holds come first in that order, so a group of unrelated text keeps none at all.
+4. Lists of (shingle, size class) hold what can link: sizes must be within t, so a group goes to its
    own size class and the next one.
-4. Star: every node is verified against one node, its group's first or the leader that most of its
-   lists share, then against the other leaders whose component still differs. That is a few pairs per
-   node, however large a family of near copies is. Verified links give components.
-5. Rest: pairs of a list whose nodes still lie in different components, after length, position and
-   parity filters, are all verified, so no link between components is lost; pairs inside one
-   component could not change the result.
+5. Star: every node is verified against its group's first node and against a few leaders, those that most of its
+   lists share in each of several orders, then against the other leaders whose component still differs. That is a few
+   pairs per node, however large a family of near copies is. Verified links give components.
+6. Rest: pairs of groups of a list that are not wholly in one component, and groups that aren't themselves, are
+   filtered, made distinct, and only then expanded; of their members all pairs in different components are verified
+   after size and parity filters. So no link between components is lost; pairs inside one component could not
+   change the result.
 
 Pairs are verified on whole sets. Before that each pair must pass the parity filters, which are exact:
-two sets differ in at least as many shingles as their parity bits differ. Lists and nodes carry 1024 bits,
-nodes of more shingles than that also at least a bit per shingle.
+two sets differ in at least as many shingles as their parity bits differ. Nodes carry 1024 bits,
+those of more shingles than that also at least a bit per shingle.
 
-No list is collected anywhere, and no cap applies: lists of unrelated nodes keep all their pairs.
+No list is collected anywhere, and no cap applies: lists of unrelated groups keep all their pairs.
 
 Defined results: null or empty texts have no shingles, link with nothing and are their own
 component. Rows without a doc_id have no component and link with nothing. Rows that repeat a doc_id
-belong to one document. An empty table gives an empty result.
+belong to one document: what any of their texts links with is in its component; n_shingles is each row's own.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,35 +41,46 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tijara.llm.common import among, read_documents, slices, stored, texts_of, utf8
+from tijara.llm.common import BROADCAST_IDS, among, read_documents, slices, stored, texts_of, utf8
 from tijara.llm.components import components
 from tijara.llm.shingles import WordHashes, in_order, parity_bits, shingle_levels, shingle_sets
 
 PARITY = 1024
+LEADERS = 4  # orders in which a list names a leader
+
+
+def _first(n: int, percent: int) -> int:
+    """How many of n shingles, in any one order, a linked set must share one of."""
+    return n - (-(-percent * n // 100)) + 1 if n else 0
 
 
 def _sets(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n (set size), sig (128-bit hash of the set), prefix (its first shingles in order), bits."""
-    levels = texts.sparkSession.sparkContext.broadcast(shingle_levels(texts, k))  # 4 MB
+    """doc_id, n (set size), sig (128-bit hash of the set), prefix_key, prefix (p + e first shingles in order), bits, fine."""
+    sc = texts.sparkSession.sparkContext
+    levels = sc.broadcast(shingle_levels(texts, k))  # 4 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in slices(batches):
             sets = shingle_sets(words, utf8(batch), k)
-            first = [len(s) - (-(-percent * len(s) // 100)) + 1 if len(s) else 0 for s in sets]
+            first = [_first(len(s), percent) for s in sets]
+            prefix = [in_order(s, levels.value)[:p + p // 2].view(np.int64) for s, p in zip(sets, first, strict=True)]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": pa.array(map(len, sets), pa.int64()),
                 "sig": pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
-                "prefix": pa.array([in_order(s, levels.value)[:p].view(np.int64) for s, p in zip(sets, first, strict=True)],
-                                   pa.list_(pa.int64())),
+                "prefix_key": pa.array([xxhash.xxh128_digest(s.tobytes()) for s in prefix], pa.binary()),
+                "prefix": pa.array(prefix, pa.list_(pa.int64())),
                 "bits": pa.array([parity_bits(s, PARITY) for s in sets], pa.list_(pa.int64())),
                 "fine": pa.array([parity_bits(s, 1 << (len(s) - 1).bit_length()) if len(s) > PARITY else None for s in sets],
                                  pa.list_(pa.int64()))})
 
-    return texts.mapInArrow(run, "doc_id bigint, n bigint, sig binary, prefix array<bigint>, bits array<bigint>, fine array<bigint>")
+    made = stored(texts.mapInArrow(run, "doc_id bigint, n bigint, sig binary, prefix_key binary, prefix array<bigint>, "
+                                        "bits array<bigint>, fine array<bigint>"), "sets")
+    levels.unpersist()
+    return made
 
 
 def _full_sets(texts: DataFrame, k: int) -> DataFrame:
@@ -137,71 +153,110 @@ def _placed(nodes: DataFrame, found: DataFrame) -> DataFrame:
         "id", "group", "n", "bits", F.coalesce("component", "id").alias("component")), "placed")
 
 
+def _postings(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """(group, n, shingle) of every group's first row. ``heads`` has its doc_id and sig; where few rows are others (copies), those
+    are broadcast and the prefixes stay where they are, else rows and heads are joined by a shuffle."""
+    others = stored(rows.select("doc_id", "sig").join(heads, ["doc_id", "sig"], "left_anti"), "others")
+    if others.limit(BROADCAST_IDS // 4 + 1).count() <= BROADCAST_IDS // 4:
+        first = rows.join(F.broadcast(others), ["doc_id", "sig"], "left_anti")
+    else:
+        first = rows.join(heads, ["doc_id", "sig"], "left_semi")
+    return first.select(F.col("doc_id").alias("group"), F.col("n").cast("int").alias("n"), F.explode("prefix").alias("shingle"))
+
+
+def _lists(postings: DataFrame, percent: int) -> DataFrame:
+    """(shingle, class, group, n) of the shingles that groups keep: all shared ones but the most frequent."""
+    holders = stored(postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "holders")
+    shared = postings.join(holders, "shingle").distinct()
+    least = F.ceil(percent * F.col("n") / 100)  # the smallest partner's size
+    spare = F.floor((least - F.ceil(percent * least / 100) + 1) / 2)
+    of_group = Window.partitionBy("group", "n")
+    kept = shared.withColumn("place", F.row_number().over(of_group.orderBy("holders", "shingle"))).withColumn(
+        "shared", F.count(F.lit(1)).over(of_group)).where(F.col("place") <= F.col("shared") - spare)
+    size_class = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
+    return stored(kept.select("shingle", "group", "n", F.explode(F.array(size_class, size_class + 1)).alias("class")), "lists")
+
+
+def _rest(lists: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """(u, v): pairs of groups with members that could still link into one component, each pair once."""
+    spread = stored(placed.groupBy("group").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.when(F.count(F.lit(1)) == 1, F.max("bits")).alias("bits")), "spread")  # of several members none speaks for all
+    within = spread.where("low != high").select(F.col("group").alias("u"), F.col("group").alias("v"))
+    whole = stored(lists.join(spread.select("group", "low", "high"), "group"), "whole")
+    # the component of a list's first group is its main one: main groups need no comparing with each other
+    open_lists = whole.groupBy("shingle", "class").agg(
+        F.min("low").alias("least"), F.max("high").alias("most"), F.min(F.struct("group", "low")).alias("first")).where(
+        "least != most").select("shingle", "class", F.col("first.low").alias("main"))
+    entries = stored(whole.join(open_lists, ["shingle", "class"]).join(spread.select("group", "bits"), "group").withColumn(
+        "settled", (F.col("low") == F.col("main")) & (F.col("high") == F.col("main"))), "entries")
+    x, y = entries.where("not settled").alias("x"), entries.alias("y")
+    nx, ny = F.col("x.n"), F.col("y.n")
+    bits = F.col("x.bits").isNull() | F.col("y.bits").isNull() | _may_link(nx, ny, F.col("x.bits"), F.col("y.bits"), percent)
+    one = (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high")) & (F.col("x.low") == F.col("y.low"))
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") == F.col("y.class"))
+                   & (F.col("y.settled") | (F.col("x.group") < F.col("y.group"))) & ~one
+                   & (100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)) & bits)
+    return pairs.select(F.least("x.group", "y.group").alias("u"), F.greatest("x.group", "y.group").alias("v")).unionByName(within).distinct()
+
+
 def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     texts = texts_of(docs)
-    rows = stored(_sets(texts, k, percent), "sets")
-    every = stored(rows.where("n > 0 and doc_id is not null").groupBy("n", "sig").agg(
-        F.min("doc_id").alias("id"), F.max("prefix").alias("prefix"), F.max("bits").alias("bits"),
-        F.max("fine").alias("fine"))
-        .withColumn("prefix_key", F.xxhash64("prefix")), "nodes")
-
+    rows = _sets(texts, k, percent)
+    usable = rows.where("n > 0 and doc_id is not null")
+    every = stored(usable.groupBy("n", "sig", "prefix_key").agg(F.min("doc_id").alias("id")), "nodes")
     # groups of nodes with equal size and prefix; the smallest id names the group
-    groups = stored(every.groupBy("n", "prefix_key").agg(F.min("id").alias("group"), F.count(F.lit(1)).alias("members"),
-                                                         F.max("prefix").alias("prefix")), "groups")
-    postings = groups.select("group", "n", "members", F.posexplode("prefix").alias("pos", "shingle"))
-    shared = stored(postings.groupBy("shingle").agg(F.sum("members").alias("holders")).where("holders > 1").select("shingle"),
-                    "shared")
-    size_class = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
-    lists = stored(postings.join(shared, "shingle").select(
-        "shingle", "group", "n", "pos", F.explode(F.array(size_class, size_class + 1)).alias("class")), "lists")
-    nodes = stored(every.join(groups.select("n", "prefix_key", "group"), ["n", "prefix_key"])
-                   .join(lists.select("group").distinct(), "group", "left_semi").select("id", "sig", "group", "n", "bits", "fine"), "members")
+    groups = stored(every.groupBy("n", "prefix_key").agg(F.min("id").alias("group"), F.count(F.lit(1)).alias("members")), "groups")
+    grouped = stored(every.join(groups, ["n", "prefix_key"]).select("id", "sig", "n", "group", "members"), "grouped")
+    # what each row's set is, and links between the sets of one doc_id
+    member = stored(usable.select("doc_id", "n", "sig").join(every.select("n", "sig", "id"), ["n", "sig"]).select("doc_id", "n", "id"), "rows")
+    several = member.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("most")).where("b != most").select("doc_id", "b")
+    same_id = stored(member.join(several, "doc_id").where("id != b").select(F.col("id").alias("a"), "b").distinct(), "same_id")
+    heads = grouped.where(F.col("id") == F.col("group")).select(F.col("id").alias("doc_id"), "sig")
+    lists = _lists(_postings(usable, heads), percent)
+    listed = grouped.join(lists.select(F.col("group")).distinct().withColumn("listed", F.lit(True)), "group", "left").where(
+        "listed or members > 1").drop("listed", "members")
+    light = usable.select(F.col("doc_id").alias("id"), "sig", "bits", "fine").dropDuplicates(["id", "sig"])
+    nodes = stored(listed.join(light, ["id", "sig"]), "members")
     verifier = _Verifier(texts, nodes, k, percent)
 
-    # star, first step: each node against its group's first node, or that against its commonest leader
-    lead = stored(lists.groupBy("shingle", "class").agg(F.min("group").alias("leader")), "leaders")
-    led = stored(lists.join(lead, ["shingle", "class"]).where("group != leader").groupBy("group", "leader").agg(
-        F.count(F.lit(1)).alias("times")), "led")
-    best = led.groupBy("group").agg(F.max(F.struct("times", (-F.col("leader")).alias("leader"))).alias("best")).select(
+    # star, first step: each node against its group's first node, and that against its commonest leaders
+    orders = range(LEADERS)
+    lead = stored(lists.groupBy("shingle", "class").agg(*(
+        F.min(F.struct((F.col("group") if r == 0 else F.xxhash64("group", F.lit(r))).alias("order"), "group"))["group"].alias(f"leader{r}")
+        for r in orders)), "leaders")
+    led = stored(lists.join(lead, ["shingle", "class"]).select(
+        "group", F.posexplode(F.array(*(f"leader{r}" for r in orders))).alias("order", "leader")).where("group != leader").groupBy(
+        "group", "order", "leader").agg(F.count(F.lit(1)).alias("times")), "led")
+    best = led.groupBy("group", "order").agg(F.max(F.struct("times", (-F.col("leader")).alias("leader"))).alias("best")).select(
         F.col("group").alias("u"), (-F.col("best.leader")).alias("v"))
-    pairs = nodes.select(F.col("id").alias("u"), F.col("group").alias("v")).unionByName(best)
-    links = verifier.links(pairs)
+    first = stored(nodes.select(F.col("id").alias("u"), F.col("group").alias("v")).unionByName(best).where("u != v").select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "first")
+    links = verifier.links(first).unionByName(same_id)
     found = components(links)
     # second step: against the other leaders, where the component still differs
     placed = _placed(nodes, found)
     where = placed.select(F.col("id").alias("leader"), F.col("component").alias("lead_component")).distinct()
-    pairs = placed.join(led, "group").join(where, "leader").where("component != lead_component").select(
-        F.col("id").alias("u"), F.col("leader").alias("v")).distinct()
-    tried = stored(pairs, "tried")
-    links = links.unionByName(verifier.links(tried))
+    pairs = placed.join(led.select("group", "leader").distinct(), "group").join(where, "leader").where("component != lead_component").select(
+        F.least("id", "leader").alias("u"), F.greatest("id", "leader").alias("v")).distinct()
+    second = stored(pairs.join(first, ["u", "v"], "left_anti"), "second")
+    links = links.unionByName(verifier.links(second))
     found = components(links)
 
-    # the rest: pairs of a list that are not yet in one component
+    # the rest: groups with members that are not yet in one component, expanded
     placed = _placed(nodes, found)
-    spread = placed.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_lists = lists.join(spread, "group").groupBy("shingle", "class").agg(
-        F.min("low").alias("low"), F.max("high").alias("high")).where("low != high").select("shingle", "class")
-    main = lead.join(placed.select(F.col("id").alias("leader"), F.col("component").alias("main")).distinct(), "leader").drop("leader")
-    entries = stored(lists.drop("n").join(open_lists, ["shingle", "class"]).join(main, ["shingle", "class"]).join(
-        placed.select("group", "id", "n", "component", "bits"), "group"), "entries")
-    x, y = entries.where("component != main").alias("x"), entries.alias("y")
-    nx, ny, px, py = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
-    most = F.least(px, py) + F.least(nx - px, ny - py)  # shared shingles, given this one's places
-    rest = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") == F.col("y.class"))
-                  & (F.col("x.component") != F.col("y.component"))
-                  & ((F.col("x.id") < F.col("y.id")) | (F.col("y.component") == F.col("y.main")))
-                  & ((100 + percent) * most >= percent * (nx + ny))
-                  & _may_link(nx, ny, F.col("x.bits"), F.col("y.bits"), percent))
-    rest = rest.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
-    known = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    links = links.unionByName(verifier.links(rest.join(known, ["u", "v"], "left_anti")))
+    rest = stored(_rest(lists, placed, percent), "rest")
+    x, y = placed.alias("x"), placed.alias("y")
+    pairs = rest.join(x, F.col("u") == F.col("x.group")).join(y, F.col("v") == F.col("y.group")).where(
+        (F.col("x.component") != F.col("y.component")) & ((F.col("u") != F.col("v")) | (F.col("x.id") < F.col("y.id")))
+        & _may_link(F.col("x.n"), F.col("y.n"), F.col("x.bits"), F.col("y.bits"), percent))
+    pairs = pairs.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
+    links = links.unionByName(verifier.links(pairs.join(first.unionByName(second), ["u", "v"], "left_anti")))
     found = components(links)
 
     # rows -> node of their set -> component
-    ids = every.select("n", "sig", "id").join(found, F.col("id") == F.col("node"), "left").select(
-        "n", "sig", F.coalesce("component", "id").alias("component_id"))
-    linked = rows.where("n > 0 and doc_id is not null").join(ids, ["n", "sig"]).select("doc_id", "n", "component_id")
+    linked = member.join(found, F.col("id") == F.col("node"), "left").select("doc_id", "n", F.coalesce("component", "id").alias("component_id"))
     alone = rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
