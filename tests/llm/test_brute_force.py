@@ -38,7 +38,7 @@ def test_cosine_votes_equal_plain_loop():
     rng = np.random.default_rng(1)
     texts = [b" ".join(rng.choice([b"some", b"WORD!!", b"thing***", b"| a |", b"12", b"lines\nof"], 30)) for _ in range(80)]
     y = [float(b"!!" in t) for t in texts]
-    model = quality_knn.Model(texts, y)
+    model = quality_knn.Model([quality_knn.sparse_terms(t) for t in texts], y)
     for t, got in zip(texts[:10], model.scores(texts[:10]), strict=True):
         v = quality_knn._unit(quality_knn._unit((quality_knn.shape_terms(t) * model.idf)[None]) @ model.space)[0]
         near = sorted(((float(v @ w), k) for k, w in enumerate(model.vectors)), reverse=True)[:quality_knn.NEIGHBOURS]

@@ -32,7 +32,7 @@ def test_stages_follow_each_other(spark, small_docs, small_texts):
                 best[t.translate(A_TO_Z)] = max(i, best.get(t.translate(A_TO_Z), i))
             assert ids == sorted(best.values())
         elif name == "near_dedup":
-            assert ids == sorted(i for i, (_, c) in brute_components(kept).items() if i == c)
+            assert ids == sorted(i for i, (_, c) in brute_components(kept, 5, 80).items() if i == c)
         elif name == "decontaminate":
             leaking = set()
             for p in decontaminate.passages_of(items):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tijara.session import checkpoint_dir, ship_package
 
-SLICE_BYTES = 4 << 20  # text bytes handled at once by a Python task
+SLICE_BYTES = 1 << 20  # text bytes handled at once by a Python task
 SLICE_ROWS = 2000
 BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 BROADCAST_IDS = 1 << 20
@@ -52,6 +55,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker is used again by later jobs, and would hold its peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in pieces of about ``size`` bytes of ``column``; one row is never cut."""
     for batch in batches:
@@ -64,6 +75,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             total += n
         if start < len(sizes):
             yield batch.slice(start)
+    release_memory()
 
 
 def utf8(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

@@ -266,8 +266,11 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the row with the smallest doc_id stays, with all its columns."""
-    first = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+    """Pipeline stage: of each component the row with the smallest doc_id stays, with all its columns.
+
+    Near duplicates share four fifths of their five-word shingles here; ``op6_jaccard_join`` keeps its own rule.
+    """
+    first = jaccard_components(docs, k=5, percent=80).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(first, docs["doc_id"].eqNullSafe(first["kept_id"]), "left_semi")
 

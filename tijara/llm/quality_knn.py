@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tijara.llm.common import crc_remainder, read_documents, slices, texts_of, utf8
+from tijara.llm.common import crc_remainder, read_documents, release_memory, slices, texts_of, utf8
 
 MAX_TRAIN = 4000
 DIMENSIONS = 48
@@ -74,6 +74,13 @@ def shape_terms(text: bytes) -> np.ndarray:
     return out
 
 
+def sparse_terms(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The terms that a text has, and their values."""
+    terms = shape_terms(text)
+    has = np.flatnonzero(terms).astype(np.uint16)
+    return has, terms[has]
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
@@ -91,8 +98,9 @@ def right_vectors(rows: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
 class Model:
     """Latent space, labelled vectors and their votes."""
 
-    def __init__(self, texts: list[bytes], labels: list[float]):
-        full = [k for k, t in enumerate(texts) if t.strip()]
+    def __init__(self, terms: list[tuple[np.ndarray, np.ndarray]], labels: list[float]):
+        """``terms``: of each labelled text the terms it has and their values (``sparse_terms``)."""
+        full = [k for k, (term, _) in enumerate(terms) if len(term)]
         y = np.asarray(labels, np.float64)[full]
         self.empty = not full
         if self.empty:
@@ -100,8 +108,9 @@ class Model:
         rows = np.zeros((len(full), TERMS), np.float32)  # the one large array; weighted in place
         seen = np.zeros(TERMS, np.int64)
         for row, k in zip(rows, full, strict=True):
-            row[:] = shape_terms(texts[k])
-            seen += row > 0
+            term, value = terms[k]
+            row[term] = value
+            seen[term] += 1
         self.idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
         for row in rows:
             row *= self.idf
@@ -139,10 +148,23 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_train: int = MAX_
     texts = texts_of(docs)
     # one row per document, then the bound (documents without a label are not counted in it)
     ids = chosen.join(texts.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    rows = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(  # max_train ids
-        F.min("text").alias("text"), F.first("quality").alias("quality")).collect()
+    one = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(  # max_train ids
+        F.min("text").alias("text"), F.first("quality").alias("quality"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [sparse_terms(t) for t in utf8(batch)]
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "quality": batch.column("quality"),
+                "term": pa.array([x.tobytes() for x, _ in found], pa.binary()),
+                "value": pa.array([v.tobytes() for _, v in found], pa.binary())})
+
+    # no texts reach the driver: at most max_train x TERMS term counts, however long the texts are
+    rows = one.mapInArrow(count, "doc_id bigint, quality double, term binary, value binary").collect()
     rows.sort(key=lambda r: r.doc_id)
-    return Model([r.text.encode() for r in rows], [r.quality for r in rows])
+    model = Model([(np.frombuffer(r.term, np.uint16), np.frombuffer(r.value, np.float32)) for r in rows], [r.quality for r in rows])
+    release_memory()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
