@@ -57,12 +57,16 @@ def test_since_cut_with_any_fraction(spark):
 
 def test_text_extract_keeps_all_digits(spark):
     docs = ['{"current":{"mrp":12345678901234567890.12,"price":12.50,"weight":1e3,"id":0.1,"rank":-7}}',
-            '{"current":{"mrp":true,"code":"12.50","price":null}}', '{"current":{"mrp":1},"current":{"mrp":2}}', "[]", "{}", None]
+            '{"current":{"mrp":true,"code":"12.50","price":null}}', '{"current":{"mrp":1},"current":{"mrp":2, "mrp": 3.0}}',
+            "[]", "{}", None, "[1, 2", '{"current":{"mrp":01}}', '{"current":{"code":"a\\" : 5, 6 ,", "mrp": 30.00 , "rank" :-0.0}}',
+            '{"current":{"mrp":%s}}' % ("9" * 30 + ".50")]
     got = [(r.mrp, r.price, r.weight, r.id, r.rank, r.code) for r in audit_log.audit_log_text(_logs(spark, docs)).collect()]
-    assert got[0][0] == "12345678901234567890.12" and got[0][1] == "12.5"     # documented: trailing zeros go
-    assert float(got[0][2]) == 1000 and got[0][3:5] == ("0.1", "-7")
+    assert got[0] == ("12345678901234567890.12", "12.50", "1e3", "0.1", "-7", None)    # as the document spells them
     assert got[1] == ("true", None, None, None, None, "12.50")
-    assert got[2:] == [(None,) * 6] * 4                                        # a key named twice, no object, nothing
+    assert got[2] == ("3.0", None, None, None, None, None)                      # of a key named twice the last one
+    assert got[3:8] == [(None,) * 6] * 5                                        # no object, nothing, no JSON
+    assert got[8] == ("30.00", None, None, None, "-0.0", 'a" : 5, 6 ,')         # numbers within strings stay
+    assert got[9][0] == "9" * 30 + ".50"
 
 
 def test_numeric_ids_regex(spark):
@@ -72,6 +76,16 @@ def test_numeric_ids_regex(spark):
     assert got == [("+12", 12.0), ("-.5", -0.5)]
 
 
+def test_numeric_ids_judge_the_documents_own_text(spark):
+    """Numbers without quotes: an exponent is no plain number, digits and trailing zeros stay."""
+    digits = "123456789012345678901234567890.125"
+    docs = ['{"current":{"id":1e5}}', '{"current":{"id":12.50}}', '{"current":{"id":%s}}' % digits, '{"current":{"id":1,"id":-7}}']
+    got = sorted((r.id_text, r.id_a) for r in audit_log.audit_numeric_ids(_logs(spark, docs)).collect())
+    assert got == [("-7", -7.0), ("12.50", 12.5), (digits, float(digits))]
+    text = sorted(r.id for r in audit_log.audit_log_text(_logs(spark, docs)).collect())
+    assert text == ["-7", "12.50", digits, "1e5"]                               # both extracts agree
+
+
 def test_message_filter_is_pushed_to_scan(spark, small_tables, tmp_path):
     path = str(tmp_path / "logs")
     small_tables["activity_logs"].write.parquet(path)

@@ -212,3 +212,67 @@ def test_sort_keeps_nulls_in_place(spark):
     out = [tuple(r) for r in df.orderBy(F.col("City").asc_nulls_last(), F.col("k").asc_nulls_last()).collect()]
     assert out == [("a", 1), ("a", None), (None, 1), (None, None)]
     assert [tuple(r) for r in df.orderBy("City", "k").collect()] == [(None, None), (None, 1), ("a", None), ("a", 1)]
+
+
+@pytest.mark.parametrize("name", ["rfm_quarter_metrics", "rfm_cumulative", "rfm_report", "customer_metrics", "retailer_performance"])
+def test_distinct_counts_expand_nothing(spark, name):
+    assert "Expand" not in _plan(spark, name)
+
+
+def test_day_bits_count_like_distinct(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tijara.functions.daybits import distinct_days, distinct_months_of_quarter
+
+    first = dt.date(2024, 7, 1)  # a quarter of 92 days
+    data = [(k, first + dt.timedelta(days=d)) for k in range(4) for d in ([0, 63, 64, 90] * k + [91 - k, 5 * k])] + [(9, None)]
+    df = spark.createDataFrame(data, "k int, d date").repartition(5)
+    got = df.groupBy("k").agg(distinct_days(F.col("d"), F.lit(first), 92).alias("n"), F.count_distinct("d").alias("n2"),
+                              distinct_months_of_quarter(F.col("d")).alias("m"),
+                              F.count_distinct(F.trunc("d", "month")).alias("m2")).collect()
+    assert all((r.n, r.m) == (r.n2, r.m2) for r in got) and len(got) == 5
+
+
+def test_top_n_ranks_a_narrow_pass_first(spark):
+    """Two cuts: the four sort keys alone, without the measures' columns, and the rows of those keys."""
+    plan = _plan(spark, "fulfilment_top_n")
+    assert plan.count("TakeOrderedAndProject(limit=500") >= 2
+    from tijara.plans.fulfilment import SORT_KEYS, top_sort_keys
+    from tijara.registry import tables_for
+
+    keys = top_sort_keys(tables_for(spark, SMALL), 500)
+    assert tuple(keys.columns) == SORT_KEYS
+    narrow = keys._jdf.queryExecution().optimizedPlan().toString()
+    for column in ("l_extendedprice", "l_discount", "l_tax", "c_name"):
+        assert column not in narrow.split("Relation")[0]
+        assert not re.search(rf"Project \[[^\]]*{column}#", narrow), column
+
+
+@pytest.mark.parametrize("n", [1, 7, 60, 100_000])
+def test_top_n_equals_the_sorted_whole(spark, small_tables, n):
+    """Also where the cut falls among rows that tie on the four sort keys."""
+    from tijara.plans import fulfilment
+
+    got = [tuple(r) for r in fulfilment.top_n(small_tables, n).collect()]
+    whole = fulfilment.reconciled(small_tables)
+    rest = [c for c in whole.columns if c not in fulfilment.SORT_KEYS]
+    from pyspark.sql import functions as F
+
+    want = [tuple(r) for r in whole.orderBy(*fulfilment._sort_order(), *[F.col(c).asc_nulls_last() for c in rest]).limit(n).collect()]
+    assert got == want
+
+
+def test_top_n_cut_among_ties(spark, small_tables):
+    """Many orders of one city, day, route and SKU: the cut takes the first of them by the other columns."""
+    from tijara.plans import fulfilment
+
+    one = small_tables["orders"].where("delivered_at is not null and not is_fake and fulfilment_mode_id in (1, 2)").limit(1)
+    item = small_tables["order_items"].limit(1)
+    orders = one.drop("id").crossJoin(spark.range(10_000_000, 10_000_040))
+    items = item.drop("order_id").crossJoin(spark.range(10_000_000, 10_000_040).withColumnRenamed("id", "order_id"))
+    t = small_tables.with_table("orders", orders.select(*small_tables["orders"].columns)).with_table(
+        "order_items", items.select(*small_tables["order_items"].columns))
+    got = [r.order_id for r in fulfilment.top_n(t, 15).collect()]
+    assert got == [10_000_000 + k for k in range(15)]

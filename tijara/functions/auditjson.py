@@ -1,11 +1,11 @@
 """Audit-log JSON: the document paths read from ``changes`` and their types.
 
-The document is parsed once per row into a VARIANT, from which every path is read as text: strings as
-they stand, booleans as ``true`` / ``false``, JSON null and absent paths as NULL, numbers with all their
-digits. Three spellings of numbers differ from the document's own text: trailing zeros of a fraction are
-dropped (``12.50`` reads ``12.5``), exponents are written out or normalised, and numbers beyond 38
-digits become doubles. A document that is no JSON (or names a key twice) reads as all NULL. Typed columns
-are cast from the text with ``try_cast``: a malformed value becomes NULL instead of failing the job.
+Every path is read as text: strings as they stand, booleans as ``true`` / ``false``, JSON null and absent paths
+as NULL, numbers exactly as the document spells them (``12.50``, ``1e5``, any number of digits); of a key named
+twice the last one counts. Spark's JSON readers spell numbers anew, so the document's numbers are put in quotes
+first (one regular expression that passes over strings), and the document is then parsed once per row into a struct.
+A document that is no JSON reads as all NULL. Typed columns are cast from the text with ``try_cast``: a
+malformed value becomes NULL instead of failing the job.
 """
 
 from __future__ import annotations
@@ -38,16 +38,31 @@ UPDATED_AT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"  # one to six digits of
 # -------------------------------------------------------------------------------
 
 
-def parse_changes(col: Column | str = "changes") -> Column:
-    return F.try_parse_json(F.col(col) if isinstance(col, str) else col)
+# a number outside strings: what was passed over since the last one, then the number, then what may follow one
+_BARE_NUMBER = (r'\G((?:[^"0-9\-]|"(?:[^"\\]|\\.)*+")*+)(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)(?=[\s,}\]]|$)')
+
+
+def _struct(fields: tuple[tuple[str, str], ...], more: str = "") -> str:
+    return "struct<" + ", ".join(f"{name}: string" for name, _ in fields) + more + ">"
+
+
+SCHEMA = f"current {_struct(CURRENT_FIELDS)}, sku {_struct(SKU_FIELDS, ', seller_change_requests: ' + _struct(SELLER_CHANGE_FIELDS))}"
+
+
+def quote_numbers(text: Column) -> Column:
+    """The document with its numbers as strings."""
+    return F.regexp_replace(text, F.lit(_BARE_NUMBER), F.lit('$1"$2"'))
+
+
+def parse_changes(col: Column | str = "changes", schema: str = SCHEMA) -> Column:
+    return F.from_json(quote_numbers(F.col(col) if isinstance(col, str) else col), schema)
 
 
 def leaf_columns(doc: str = "_doc") -> list[tuple[str, Column, str]]:
     """(output name, text column, SQL type) for every path, in report order."""
-    groups = (("", "$.current", CURRENT_FIELDS), ("sku_", "$.sku", SKU_FIELDS),
-              ("sku_", "$.sku.seller_change_requests", SELLER_CHANGE_FIELDS))
-    return [(prefix + name, F.try_variant_get(F.col(doc), f"{path}.{name}", "string"), typ)
-            for prefix, path, fields in groups for name, typ in fields]
+    groups = (("", "current", CURRENT_FIELDS), ("sku_", "sku", SKU_FIELDS),
+              ("sku_", "sku.seller_change_requests", SELLER_CHANGE_FIELDS))
+    return [(prefix + name, F.col(f"{doc}.{path}.{name}"), typ) for prefix, path, fields in groups for name, typ in fields]
 
 
 def typed(text: Column, sql_type: str) -> Column:

@@ -65,8 +65,8 @@ def audit_log_since(logs: DataFrame, cut: dt.date, messages: Sequence[str] = AUD
 
 
 def audit_numeric_ids(logs: DataFrame) -> DataFrame:
-    """Raw ``current.id`` text and its numeric value, where the text is a plain decimal number."""
-    text = F.get_json_object(F.col("changes"), "$.current.id")
-    return (logs.select(text.alias("id_text"))
+    """Raw ``current.id`` text and its numeric value, where the text, as the document spells it, is a plain decimal number."""
+    doc = J.parse_changes("changes", "current struct<id: string>")
+    return (logs.select(doc.alias("_doc")).select(F.col("_doc.current.id").alias("id_text"))
             .where(F.col("id_text").isNotNull() & F.col("id_text").rlike(J.NUMERIC_TEXT))
             .select("id_text", F.col("id_text").try_cast("double").alias("id_a")))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tijara.functions import codes
 from tijara.functions.rules import guarded_ratio
-from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, to_local
+from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, local_date, to_local
 from tijara.operators.dims import left_join_spread, role
 from tijara.plans import dimensions as D
 from tijara.plans.item_facts import enrich_items, fulfilment_measures, items_of, real_delivered_orders, with_items
@@ -94,9 +94,8 @@ FUNNEL_KEYS = ("City", "Delivery Date", "Seller Order Status", "route_id", "Rout
                "seller_id", "Seller", "Seller Invoice ID", "Commission Rate (%)")
 
 
-def _weighted_base(t, modes: Sequence[int], dedupe_logs: bool) -> DataFrame:
+def _weighted_base(t, orders: DataFrame, dedupe_logs: bool) -> DataFrame:
     """Funnel rows at (order, item, key-bearing dims) grain with fan-out weight ``_w``."""
-    orders = real_delivered_orders(t, modes)
     # users that have retailer rows: row count (fan-out) and the user's name/mobile
     ret_rows = t["retailers"].groupBy(F.col("user_id").alias("_ru")).agg(F.count(F.lit(1)).alias("_n_ret"))
     users = role(t["users"], {"id": "_uid", "name": "user_name", "mobile": "user_mobile"})
@@ -123,12 +122,43 @@ def commission(gmv: Column, rate: Column) -> Column:
     return F.round(gmv.cast("decimal(20,4)") * rate.cast("decimal(12,6)") * F.lit(Decimal("0.01")), 0).cast("double")
 
 
+SORT_KEYS = ("City", "Delivery Date", "route_id", "sku_id")
+
+
+def _sort_order() -> list[Column]:
+    """City, delivery date (newest first), route, SKU; NULLs as the report's engine places them (ASC last, DESC first)."""
+    return [F.col("City").asc_nulls_last(), F.col("Delivery Date").desc_nulls_first(),
+            F.col("route_id").asc_nulls_last(), F.col("sku_id").asc_nulls_last()]
+
+
+def top_sort_keys(t, n: int, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
+    """The first ``n`` distinct (City, Delivery Date, route_id, sku_id) of the funnel's rows.
+
+    A narrow pass: the order's date and stop, the stop's route, the item's SKU and the SKU's city, no measures and no
+    further dimension. Every key has a funnel row at least, so the report's first ``n`` rows all lie in these keys,
+    those that tie at the cut included.
+    """
+    orders = real_delivered_orders(t, modes).select("id", "delivered_at", "stop_id")
+    route = D.route_dim(t).select("stop_ref", "route_id")
+    city = D.sku_item_dim(t, True).select("item_sku", "supplier_city")
+    items = t["order_items"].select("order_id", "sku_id").join(city, F.col("sku_id") == F.col("item_sku"), "left").drop("item_sku")
+    rows = with_items(left_join_spread(orders, route, "stop_id", "stop_ref", "id"), items, t, orders)
+    keys = rows.select(F.col("supplier_city").alias("City"), local_date("delivered_at", offset_hours).alias("Delivery Date"),
+                       "route_id", "sku_id").distinct()
+    return keys.orderBy(*_sort_order()).limit(n)
+
+
 def funnel(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS, *,
-           dedupe_logs: bool = False) -> DataFrame:
+           dedupe_logs: bool = False, keys: DataFrame | None = None) -> DataFrame:
     """Ordered -> dispatched -> delivered -> returned per order/SKU/route/driver (25 keys).
 
-    Sums repeat per transaction log of the order's stop; ``dedupe_logs`` counts one."""
-    base = _weighted_base(t, modes, dedupe_logs)
+    Sums repeat per transaction log of the order's stop; ``dedupe_logs`` counts one. ``keys``: only the groups with
+    these few SORT_KEYS values (they are broadcast); orders of other days aren't joined at all."""
+    orders = real_delivered_orders(t, modes)
+    if keys is not None:
+        days = keys.select(F.col("Delivery Date").alias("_day")).distinct()
+        orders = orders.join(F.broadcast(days), local_date("delivered_at", offset_hours).eqNullSafe(F.col("_day")), "left_semi")
+    base = _weighted_base(t, orders, dedupe_logs)
     facts = base.select(
         *fulfilment_measures(offset_hours),
         to_local("route_end_at", offset_hours).alias("Route End Time"),
@@ -136,6 +166,10 @@ def funnel(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HO
         F.col("driver_id"), F.col("driver_name").alias("Driver"), F.col("stop_id"),
         F.col("user_id").alias("retailer_user_id"), F.col("user_name").alias("Retailer Name"),
         F.col("user_mobile").alias("Retailer Mobile"), F.col("invoice_id").alias("Seller Invoice ID"), "_w")
+    if keys is not None:
+        wanted = keys.select(*[F.col(c).alias(f"_top {c}") for c in SORT_KEYS])
+        same = [facts[c].eqNullSafe(wanted[f"_top {c}"]) for c in SORT_KEYS]
+        facts = facts.join(F.broadcast(wanted), same, "left_semi")
     w = F.col("_w")
 
     def wsum(c: Column) -> Column:
@@ -183,12 +217,13 @@ def fulfilment_funnel(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCA
 
 
 def reconciled(t, modes: Sequence[int] = (1, 2), offset_hours: int = LOCAL_OFFSET_HOURS, *,
-               dedupe_logs: bool = False) -> DataFrame:
+               dedupe_logs: bool = False, keys: DataFrame | None = None) -> DataFrame:
     """Funnel with net-of-bulk-discount value and return qty minus counted returns.
 
     Each funnel row meets every roll-up row of its (route, SKU) — several days fan out.
+    ``keys`` as in ``funnel``.
     """
-    y = funnel(t, modes, offset_hours, dedupe_logs=dedupe_logs)
+    y = funnel(t, modes, offset_hours, dedupe_logs=dedupe_logs, keys=keys)
     rd = return_discrepancy_rollup(t, offset_hours=offset_hours).select(
         F.col("route_id").alias("_rd_route"), F.col("sku_id").alias("_rd_sku"),
         F.col("Actual Return Qty").alias("_rd_actual"))
@@ -204,12 +239,10 @@ def top_n(t, n: int = 500, modes: Sequence[int] = (1, 2), offset_hours: int = LO
           dedupe_logs: bool = False) -> DataFrame:
     """First ``n`` reconciled rows by city, delivery date (newest first), route, SKU.
 
-    NULL placement follows the report's engine (ASC -> NULLS LAST, DESC -> NULLS FIRST);
-    the remaining columns break ties so the cut is deterministic. Planned as a
-    per-partition top-n followed by one merge (``TakeOrderedAndProject``).
+    The remaining columns break ties so the cut is deterministic. Late materialisation: a narrow pass ranks the four
+    sort keys alone (``top_sort_keys``), and the funnel, its 25 keys and its dimensions are built for the at
+    most ``n`` keys found. Both cuts are a per-partition top-n followed by one merge (``TakeOrderedAndProject``).
     """
-    r = reconciled(t, modes, offset_hours, dedupe_logs=dedupe_logs)
-    lead = [F.col("City").asc_nulls_last(), F.col("Delivery Date").desc_nulls_first(),
-            F.col("route_id").asc_nulls_last(), F.col("sku_id").asc_nulls_last()]
-    rest = [F.col(c).asc_nulls_last() for c in r.columns if c not in ("City", "Delivery Date", "route_id", "sku_id")]
-    return r.orderBy(*lead, *rest).limit(n)
+    r = reconciled(t, modes, offset_hours, dedupe_logs=dedupe_logs, keys=top_sort_keys(t, n, modes, offset_hours))
+    rest = [F.col(c).asc_nulls_last() for c in r.columns if c not in SORT_KEYS]
+    return r.orderBy(*_sort_order(), *rest).limit(n)

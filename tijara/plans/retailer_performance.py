@@ -18,7 +18,6 @@ from tijara.functions.timeutil import LOCAL_OFFSET_HOURS, date_lit, epoch_second
 from tijara.operators.dims import role
 from tijara.operators.keyed import nth_latest_values, top_n_per_key
 from tijara.plans.item_facts import delivered_since
-from tijara.plans.rfm import user_date_key
 
 DELIVERED = (4, 5)
 
@@ -33,20 +32,17 @@ def last_two_order_dates(gmv: DataFrame) -> DataFrame:
 def customer_metrics(gmv: DataFrame) -> DataFrame:
     """Categories bought (distinct, sorted, comma-separated), order days, AOV, first delivered date.
 
-    The distinct counts are planned as Spark's expand-and-aggregate rewrite (distinct values
-    spread over the shuffle, so a hot user is not one in-memory set); the category list is
-    its own hash aggregate (bounded by the number of categories) joined back per user —
-    mixed into the distinct rewrite it would force a sort-based aggregation.
+    A user's days are a set that the calendar bounds, so their number is the set's size; the delivered orders are the
+    only distinct count, which needs no expanded rows. The category list is its own aggregate (bounded by the
+    catalogue), joined back per user.
     """
     cats = F.array_sort(F.collect_set("Category"))
-    nmv = F.sum("Delivered_GMV")
-    orders = F.count_distinct("delivered_orders")
     d = F.col("System_Delivery_Date")
     category_list = gmv.groupBy(F.col("user_id").alias("_cu")).agg(
         F.when(F.size(cats) > 0, F.array_join(cats, ", ")).alias("categories"))
     counts = gmv.groupBy("user_id").agg(
-        F.count_distinct(user_date_key(F.col("user_id"), d)).alias("unique_user_orders"),
-        safe_ratio(nmv, orders).alias("AOV"),
+        F.size(F.collect_set(F.when(F.col("user_id").isNotNull(), d))).cast("bigint").alias("unique_user_orders"),
+        safe_ratio(F.sum("Delivered_GMV"), F.count_distinct("delivered_orders")).alias("AOV"),
         F.min(F.when(F.col("order_status_code").isin(*DELIVERED), d)).alias("first_order_date"))
     return (counts.join(category_list, F.col("user_id").eqNullSafe(F.col("_cu")), "inner")
             .select("user_id", "categories", "unique_user_orders", "AOV", "first_order_date"))
@@ -93,7 +89,9 @@ def purchase_profile(gmv: DataFrame, as_of: dt.date) -> DataFrame:
     """All per-user values of the profile from one pass over the facts.
 
     Facts are first summed per (user, day, status, delivered order, category), which is combined
-    map-side; a user's days and categories are sets that the calendar and the catalogue bound.
+    map-side; a user's days and categories are sets that the calendar and the catalogue bound. The days being
+    gathered anyway, their number is the set's size, and the delivered orders are the only distinct count: one
+    needs no expanded rows.
     """
     d, status = F.col("System_Delivery_Date"), F.col("order_status_code")
     money = ("Ordered_GMV", "Delivered_GMV", "Dispatched_GMV", "Return_GMV")
@@ -108,7 +106,7 @@ def purchase_profile(gmv: DataFrame, as_of: dt.date) -> DataFrame:
 
     return daily.groupBy("user_id").agg(
         F.when(F.size(cats) > 0, F.array_join(cats, ", ")).alias("categories"),
-        F.count_distinct(user_date_key(F.col("user_id"), d)).alias("unique_user_orders"),
+        F.size(F.collect_set(F.when(F.col("user_id").isNotNull(), d))).cast("bigint").alias("unique_user_orders"),
         safe_ratio(F.sum("Delivered_GMV"), F.count_distinct("delivered_orders")).alias("AOV"),
         F.min(delivered).alias("first_order_date"), F.try_element_at(days, F.lit(1)).alias("last_order_date"),
         F.try_element_at(days, F.lit(2)).alias("second_last_order_date"),

@@ -10,11 +10,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tijara.functions.daybits import distinct_days, distinct_months_of_quarter
 from tijara.functions.rules import safe_ratio
 from tijara.functions.timeutil import date_lit, quarter_end, quarter_label, quarter_start
 from tijara.operators.cumulative import running
 from tijara.plans.item_facts import delivered_since
 
+QUARTER = 92  # days of the longest quarter
+
+
 def first_quarter_on_or_after(start: dt.date) -> Column:
     q = quarter_start(date_lit(start))
     return F.when(q < date_lit(start), F.add_months(q, 3)).otherwise(q)
@@ -30,14 +34,9 @@ def with_quarter_columns(df: DataFrame, first_day: str = "first_day_of_quarter")
                      quarter_end(first_day).alias("last_day_of_quarter"), *[c for c in df.columns if c != first_day])
 
 
-def user_date_key(user: Column, day: Column) -> Column:
-    """Stands for ``concat(user, date)``: NULL when either part is NULL (not counted)."""
-    return F.when(user.isNotNull() & day.isNotNull(), F.struct(user.alias("u"), day.alias("d")))
-
-
 def quarter_metrics(gmv: DataFrame, start: dt.date) -> DataFrame:
     """Per (user, quarter of delivery): NMV, delivered orders, AOV, active months, order days,
-    last / first order date."""
+    last / first order date. Days and months are counted as bits; orders are the only distinct count."""
     d = F.col("System_Delivery_Date")
     facts = delivered_since(gmv, start)
     nmv = F.sum("Delivered_GMV")
@@ -46,8 +45,8 @@ def quarter_metrics(gmv: DataFrame, start: dt.date) -> DataFrame:
         nmv.cast("double").alias("NMV"),
         orders.alias("delivered_orders"),
         safe_ratio(nmv, orders).alias("AOV"),
-        F.count_distinct(F.trunc(d, "month")).alias("months_of_orders_all_status"),
-        F.count_distinct(user_date_key(F.col("user_id"), d)).alias("unique_user_orders"),
+        distinct_months_of_quarter(d).alias("months_of_orders_all_status"),
+        distinct_days(F.when(F.col("user_id").isNotNull(), d), quarter_start(d), QUARTER).alias("unique_user_orders"),
         F.max(d).alias("last_order_date"),
         F.min(d).alias("first_order_date"))
 
@@ -98,31 +97,40 @@ def quarter_user_spine(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFr
                                            *[F.when(there, F.col(c)).alias(c) for c in values]))
 
 
-def _history(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
-    """Per user and calendar quarter: in-quarter metrics and to-date values, from one pass over the facts.
+def daily_facts(gmv: DataFrame, start: dt.date) -> DataFrame:
+    """The facts summed per (user, day, order): all that the to-date report needs, and additive, so summaries of
+    separate batches of facts add up to the summary of all (``plans.rfm_state`` keeps one)."""
+    return (delivered_since(gmv, start).where(F.col("user_id").isNotNull())
+            .groupBy("user_id", "System_Delivery_Date", "delivered_orders")
+            .agg(F.sum("Delivered_GMV").alias("_gmv"), F.count(F.lit(1)).alias("_rows"), F.count("Delivered_GMV").alias("_valued")))
 
-    Facts are first summed per (user, day, order). An order may span days, so it is credited to its
-    first quarter; a day lies in one quarter. That makes distinct counts additive, and running sums
-    give the to-date values.
+
+def _history(daily: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    """Per user and calendar quarter: in-quarter metrics and to-date values, from one pass over ``daily_facts``.
+
+    A window over each order's days marks where it first occurs, and where it first occurs in a quarter. That makes
+    its counts sums; days are counted as bits, and a day lies in one quarter. So nothing is expanded for
+    distinct counts, and running sums give the to-date values.
     """
     d, first_q = F.col("System_Delivery_Date"), first_quarter_on_or_after(start)
-    daily = (delivered_since(gmv, start).where(F.col("user_id").isNotNull())
-             .groupBy("user_id", "System_Delivery_Date", "delivered_orders")
-             .agg(F.sum("Delivered_GMV").alias("_gmv"), F.count(F.lit(1)).alias("_rows"), F.count("Delivered_GMV").alias("_valued"))
-             # facts dated before the first calendar quarter count to-date from that quarter on
-             .withColumn("_own", quarter_start(d)).withColumn("_q", F.greatest(quarter_start(d), first_q)))
-    credited = daily.withColumn("_credit", F.min("_q").over(Window.partitionBy("user_id", "delivered_orders")))
+    # facts dated before the first calendar quarter count to-date from that quarter on
+    daily = daily.withColumn("_own", quarter_start(d)).withColumn("_q", F.greatest(quarter_start(d), first_q))
+    of_order = Window.partitionBy("user_id", "delivered_orders").orderBy(d)
+    ordered = F.col("delivered_orders").isNotNull()
+    credited = daily.withColumn("_earlier", F.lag("_own").over(of_order)).select(
+        "*", F.when(ordered & F.col("_earlier").isNull(), 1).otherwise(0).alias("_new_order"),
+        F.when(ordered & ~F.col("_earlier").eqNullSafe(F.col("_own")), 1).otherwise(0).alias("_order_here"))
     inside = F.col("_own") == F.col("_q")
 
     def own(c: Column) -> Column:
         return F.when(inside, c)
 
     per_q = credited.groupBy("user_id", "_q").agg(
-        F.sum("_gmv").alias("_nmv"), F.max(d).alias("_last"), F.min(d).alias("_first"), F.count_distinct(d).alias("_new_days"),
-        F.count_distinct(F.when(F.col("_credit") == F.col("_q"), F.col("delivered_orders"))).alias("_new_orders"),
+        F.sum("_gmv").alias("_nmv"), F.max(d).alias("_last"), F.min(d).alias("_first"),
+        distinct_days(d, F.add_months("_q", -3), 2 * QUARTER).alias("_new_days"), F.sum("_new_order").alias("_new_orders"),
         F.sum("_rows").alias("_rows"), F.sum("_valued").alias("_valued"), F.max(inside).alias("_has"),
-        F.sum(own(F.col("_gmv"))).alias("_own_nmv"), F.count_distinct(own(F.col("delivered_orders"))).alias("_own_orders"),
-        F.count_distinct(own(F.trunc(d, "month"))).alias("_own_months"), F.count_distinct(own(d)).alias("_own_days"),
+        F.sum(own(F.col("_gmv"))).alias("_own_nmv"), F.sum(own(F.col("_order_here"))).alias("_own_orders"),
+        distinct_months_of_quarter(own(d)).alias("_own_months"), distinct_days(own(d), F.col("_q"), QUARTER).alias("_own_days"),
         F.max(own(d)).alias("_own_last"), F.min(own(d)).alias("_own_first"))
     spine = _on_spine(per_q, "user_id", "_q", start, as_of, _all_rows=F.sum("_rows"))
     r = running(spine, "rfm_user_id", "first_day_of_quarter",
@@ -159,9 +167,14 @@ def _in_quarter() -> list[Column]:
 
 def cumulative(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
     """To-date metrics at each quarter end per user (users without facts vanish)."""
-    return _history(gmv, start, as_of).select(*_to_date())
+    return _history(daily_facts(gmv, start), start, as_of).select(*_to_date())
 
 
 def report(gmv: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
     """To-date metrics with the in-quarter metrics of the same quarter."""
-    return _history(gmv, start, as_of).select(*_to_date(), *_in_quarter())
+    return report_of(daily_facts(gmv, start), start, as_of)
+
+
+def report_of(daily: DataFrame, start: dt.date, as_of: dt.date) -> DataFrame:
+    """The report from ``daily_facts``, made now or kept."""
+    return _history(daily, start, as_of).select(*_to_date(), *_in_quarter())
