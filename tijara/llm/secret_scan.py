@@ -31,6 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tijara.llm.arrays import count_at_most, let, running
 from tijara.llm.common import read_documents, stored, texts_of
 
 # fixed values: the base patterns
@@ -58,21 +59,25 @@ STEP = 100  # histogram steps per power of ten
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as array of (start, end, found), in code points.
 
-    A text splits into the pieces between its matches, so starts are running sums of lengths.
+    A text splits into the pieces between its matches, so ends are running sums of lengths.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
-    pairs = F.zip_with(pieces, found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("found")))
-    spans = F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc.at + x.gap + F.length(x.found)).alias("at"),
-            F.concat(acc.out, F.array(F.struct((acc.at + x.gap).alias("start"),
-                                               (acc.at + x.gap + F.length(x.found)).alias("end"),
-                                               x.found.alias("found")))).alias("out")),
-        lambda acc: acc.out)
-    return F.when(F.size(found) > 0, spans).otherwise(empty)
+    def spans(found: Column) -> Column:
+        pieces = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        lengths = F.zip_with(pieces, found, lambda p, m: F.length(p) + F.length(m))
+        return let(running(lengths, lambda a, b: a + b), lambda ends: F.transform(found, lambda m, i: F.struct(
+            (F.get(ends, i) - F.length(m)).alias("start"), F.get(ends, i).alias("end"), m.alias("found"))))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
+
+
+def outside(tokens: Column, base: Column) -> Column:
+    """The ``tokens`` that lie in no span of ``base``: the spans that start no later are looked up, and how far they reach."""
+    def kept(starts: Column, reach: Column) -> Column:
+        return F.filter(tokens, lambda t: F.coalesce(F.get(reach, count_at_most(starts, t.start) - 1) < t.end, F.lit(True)))
+
+    return let(F.array_sort(F.transform(base, lambda b: F.struct(b.start.alias("start"), b.end.alias("end")))), lambda by: let(
+        F.transform(by, lambda b: b.start), lambda starts: let(
+            running(F.transform(by, lambda b: b.end), F.greatest), lambda reach: kept(starts, reach))))
 
 
 def upper_tail(z: Column) -> Column:
@@ -178,7 +183,7 @@ def secret_scan(docs: DataFrame, rate: float = FDR) -> DataFrame:
     rows = rows.withColumn("base", F.concat(_kind(F.col("assign"), "assign", 0), _kind(F.col("access"), "access", 1),
                                             _kind(F.col("hex"), "hex", 2)))
     # a token inside a base span would add nothing
-    fresh = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b.start <= t.start) & (b.end >= t.end)))
+    fresh = outside(F.col("tokens"), F.col("base"))
     rows = stored(rows.select(
         "doc_id", F.size("assign").cast("bigint").alias("n_assign"), F.size("access").cast("bigint").alias("n_access"),
         F.size("hex").cast("bigint").alias("n_hex"), "base", battery(fresh).alias("tested")), "spans")
