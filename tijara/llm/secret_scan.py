@@ -67,7 +67,8 @@ def matches(text: Column, pattern: str) -> Column:
         return let(running(lengths, lambda a, b: a + b), lambda ends: F.transform(found, lambda m, i: F.struct(
             (F.get(ends, i) - F.length(m)).alias("start"), F.get(ends, i).alias("end"), m.alias("found"))))
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
+    empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, spans(found)).otherwise(empty))
 
 
 def outside(tokens: Column, base: Column) -> Column:
@@ -75,9 +76,10 @@ def outside(tokens: Column, base: Column) -> Column:
     def kept(starts: Column, reach: Column) -> Column:
         return F.filter(tokens, lambda t: F.coalesce(F.get(reach, count_at_most(starts, t.start) - 1) < t.end, F.lit(True)))
 
-    return let(F.array_sort(F.transform(base, lambda b: F.struct(b.start.alias("start"), b.end.alias("end")))), lambda by: let(
+    several = let(F.array_sort(F.transform(base, lambda b: F.struct(b.start.alias("start"), b.end.alias("end")))), lambda by: let(
         F.transform(by, lambda b: b.start), lambda starts: let(
             running(F.transform(by, lambda b: b.end), F.greatest), lambda reach: kept(starts, reach))))
+    return F.when((F.size(tokens) > 0) & (F.size(base) > 0), several).otherwise(tokens)
 
 
 def upper_tail(z: Column) -> Column:
