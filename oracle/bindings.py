@@ -159,5 +159,8 @@ def with_views(sql: str) -> str:
     if not ctes:
         return body
     if body[:4].lower() == "with":
-        return f"WITH {ctes},\n{body[4:].lstrip()}"
+        own = body[4:].lstrip()
+        if own.upper().startswith("RECURSIVE "):
+            return f"WITH RECURSIVE {ctes},\n{own[10:].lstrip()}"
+        return f"WITH {ctes},\n{own}"
     return f"WITH {ctes}\n{body}"

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tijara.functions import codes
 from tijara.functions.rules import ItemCols, Rules
 from tijara.functions.timeutil import local_date, ntz, to_local
 from tijara.operators.dims import category_descendants, category_parent, role
+from tijara.operators.tree import closure, subtree_values
 from tijara.operators.pivot import payment_pivot
-from tijara.plans import audit_log, catalogue, fulfilment, item_facts, monthly_gmv, order_mart, retailer_performance, rfm
+from tijara.plans import audit_log, audit_store, catalogue, fulfilment, item_facts, monthly_gmv, order_mart, retailer_performance, rfm
 from tijara.plans import dimensions as D
 from tijara.registry import (AS_OF, AUDIT_CUT_DATE, AUDIT_MONTH, EXCLUSIVE_SELLER, ORDER_WINDOW, RFM_START,
                              SIZE_THRESHOLD, SURVEY_PATTERNS, query)
+from tijara.session import checkpoint_dir
 
 # ---- drop-ship monthly GMV ------------------------------------------------
 
@@ -264,6 +268,21 @@ def q_category_descend(t):
     return category_descendants(t["categories"])
 
 
+@query("category_closure")
+def q_category_closure(t):
+    return closure(t["categories"], "id", "parent_id")
+
+
+@query("category_subtree_products")
+def q_category_subtree_products(t):
+    """Products of each category's whole subtree; a product in several of its categories counts once."""
+    tree = closure(t["categories"], "id", "parent_id")
+    held = subtree_values(tree, t["product_categories"], "category_id", F.count_distinct("product_id").alias("products"))
+    return (t["categories"].select(F.col("id").alias("category_id"), F.col("name").alias("category_name"))
+            .join(held, F.col("category_id") == F.col("ancestor_id"), "left")
+            .select("category_id", "category_name", F.coalesce("products", F.lit(0)).alias("products")))
+
+
 # ---- joins ------------------------------------------------------------------
 
 
@@ -339,6 +358,29 @@ def q_audit_log_since(t):
     return audit_log.audit_log_since(t["activity_logs"], AUDIT_CUT_DATE)
 
 
+def _audit_store(t):
+    """The log written to a store of its own in the shared checkpoint folder."""
+    logs = t["activity_logs"]
+    path = f"{checkpoint_dir(logs.sparkSession)}/audit-store-{uuid.uuid4().hex}"
+    audit_store.append(logs, path)
+    return audit_store.read(logs.sparkSession, path)
+
+
+@query("audit_store_typed")
+def q_audit_store_typed(t):
+    return audit_store.log_typed(_audit_store(t), AUDIT_MONTH)
+
+
+@query("audit_store_since")
+def q_audit_store_since(t):
+    return audit_store.log_since(_audit_store(t), AUDIT_CUT_DATE)
+
+
+@query("audit_store_numeric_ids")
+def q_audit_store_numeric_ids(t):
+    return audit_store.numeric_ids(_audit_store(t))
+
+
 # ---- RFM ----------------------------------------------------------------------
 
 
