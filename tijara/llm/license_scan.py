@@ -3,8 +3,9 @@
 Every text is lower-cased (A-Z) and reduced to its words; rules are regular expressions over those
 words, so punctuation and line breaks never hide a license. A rule runs only where its keyword
 occurs (prefilter). Detections that lie inside the interval of a detection of higher priority, or
-of equal priority and greater length, are suppressed unless both name the same license. Base rules
-(three fixed phrases) have the highest priority and are never suppressed.
+of equal priority and greater length, are suppressed, whichever license they name; so a license without its
+version gives way to the mention with it. Base rules (three fixed phrases) have the highest priority and are never
+suppressed.
 
 All of it is one map over whole texts: no shuffle, and a task holds a few MB of text at a time.
 
@@ -32,25 +33,27 @@ BASE = {"under the mit license": "mit", "apache license version 2": "apache-2",
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32
                    for c in range(256))
 
+# what may stand between a public license's name and the word license
+PORT = "(?: [1-4] [05])?(?: international| unported| generic)?"
 # license families: label, its full name in words, its short names, keywords of which any mention has one.
-# `{v}` stands for the versions, given after the keyword.
+# `{v}` stands for the versions, given after the keyword, `{port}` for PORT.
 FAMILIES = [
     ("mit", "mit", "mit|x11|expat", "mit|x11|expat", ""),
     ("mit-0", "mit no attribution", "mit 0|mit zero", "mit", ""),
     ("apache-{v}", "apache(?: software)?", "apache(?: license)? {v}(?: 0)?|asl {v}", "apache|asl", "1 2"),
-    ("gpl-{v}", "gnu general public", "(?:gnu )?gpl ?v?{v}(?: 0)?|gplv{v}", "g", "1 2 3"),
-    ("lgpl-{v}", "gnu (?:lesser|library) general public", "(?:gnu )?lgpl ?v?{v}(?: [01])?|lgplv{v}", "g", "2 3"),
-    ("agpl-{v}", "gnu affero general public", "(?:gnu )?agpl ?v?{v}(?: 0)?|agplv{v}", "g", "1 3"),
-    ("gfdl-{v}", "gnu free documentation", "gfdl ?v?{v}(?: [0-3])?", "f", "1"),
-    ("mpl-{v}", "mozilla public", "mpl ?v?{v}(?: [01])?", "m", "1 2"),
-    ("epl-{v}", "eclipse public", "epl ?v?{v}(?: 0)?", "e", "1 2"),
-    ("eupl-{v}", "european union public", "eupl ?v?{v}(?: [0-2])?", "eu", "1"),
-    ("cddl-{v}", "common development and distribution", "cddl ?v?{v}(?: [01])?", "c", "1"),
-    ("cpl-{v}", "common public", "cpl {v} 0", "c", "1"),
-    ("ipl-{v}", "ibm public", "ipl {v} 0", "i", "1"),
+    ("gpl-{v}", "gnu general public", "(?:gnu )?gpl ?v?{v}(?: 0)?|gplv{v}", "gnu|gpl", "1 2 3"),
+    ("lgpl-{v}", "gnu (?:lesser|library) general public", "(?:gnu )?lgpl ?v?{v}(?: [01])?|lgplv{v}", "gnu|lgpl", "2 3"),
+    ("agpl-{v}", "gnu affero general public", "(?:gnu )?agpl ?v?{v}(?: 0)?|agplv{v}", "gnu|agpl", "1 3"),
+    ("gfdl-{v}", "gnu free documentation", "gfdl ?v?{v}(?: [0-3])?", "gnu|gfdl", "1"),
+    ("mpl-{v}", "mozilla public", "mpl ?v?{v}(?: [01])?", "mozilla|mpl", "1 2"),
+    ("epl-{v}", "eclipse public", "epl ?v?{v}(?: 0)?", "eclipse|epl", "1 2"),
+    ("eupl-{v}", "european union public", "eupl ?v?{v}(?: [0-2])?", "european|eupl", "1"),
+    ("cddl-{v}", "common development and distribution", "cddl ?v?{v}(?: [01])?", "common development|cddl", "1"),
+    ("cpl-{v}", "common public", "cpl {v} 0", "common public|cpl", "1"),
+    ("ipl-{v}", "ibm public", "ipl {v} 0", "ibm|ipl", "1"),
     ("artistic-{v}", "artistic", "artistic ?{v}(?: 0)?", "artistic", "1 2"),
-    ("afl-{v}", "academic free", "afl {v}(?: [01])?", "a", "1 2 3"),
-    ("osl-{v}", "open software", "osl {v}(?: [01])?", "o", "1 2 3"),
+    ("afl-{v}", "academic free", "afl {v}(?: [01])?", "academic|afl", "1 2 3"),
+    ("osl-{v}", "open software", "osl {v}(?: [01])?", "open software|osl", "1 2 3"),
     ("cecill-{v}", "cecill(?: free software)?", "cecill {v}(?: [01])?", "cecill", "1 2"),
     ("bsd-2-clause", "(?:bsd 2 clause|simplified bsd|freebsd)", "bsd 2(?: clause)?", "bsd", ""),
     ("bsd-3-clause", "(?:bsd 3 clause|new bsd|modified bsd|revised bsd)", "bsd 3(?: clause)?", "bsd", ""),
@@ -59,41 +62,53 @@ FAMILIES = [
     ("isc", "isc", "isc", "isc", ""),
     ("zlib", "zlib(?: libpng)?", "zlib", "zlib", ""),
     ("libpng", "libpng", "libpng", "libpng", ""),
-    ("bsl-1", "boost software", "bsl 1 0", "b", ""),
-    ("busl-1", "business source", "busl 1 1", "bus", ""),
+    ("bsl-1", "boost software", "bsl 1 0", "boost|bsl", ""),
+    ("busl-1", "business source", "busl 1 1", "business|busl", ""),
     ("unlicense", "unlicense", "unlicense|the unlicense", "unlicense", ""),
-    ("wtfpl", "do what the fuck you want to public", "wtfpl", "w", ""),
-    ("ofl-1", "sil open font", "ofl 1 [01]", "o", ""),
-    ("psf-2", "python software foundation", "psf 2(?: 0)?", "p", ""),
+    ("wtfpl", "do what the fuck you want to public", "wtfpl", "do what|wtfpl", ""),
+    ("ofl-1", "sil open font", "ofl 1 [01]", "open font|ofl", ""),
+    ("psf-2", "python software foundation", "psf 2(?: 0)?", "python|psf", ""),
     ("ruby", "ruby", "ruby", "ruby", ""),
     ("php-3", "php", "php 3(?: 01)?", "php", ""),
     ("openssl", "openssl", "openssl", "openssl", ""),
     ("ncsa", "university of illinois ncsa open source", "ncsa", "ncsa", ""),
     ("postgresql", "postgresql", "postgresql", "postgresql", ""),
     ("upl-1", "universal permissive", "upl 1 0", "upl|universal", ""),
-    ("ms-pl", "microsoft public", "ms pl", "m", ""),
-    ("ms-rl", "microsoft reciprocal", "ms rl", "m", ""),
-    ("sspl-1", "server side public", "sspl(?: 1)?", "s", ""),
+    ("ms-pl", "microsoft public", "ms pl", "microsoft|ms pl", ""),
+    ("ms-rl", "microsoft reciprocal", "ms rl", "microsoft|ms rl", ""),
+    ("sspl-1", "server side public", "sspl(?: 1)?", "server side|sspl", ""),
     ("elastic-{v}", "elastic", "elastic {v}(?: 0)?", "elastic", "1 2"),
     ("mulan-psl-{v}", "mulan permissive software", "mulanpsl {v} 0|mulan psl v{v}", "mulan", "1 2"),
-    ("odbl-1", "open database", "odbl(?: 1 0)?", "o", ""),
-    ("odc-by-1", "open data commons attribution", "odc by(?: 1 0)?", "o", ""),
-    ("pddl-1", "public domain dedication and", "pddl(?: 1 0)?", "p", ""),
-    ("cc0-1", "(?:cc0|creative commons zero)", "cc0(?: 1 0)?|cc zero", "cc0|cc zero|creative", ""),
-    ("cc-by", "creative commons attribution(?! non| share| no)", "cc by(?! nc| sa| nd)", "cc|creative", ""),
-    ("cc-by-sa", "creative commons attribution share ?alike", "cc by sa", "cc|creative", ""),
-    ("cc-by-nd", "creative commons attribution no ?deriv(?:s|atives)", "cc by nd", "cc|creative", ""),
-    ("cc-by-nc", "creative commons attribution non ?commercial(?! share| no)", "cc by nc(?! sa| nd)", "cc|creative", ""),
-    ("cc-by-nc-sa", "creative commons attribution non ?commercial share ?alike", "cc by nc sa", "cc|creative", ""),
-    ("cc-by-nc-nd", "creative commons attribution non ?commercial no ?deriv(?:s|atives)", "cc by nc nd", "cc|creative", ""),
+    ("odbl-1", "open database", "odbl(?: 1 0)?", "open database|odbl", ""),
+    ("odc-by-1", "open data commons attribution", "odc by(?: 1 0)?", "open data|odc by", ""),
+    ("pddl-1", "public domain dedication and", "pddl(?: 1 0)?", "domain dedication|pddl", ""),
+    ("cc0-1", "(?:cc0|creative commons zero)", "cc0(?: 1 0)?|cc zero", "cc0|cc zero|creative commons zero", ""),
+    ("cc-by", "creative commons attribution{port}", "cc by(?! nc| sa| nd)", "cc by|creative commons", ""),
+    ("cc-by-sa", "creative commons attribution share ?alike{port}", "cc by sa", "cc by|creative commons", ""),
+    ("cc-by-nd", "creative commons attribution no ?deriv(?:s|atives){port}", "cc by nd", "cc by|creative commons", ""),
+    ("cc-by-nc", "creative commons attribution non ?commercial{port}", "cc by nc(?! sa| nd)", "cc by|creative commons", ""),
+    ("cc-by-nc-sa", "creative commons attribution non ?commercial share ?alike{port}", "cc by nc sa", "cc by|creative commons", ""),
+    ("cc-by-nc-nd", "creative commons attribution non ?commercial no ?deriv(?:s|atives){port}", "cc by nc nd",
+     "cc by|creative commons", ""),
+    # mentions without a version; the forms with one are longer and win
+    ("apache", "apache(?: software)?", "apache", "apache", ""),
+    ("gpl", "(?:gnu )?general public", "(?:gnu )?gpl|gnu public", "gnu|gpl|general public", ""),
+    ("lgpl", "(?:gnu )?(?:lesser|library) general public", "(?:gnu )?lgpl", "general public|lgpl", ""),
+    ("agpl", "(?:gnu )?affero general public", "(?:gnu )?agpl", "general public|agpl", ""),
+    ("gfdl", "(?:gnu )?free documentation", "(?:gnu )?gfdl", "free documentation|gfdl", ""),
+    ("mpl", "mozilla public", "mpl", "mozilla|mpl", ""),
+    ("epl", "eclipse public", "epl", "eclipse|epl", ""),
+    ("eupl", "european union public", "eupl", "european|eupl", ""),
+    ("cddl", "common development and distribution", "cddl", "common development|cddl", ""),
+    ("bsd", "bsd(?: style)?", "bsd", "bsd", ""),
 ]
 # how a license is mentioned: priority, confidence, form. {n}: full name, {s}: short names, {v}: version
 FORMS = [
     (80, 0.99, "spdx license identifier (?:{s})"),
     (70, 0.95, "(?:licensed|released|distributed|available|published|redistributed) under (?:the )?(?:terms of )?"
-               "(?:the )?{n} licen[sc]e{w}"),
+               "(?:the |an? )?{n} licen[sc]e{w}"),
     (70, 0.95, "(?:licensed|released|distributed|available|published|redistributed) under (?:the )?(?:terms of )?"
-               "(?:the )?(?:{s})"),
+               "(?:the |an? )?(?:{s})"),
     (60, 0.9, "(?:terms|conditions|version|copy) of the {n} licen[sc]e{w}"),
     (50, 0.9, "(?:licen[sc]e|licenses) (?:is |are )?(?:{s})"),
     (40, 0.8, "{n} licen[sc]e{w}"),
@@ -107,6 +122,51 @@ TEXTS = [
     ("zlib", "provided", "this software is provided as is without any express or implied warranty in no event will the authors"),
     ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
     ("gpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("apache-2", "apache", "licensed under the apache license version 2 0 the license you may not use this file except in "
+                           "compliance with the license"),
+    ("apache", "applicable", "unless required by applicable law or agreed to in writing software distributed under the license "
+                             "is distributed on an as is basis"),
+    ("mit", "notice", "the above copyright notice and this permission notice shall be included in all copies or substantial "
+                      "portions of the software"),
+    ("gpl", "free software", "this (?:program|library|software|file) is free software you can redistribute it and or modify it"),
+    ("gpl-2", "version 2", "gnu general public license as published by the free software foundation either version 2 of the license"),
+    ("gpl-3", "version 3", "gnu general public license as published by the free software foundation either version 3 of the license"),
+    ("lgpl-2", "version 2", "gnu (?:lesser|library) general public license as published by the free software foundation either "
+                            "version 2(?: 1)? of the license"),
+    ("lgpl-3", "version 3", "gnu lesser general public license as published by the free software foundation either version 3 "
+                            "of the license"),
+    ("agpl-3", "affero", "gnu affero general public license as published by the free software foundation either version 3 "
+                         "of the license"),
+    ("gpl", "verbatim", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it "
+                        "is not allowed"),
+    ("wtfpl", "verbatim", "everyone is permitted to copy and distribute verbatim or modified copies of this license document"),
+    ("mpl-2", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-1", "mozilla", "the contents of this file are subject to the mozilla public license version 1(?: 1)?"),
+    ("epl", "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("cddl-1", "common development", "the contents of this file are subject to the terms of the common development and distribution "
+                                     "license"),
+    ("bsd-3-clause", "endorse", "neither the name of (?:the )?(?:copyright holder|author|university|organization) nor the names of "
+                                "(?:its|any) contributors may be used to endorse or promote products"),
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display the following "
+                                    "acknowledge?ment"),
+    ("bsl-1", "organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the "
+                               "original software"),
+    ("ofl-1", "font", "this font software is licensed under the sil open font license"),
+    ("artistic-1", "artistic", "under the (?:same )?terms (?:of either|as perl itself either) the gnu general public license or the "
+                               "artistic license"),
+    ("unlicense", "anyone is free", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("cc0-1", "waived", "to the extent possible under law the (?:author|person who associated cc0 with this work) has waived all "
+                        "copyright and related or neighboring rights"),
+    ("cc-by", "cc by", "cc by [1-4] [05]"),
+    ("cc-by-sa", "cc by", "cc by sa [1-4] [05]"),
+    ("cc-by-nd", "cc by", "cc by nd [1-4] [05]"),
+    ("cc-by-nc", "cc by", "cc by nc [1-4] [05]"),
+    ("cc-by-nc-sa", "cc by", "cc by nc sa(?: [1-4] [05])?"),
+    ("cc-by-nc-nd", "cc by", "cc by nc nd(?: [1-4] [05])?"),
+    ("cc0-1", "cc0", "cc0(?: 1 0)?"),
+    ("public-domain", "copyright", "no known copyright restrictions"),
+    ("proprietary", "reproduced", "no part of this (?:publication|book|document|work) may be reproduced"),
     ("public-domain", "domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("public-domain", "domain", "(?:is|are) (?:in )?(?:the )?public domain"),
     ("proprietary", "rights", "all rights reserved"),
@@ -133,13 +193,13 @@ def _rule(label: str, priority: int, confidence: float, keyword: str, words: str
 @cache
 def rules() -> tuple[Rule, ...]:
     """All signature rules, highest priority first."""
-    out = [_rule(label, 100, 1.0, words.split()[-2], words) for words, label in BASE.items()]
+    out = [_rule(label, 100, 1.0, words, words) for words, label in BASE.items()]
     for label, name, short, keyword, versions in FAMILIES:
         for v in versions.split() or [""]:
-            w = f" (?:version |v)?{v}(?: [0-9])?" if v else ""
+            w = f" (?:version |v ?)?{v}(?: [0-9])?" if v else ""
             for priority, confidence, form in FORMS:
                 out.append(_rule(label.replace("{v}", v), priority, confidence, keyword,
-                                 form.format(n=name, s=short.replace("{v}", v), v=v, w=w)))
+                                 form.format(n=name.replace("{port}", PORT), s=short.replace("{v}", v), v=v, w=w)))
     out += [_rule(label, 90 if len(words) > 60 else 20, 0.9 if len(words) > 60 else 0.5, keyword, words)
             for label, keyword, words in TEXTS]
     return tuple(sorted(out, key=lambda r: -r.priority))
@@ -153,7 +213,9 @@ def _keywords() -> frozenset[bytes]:
 # a text that holds none of these can match no rule
 GATE = tuple(k.encode() for k in (
     "licen", "released under", "distributed under", "available under", "published under", "public domain",
-    "permission", "rights reserved", "proprietary", "redistribution and use", "unencumbered", "provided as is", *BASE))
+    "permission", "rights reserved", "proprietary", "redistribution and use", "unencumbered", "provided as is", "cc by", "cc0",
+    "applicable law", "is free software", "advertising materials", "endorse or promote", "misrepresented", "anyone is free to copy",
+    "neighboring rights", "copyright restrictions", "may be reproduced", "artistic", "general public", *BASE))
 
 
 def detections(line: bytes) -> list[tuple[int, int, Rule]]:
