@@ -3,7 +3,8 @@ payment and rule-based quantity / value columns (88 columns).
 
 Plan shape
 ----------
-* The order window is applied to ``orders`` first; the order ids of the window
+* The order window is applied to ``orders`` first and its orders are written once, so that Spark plans with
+  their real size: while it is small, no item, payment, stop or log is shuffled to be left out. The order ids of the window
   then semi-join the items and the payments, so value sums, payment pivot and
   de-duplication only touch the window's orders (exact: every item / payment of a
   kept order is kept).
@@ -27,6 +28,7 @@ from tijara.operators.dims import category_parent, left_join_fact, left_join_spr
 from tijara.operators.keyed import best_by_score, completeness_score, latest_per_key
 from tijara.operators.pivot import payment_pivot
 from tijara.plans import dimensions as D
+from tijara.sources.io import stored
 
 RULES = Rules(ItemCols())
 PROFILE_FIELDS = ("phone", "store_name", "latlng", "area_id", "sub_area_id", "cnic_number", "address", "city_id")
@@ -106,7 +108,7 @@ def order_denormalized(t, *, start: dt.datetime, end: dt.datetime, exclusive_sel
     """The mart for orders created in ``[start, end)`` (UTC), fulfilled by any known
     mode or on a fully returned stop."""
     r = RULES
-    orders = t["orders"].where((F.col("created_at") >= ntz(start)) & (F.col("created_at") < ntz(end)))
+    orders = stored(t["orders"].where((F.col("created_at") >= ntz(start)) & (F.col("created_at") < ntz(end))), "window_orders")
     window_ids = orders.select(F.col("id").alias("_wid"))
 
     def in_window(df: DataFrame, key: str = "order_id") -> DataFrame:
