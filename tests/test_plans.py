@@ -276,3 +276,25 @@ def test_top_n_cut_among_ties(spark, small_tables):
         "order_items", items.select(*small_tables["order_items"].columns))
     got = [r.order_id for r in fulfilment.top_n(t, 15).collect()]
     assert got == [10_000_000 + k for k in range(15)]
+
+
+@pytest.mark.parametrize("name", ["item_gmv_measures", "item_quantity_rules", "actualized_commission", "order_channel_size_class"])
+def test_items_meet_stops_through_their_orders(spark, name):
+    """Items joined with stops themselves: those of all orders without a stop land in one task."""
+    from tijara.registry import all_queries
+
+    plan = all_queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in plan if "Join LeftOuter" in line]
+    assert "l_orderkey" in joins[0] or "order_id" in joins[0]
+    assert "_spread" in joins[1]
+
+
+def test_mart_plans_with_the_size_of_its_window(spark):
+    """A window far smaller than the orders is broadcast, so nothing outside of it is shuffled."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        plan = _plan(spark, "order_denormalized")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert semi and all("BroadcastHashJoin" in line for line in semi)
