@@ -3,9 +3,10 @@
 The benchmark's items are cut into passages of at most ``PASSAGE`` words; their words are the
 vocabulary. Document frequencies of those words are counted over all documents, words in more
 than ``MAX_SHARE`` of them are left out (each passage keeps its rarest ``MIN_KEPT`` whatever they are).
-A distributed randomised SVD of the TF-IDF rows (all benchmark passages and the passages of a bounded,
-hash-chosen sample of documents, either weighing a half) gives the latent space: every task sums its rows' share of
-A'(A Q), Spark adds the shares, and subspace iteration repeats that on the stored rows.
+A distributed randomised SVD of the TF-IDF rows (all benchmark passages and the passages of all
+documents, either weighing a half) gives the latent space: every task sums its rows' share of
+A'(A Q), Spark adds the shares, and subspace iteration repeats that on the stored rows, which hold the numbers of
+the words that weigh anything.
 
 Then every document's overlapping windows (of ``PASSAGE`` words, half overlapping, over the whole text)
 are projected, and exact cosines with all benchmark passages are computed in blocks. Windows at
@@ -41,7 +42,6 @@ PASSAGE = 64
 MAX_SHARE = 0.05
 MIN_KEPT = 6
 DIMENSIONS = 256
-SAMPLE_DOCUMENTS = 2000
 BLOCK = 1000
 COSINE = 0.4
 VERBATIM, PARAPHRASE = 0.8, 0.55
@@ -187,34 +187,42 @@ def _weights(passages: list[Passage], vocabulary: Vocabulary, df: np.ndarray, n:
     return np.where(keep, idf, 0).astype(np.float32)
 
 
-def sample_rows(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Windows of SAMPLE_DOCUMENTS documents (smallest id hashes) as arrays of word numbers."""
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
-    ids = texts.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
+def passage_rows(texts: DataFrame, vocabulary: Vocabulary, idf: np.ndarray) -> DataFrame:
+    """Windows of all documents as arrays of the numbers of words with a weight."""
+    shared = texts.sparkSession.sparkContext.broadcast(Vocabulary({w: i for w, i in vocabulary.items() if idf[i] > 0}))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
+            terms, sizes = [np.zeros(0, np.int32)], []
             for t in utf8(batch):
                 x = shared.value.numbers(words_of(t))
-                out += [w[w >= 0] for w in (x[s:s + PASSAGE] for s in range(0, len(x), PASSAGE))]
-            out = [w for w in out if len(w)]
-            yield pa.RecordBatch.from_pydict({"terms": pa.array(out, pa.list_(pa.int32())),
-                                              "own": pa.array([False] * len(out), pa.bool_())})
+                at = np.flatnonzero(x >= 0)
+                terms.append(x[at])
+                sizes.append(np.unique(at // PASSAGE, return_counts=True)[1])  # of passages with such words
+            sizes = np.concatenate(sizes)
+            ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(terms))),
+                                              pa.array(np.zeros(len(sizes), bool))], names=["terms", "own"])
 
-    return texts.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(rows, "terms array<int>, own boolean")
+    return texts.select("text").mapInArrow(rows, "terms array<int>, own boolean")
 
 
-def _tf_idf(rows: list[np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Unit TF-IDF rows as (row, term, weight), without zero weights."""
-    size = np.array([len(r) for r in rows], np.int64)
-    row, term = np.repeat(np.arange(len(rows)), size), np.concatenate(rows) if rows else np.zeros(0, np.int32)
+def _tf_idf(size: np.ndarray, term: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit TF-IDF rows (of ``size`` terms each) as (row, term, weight), without zero weights; rows ascend."""
+    row = np.repeat(np.arange(len(size)), size)
     weight = idf[term]
-    norm = np.sqrt(np.bincount(row, weight.astype(np.float64) ** 2, minlength=len(rows)))
+    norm = np.sqrt(np.bincount(row, weight.astype(np.float64) ** 2, minlength=len(size)))
     ok = weight > 0
     return row[ok], term[ok], (weight[ok] / norm[row[ok]]).astype(np.float32)
 
 
+def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Adds ``rows`` to those of ``total`` at ``at``, which ascends."""
+    if len(at):
+        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        total[at[starts]] += np.add.reduceat(rows, starts, axis=0)
+
+
 def _product(rows: DataFrame, idf: np.ndarray, own_weight: float, q: np.ndarray) -> np.ndarray:
     """A'(A q) over all stored rows: summed per task, then per block of terms by Spark."""
     spark = rows.sparkSession
@@ -225,14 +233,17 @@ def _product(rows: DataFrame, idf: np.ndarray, own_weight: float, q: np.ndarray)
         weights, base = shared.value
         total = np.zeros_like(base)
         for batch in batches:
-            terms = batch.column("terms")
-            found = [np.asarray(terms[i].values) for i in range(len(terms))]
+            ends = np.asarray(batch.column("terms").offsets)
+            terms = np.asarray(batch.column("terms").values)
             factor = np.where(np.asarray(batch.column("own").to_pylist(), bool), own_weight, 1).astype(np.float32)
-            for at in range(0, len(found), 2000):
-                row, term, w = _tf_idf(found[at:at + 2000], weights)
-                inner = np.zeros((len(found[at:at + 2000]), base.shape[1]), np.float32)
-                np.add.at(inner, row, w[:, None] * base[term])
-                np.add.at(total, term, (w * factor[at:at + 2000][row])[:, None] * inner[row])
+            for at in range(0, len(batch), 1000):
+                cut = ends[at:at + 1001]
+                row, term, w = _tf_idf(np.diff(cut), terms[cut[0]:cut[-1]], weights)
+                inner = np.zeros((len(cut) - 1, base.shape[1]), np.float32)
+                _add_rows(inner, row, w[:, None] * base[term])
+                inner *= factor[at:at + 1000, None]
+                order = np.argsort(term, kind="stable")
+                _add_rows(total, term[order], w[order, None] * inner[row[order]])
         blocks = range(0, len(total), height)
         yield pa.RecordBatch.from_pydict({"block": pa.array([b // height for b in blocks], pa.int64()),
                                           "part": pa.array([total[b:b + height].tobytes() for b in blocks], pa.binary())})
@@ -334,7 +345,7 @@ def _leaks_of_block(texts: DataFrame, items: list[tuple[int, str | None]]) -> Da
     idf = _weights(passages, vocabulary, df, n)
     spark = texts.sparkSession
     own = spark.createDataFrame([(vocabulary.numbers(p.words).tolist(), True) for p in passages], "terms array<int>, own boolean")
-    rows = stored(sample_rows(texts, vocabulary).unionByName(own), "passages")
+    rows = stored(passage_rows(texts, vocabulary, idf).unionByName(own), "passages")
     shared = spark.sparkContext.broadcast(Index(passages, vocabulary, idf, latent_space(rows, idf)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
