@@ -188,17 +188,20 @@ def _weights(passages: list[Passage], vocabulary: Vocabulary, df: np.ndarray, n:
 
 
 def passage_rows(texts: DataFrame, vocabulary: Vocabulary, idf: np.ndarray) -> DataFrame:
-    """Windows of all documents as arrays of the numbers of words with a weight."""
-    shared = texts.sparkSession.sparkContext.broadcast(Vocabulary({w: i for w, i in vocabulary.items() if idf[i] > 0}))
+    """Windows with words of the vocabulary, of all documents, as arrays of the numbers of words with a weight."""
+    shared = texts.sparkSession.sparkContext.broadcast((vocabulary, idf > 0))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weighs = shared.value
         for batch in slices(batches):
             terms, sizes = [np.zeros(0, np.int32)], []
             for t in utf8(batch):
-                x = shared.value.numbers(words_of(t))
+                x = known.numbers(words_of(t))
                 at = np.flatnonzero(x >= 0)
-                terms.append(x[at])
-                sizes.append(np.unique(at // PASSAGE, return_counts=True)[1])  # of passages with such words
+                own = at[weighs[x[at]]]
+                terms.append(x[own])
+                passages = np.unique(at // PASSAGE)
+                sizes.append(np.bincount(own // PASSAGE, minlength=int(passages.max(initial=0)) + 1)[passages])
             sizes = np.concatenate(sizes)
             ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(terms))),
@@ -236,12 +239,12 @@ def _product(rows: DataFrame, idf: np.ndarray, own_weight: float, q: np.ndarray)
             ends = np.asarray(batch.column("terms").offsets)
             terms = np.asarray(batch.column("terms").values)
             factor = np.where(np.asarray(batch.column("own").to_pylist(), bool), own_weight, 1).astype(np.float32)
-            for at in range(0, len(batch), 1000):
-                cut = ends[at:at + 1001]
+            for at in range(0, len(batch), 200):  # stays in a core's cache
+                cut = ends[at:at + 201]
                 row, term, w = _tf_idf(np.diff(cut), terms[cut[0]:cut[-1]], weights)
                 inner = np.zeros((len(cut) - 1, base.shape[1]), np.float32)
                 _add_rows(inner, row, w[:, None] * base[term])
-                inner *= factor[at:at + 1000, None]
+                inner *= factor[at:at + 200, None]
                 order = np.argsort(term, kind="stable")
                 _add_rows(total, term[order], w[order, None] * inner[row[order]])
         blocks = range(0, len(total), height)
