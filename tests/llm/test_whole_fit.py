@@ -48,3 +48,29 @@ def test_every_training_word_is_learned_from(spark, monkeypatch):
     assert visits == 300 * 5 * 8  # each bit of each word and its blank
     assert np.abs(many.weights - one.weights).max() < 0.3
     assert not np.array_equal(many.weights, np.full(one.weights.shape, 0.3))
+
+
+def test_cells_are_handed_on_and_summed(spark, monkeypatch):
+    """The cells of A'A, also when tasks hand them on early: one row per pair of terms, however many documents."""
+    rng = np.random.default_rng(8)
+    rows = [(rng.integers(0, 12, int(rng.integers(0, 20))).tolist(), bool(k % 5 == 0)) for k in range(300)]
+    df = spark.createDataFrame(rows, "terms array<int>, own boolean").repartition(3)
+    idf = np.where(np.arange(12) == 4, 0, rng.random(12) + 0.1).astype(np.float32)
+    dense = np.zeros((12, 12))
+    for terms, own in rows:
+        a = np.bincount(terms, idf[terms], 12) if terms else np.zeros(12)
+        norm = np.sqrt((idf[terms].astype(float) ** 2).sum()) if terms else 0
+        dense += np.outer(a, a) * (2.5 if own else 1) / (norm**2 or 1)
+    for pairs in (64, 1 << 20):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        found = decontaminate.gram(df, idf, 2.5).collect()
+        assert len({(r.first, r.second) for r in found}) == len(found) <= 11 * 12 // 2
+        assert all(r.first <= r.second and np.isclose(r.weight, dense[r.first, r.second], rtol=1e-5) for r in found)
+        assert np.count_nonzero(np.triu(dense)) == len(found)
+
+
+def test_row_sums():
+    rng = np.random.default_rng(9)
+    space, term = rng.random((7, 3)).astype(np.float32), rng.integers(0, 7, 40)
+    starts = np.array([0, 1, 5, 6, 30, 39])
+    assert np.allclose(decontaminate.row_sums(space, term, starts), np.add.reduceat(space[term], starts, axis=0))

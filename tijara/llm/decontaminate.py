@@ -4,9 +4,9 @@ The benchmark's items are cut into passages of at most ``PASSAGE`` words; their
 vocabulary. Document frequencies of those words are counted over all documents, words in more
 than ``MAX_SHARE`` of them are left out (each passage keeps its rarest ``MIN_KEPT`` whatever they are).
 A distributed randomised SVD of the TF-IDF rows (all benchmark passages and the passages of all
-documents, either weighing a half) gives the latent space: every task sums its rows' share of
-A'(A Q), Spark adds the shares, and subspace iteration repeats that on the stored rows, which hold the numbers of
-the words that weigh anything.
+documents, either weighing a half) gives the latent space: every task sums its rows' share of the cells of
+A'A that are not 0, Spark adds the shares, and subspace iteration multiplies the stored cells, which the block's
+vocabulary bounds.
 
 Then every document's overlapping windows (of ``PASSAGE`` words, half overlapping, over the whole text)
 are projected, and exact cosines with all benchmark passages are computed in blocks. Windows at
@@ -27,6 +27,7 @@ rows. Empty tables give an empty result.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,7 @@ COSINE = 0.4
 VERBATIM, PARAPHRASE = 0.8, 0.55
 EXCERPT = 40  # words of a passage that leak when they stand close together, whatever its length
 SHORTEST = 8
+PAIRS = 1 << 20  # products of terms held at once, besides their sums
 ANSWER_WORDS = 5
 
 SCHEMA = ("doc_id bigint, item_id bigint, cosine double, lcs_share double, answer_found boolean, "
@@ -124,13 +126,11 @@ def passages_of(items: list[tuple[int, str | None]]) -> list[Passage]:
 
 
 class Vocabulary(dict):
-    """Number of each benchmark word; -1 for any other."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
+    """Number of each benchmark word."""
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        """-1 for any other word."""
+        return np.fromiter(map(self.get, words, itertools.repeat(-1)), np.int32, len(words))
 
 
 def half_windows(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,34 +219,91 @@ def _tf_idf(size: np.ndarray, term: np.ndarray, idf: np.ndarray) -> tuple[np.nda
     return row[ok], term[ok], (weight[ok] / norm[row[ok]]).astype(np.float32)
 
 
-def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """Adds ``rows`` to those of ``total`` at ``at``, which ascends."""
-    if len(at):
-        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        total[at[starts]] += np.add.reduceat(rows, starts, axis=0)
+def row_sums(space: np.ndarray, term: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``space``'s rows ``term`` over stretches that begin at ``starts``, each added up from its first row on."""
+    size = np.diff(np.append(starts, len(term)))
+    order = np.argsort(-size, kind="stable")  # those with a k-th row lie in front
+    starts, size = starts[order], size[order]
+    total = space[term[starts]]
+    for k in range(1, int(size.max(initial=0))):
+        n = int(np.searchsorted(-size, -k, "left"))  # of more than k rows
+        total[:n] += space[term[starts[:n] + k]]
+    out = np.empty_like(total)
+    out[order] = total
+    return out
+
 
+def _cell_sums(cells: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells, ascending, with the sums of their weights."""
+    order = np.argsort(cells, kind="stable")
+    cells, weights = cells[order], weights[order]
+    starts = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])[:len(cells)])
+    return cells[starts], np.add.reduceat(weights, starts) if len(starts) else weights
 
-def _product(rows: DataFrame, idf: np.ndarray, own_weight: float, q: np.ndarray) -> np.ndarray:
-    """A'(A q) over all stored rows: summed per task, then per block of terms by Spark."""
+
+def gram(rows: DataFrame, idf: np.ndarray, own_weight: float) -> DataFrame:
+    """(first, second, weight): the cells of A'A, first <= second, of the stored rows' TF-IDF matrix A.
+
+    A row adds the products of its terms' weights. Tasks add up their rows' cells, Spark those of all tasks; what remains is bounded by
+    the block's vocabulary, however many documents there are.
+    """
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((idf, q))
+    shared = spark.sparkContext.broadcast(idf)
+    width = len(idf)
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed(cells: np.ndarray, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(cells), PAIRS):
+                c = cells[at:at + PAIRS]
+                yield pa.RecordBatch.from_pydict({"first": pa.array(c // width, pa.int32()), "second": pa.array(c % width, pa.int32()),
+                                                  "weight": pa.array(weights[at:at + PAIRS], pa.float64())})
+
+        held = [(np.zeros(0, np.int64), np.zeros(0))]
+        waiting = 0
+        for batch in batches:
+            ends = np.asarray(batch.column("terms").offsets)
+            row, term, w = _tf_idf(np.diff(ends), np.asarray(batch.column("terms").values)[ends[0]:ends[-1]], shared.value)
+            factor = np.where(np.asarray(batch.column("own").to_pylist(), bool), own_weight, 1)
+            # a term once a row, ascending: the row's cells are the pairs of a term and one from there on
+            own, w = _cell_sums(row * width + term, w.astype(np.float64))
+            row, term = own // width, own % width
+            after = np.searchsorted(row, row, "right") - np.arange(len(row))
+            for at in range(0, len(row), PAIRS // PASSAGE):  # a row has at most PASSAGE terms
+                n = after[at:at + PAIRS // PASSAGE]
+                i = np.repeat(np.arange(at, at + len(n)), n)
+                j = i + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+                held.append((term[i] * width + term[j], w[i] * w[j] * factor[row[i]]))
+                waiting += len(i)
+                if waiting > max(PAIRS, len(held[0][0])):
+                    held = [_cell_sums(*map(np.concatenate, zip(*held, strict=True)))]
+                    waiting = 0
+                    if len(held[0][0]) > 4 * PAIRS:
+                        yield from handed(*held[0])
+                        held = [(np.zeros(0, np.int64), np.zeros(0))]
+        yield from handed(*_cell_sums(*map(np.concatenate, zip(*held, strict=True))))
+
+    return rows.mapInArrow(part, "first int, second int, weight double").groupBy("first", "second").agg(F.sum("weight").alias("weight"))
+
+
+def _cells_product(cells: DataFrame, q: np.ndarray) -> np.ndarray:
+    """A'A q from the cells of A'A: summed per task, then per block of terms by Spark."""
+    spark = cells.sparkSession
+    shared = spark.sparkContext.broadcast(q)
     height = 512
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, base = shared.value
+        base = shared.value
         total = np.zeros_like(base)
         for batch in batches:
-            ends = np.asarray(batch.column("terms").offsets)
-            terms = np.asarray(batch.column("terms").values)
-            factor = np.where(np.asarray(batch.column("own").to_pylist(), bool), own_weight, 1).astype(np.float32)
-            for at in range(0, len(batch), 200):  # stays in a core's cache
-                cut = ends[at:at + 201]
-                row, term, w = _tf_idf(np.diff(cut), terms[cut[0]:cut[-1]], weights)
-                inner = np.zeros((len(cut) - 1, base.shape[1]), np.float32)
-                _add_rows(inner, row, w[:, None] * base[term])
-                inner *= factor[at:at + 200, None]
-                order = np.argsort(term, kind="stable")
-                _add_rows(total, term[order], w[order, None] * inner[row[order]])
+            i, j, w = (np.asarray(batch.column(c)) for c in ("first", "second", "weight"))
+            for at, by in ((i, j), (j, i)):
+                some = np.flatnonzero(i != j) if at is j else np.arange(len(i))
+                some = some[np.argsort(at[some], kind="stable")]
+                for k in range(0, len(some), 512):  # stays in a core's cache
+                    own = some[k:k + 512]
+                    x = at[own]
+                    first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+                    total[x[first]] += np.add.reduceat(w[own, None].astype(np.float32) * base[by[own]], first, axis=0)
         blocks = range(0, len(total), height)
         yield pa.RecordBatch.from_pydict({"block": pa.array([b // height for b in blocks], pa.int64()),
                                           "part": pa.array([total[b:b + height].tobytes() for b in blocks], pa.binary())})
@@ -256,22 +313,28 @@ def _product(rows: DataFrame, idf: np.ndarray, own_weight: float, q: np.ndarray)
         return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(), "part": [total.astype(np.float32).tobytes()]})
 
     out = np.zeros_like(q)
-    summed = rows.mapInArrow(part, "block bigint, part binary").groupBy("block").applyInPandas(add, "block bigint, part binary")
+    summed = cells.mapInArrow(part, "block bigint, part binary").groupBy("block").applyInPandas(add, "block bigint, part binary")
     for r in summed.collect():  # as large as q
         piece = np.frombuffer(r.part, np.float32).reshape(-1, q.shape[1])
         out[r.block * height:r.block * height + len(piece)] = piece
     return out
 
 
+def _product(rows: DataFrame, idf: np.ndarray, own_weight: float, q: np.ndarray) -> np.ndarray:
+    """A'(A q) over all stored rows."""
+    return _cells_product(gram(rows, idf, own_weight), q)
+
+
 def latent_space(rows: DataFrame, idf: np.ndarray, dimensions: int = DIMENSIONS, rounds: int = 3) -> np.ndarray:
     """Leading right singular vectors (terms x dimensions) of the stored rows' TF-IDF matrix."""
     width = min(dimensions + 16, len(idf))
     counts = {r.own: r["count"] for r in rows.groupBy("own").count().collect()}
     own_weight = max(1.0, counts.get(False, 0) / max(1, counts.get(True, 0)))
+    cells = stored(gram(rows, idf, own_weight), "cells")
     q, _ = np.linalg.qr(np.random.default_rng(5).standard_normal((len(idf), width)))
     for _ in range(rounds):
         before = q.astype(np.float32)
-        z = _product(rows, idf, own_weight, before)
+        z = _cells_product(cells, before)
         q, _ = np.linalg.qr(z.astype(np.float64))
     values, turn = np.linalg.eigh(before.T.astype(np.float64) @ z)
     lead = turn[:, np.argsort(-values)[:dimensions]]
@@ -303,7 +366,7 @@ class Index:
         for at in range(0, len(starts), 8192):  # bounded gathers
             s = starts[at:at + 8192]
             stop = starts[at + 8192] if at + 8192 < len(starts) else len(term)
-            halves[half[s]] = np.add.reduceat(self.space[term[s[0]:stop]], s - s[0], axis=0)
+            halves[half[s]] = row_sums(self.space, term[:stop], s)
         whose = np.repeat(np.arange(len(numbers)), np.diff(first))
         window = halves[:-1]
         window[:-1] += halves[1:-1] * (whose[1:] == whose[:-1])[:, None]
