@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tijara.llm.common import BROADCAST_IDS, among, read_documents, slices, stored, texts_of, utf8
-from tijara.llm.components import components
+from tijara.llm.components import components, joined
 from tijara.llm.shingles import WordHashes, in_order, parity_bits, shingle_levels, shingle_sets
 
 PARITY = 1024
@@ -233,16 +233,14 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         F.col("group").alias("u"), (-F.col("best.leader")).alias("v"))
     first = stored(nodes.select(F.col("id").alias("u"), F.col("group").alias("v")).unionByName(best).where("u != v").select(
         F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "first")
-    links = verifier.links(first).unionByName(same_id)
-    found = components(links)
+    found = components(verifier.links(first).unionByName(same_id))
     # second step: against the other leaders, where the component still differs
     placed = _placed(nodes, found)
     where = placed.select(F.col("id").alias("leader"), F.col("component").alias("lead_component")).distinct()
     pairs = placed.join(led.select("group", "leader").distinct(), "group").join(where, "leader").where("component != lead_component").select(
         F.least("id", "leader").alias("u"), F.greatest("id", "leader").alias("v")).distinct()
     second = stored(pairs.join(first, ["u", "v"], "left_anti"), "second")
-    links = links.unionByName(verifier.links(second))
-    found = components(links)
+    found = joined(found, verifier.links(second))
 
     # the rest: groups with members that are not yet in one component, expanded
     placed = _placed(nodes, found)
@@ -252,8 +250,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
         (F.col("x.component") != F.col("y.component")) & ((F.col("u") != F.col("v")) | (F.col("x.id") < F.col("y.id")))
         & _may_link(F.col("x.n"), F.col("y.n"), F.col("x.bits"), F.col("y.bits"), percent))
     pairs = pairs.select(F.least("x.id", "y.id").alias("u"), F.greatest("x.id", "y.id").alias("v")).distinct()
-    links = links.unionByName(verifier.links(pairs.join(first.unionByName(second), ["u", "v"], "left_anti")))
-    found = components(links)
+    found = joined(found, verifier.links(pairs.join(first.unionByName(second), ["u", "v"], "left_anti")))
 
     # rows -> node of their set -> component
     linked = member.join(found, F.col("id") == F.col("node"), "left").select("doc_id", "n", F.coalesce("component", "id").alias("component_id"))
