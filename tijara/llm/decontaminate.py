@@ -6,7 +6,7 @@ than ``MAX_SHARE`` of them are left out (each passage keeps its rarest ``MIN_KEP
 A distributed randomised SVD of the TF-IDF rows (all benchmark passages and the passages of all
 documents, either weighing a half) gives the latent space: every task sums its rows' share of the cells of
 A'A that are not 0, Spark adds the shares, and subspace iteration multiplies the stored cells, which the block's
-vocabulary bounds.
+vocabulary bounds. They are stored by rows, so that a task's share of the product is its own rows alone.
 
 Then every document's overlapping windows (of ``PASSAGE`` words, half overlapping, over the whole text)
 are projected, and exact cosines with all benchmark passages are computed in blocks. Windows at
@@ -49,6 +49,7 @@ VERBATIM, PARAPHRASE = 0.8, 0.55
 EXCERPT = 40  # words of a passage that leak when they stand close together, whatever its length
 SHORTEST = 8
 PAIRS = 1 << 20  # products of terms held at once, besides their sums
+HEIGHT = 64  # terms whose cells lie together
 ANSWER_WORDS = 5
 
 SCHEMA = ("doc_id bigint, item_id bigint, cosine double, lcs_share double, answer_found boolean, "
@@ -285,44 +286,61 @@ def gram(rows: DataFrame, idf: np.ndarray, own_weight: float) -> DataFrame:
     return rows.mapInArrow(part, "first int, second int, weight double").groupBy("first", "second").agg(F.sum("weight").alias("weight"))
 
 
-def _cells_product(cells: DataFrame, q: np.ndarray) -> np.ndarray:
-    """A'A q from the cells of A'A: summed per task, then per block of terms by Spark."""
-    spark = cells.sparkSession
-    shared = spark.sparkContext.broadcast(q)
-    height = 512
+def by_rows(cells: DataFrame) -> DataFrame:
+    """(at, by, weight): the cells on both sides of the diagonal, those of a block of HEIGHT rows together.
+
+    A block holds at most HEIGHT cells per word of the vocabulary, so none outgrows a task.
+    """
+    pair = F.struct(F.col("first").alias("at"), F.col("second").alias("by"))
+    turned = F.struct(F.col("second").alias("at"), F.col("first").alias("by"))
+    both = F.when(F.col("first") == F.col("second"), F.array(pair)).otherwise(F.array(pair, turned))
+    return cells.select(F.explode(both).alias("cell"), "weight").select("cell.at", "cell.by", "weight").repartition(
+        F.floor(F.col("at") / HEIGHT)).sortWithinPartitions("at", "by")
+
+
+def row_parts(cells: DataFrame, q: np.ndarray) -> DataFrame:
+    """(block, part): shares of A'A q, a block of HEIGHT rows each, from the cells as ``by_rows`` deals them.
+
+    A task hands on the blocks that it has cells of: about as much as q in all, whatever the number of tasks.
+    """
+    shared = cells.sparkSession.sparkContext.broadcast(q)
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = shared.value
-        total = np.zeros_like(base)
+        total, has = np.zeros_like(base), np.zeros(-(-len(base) // HEIGHT), bool)
         for batch in batches:
-            i, j, w = (np.asarray(batch.column(c)) for c in ("first", "second", "weight"))
-            for at, by in ((i, j), (j, i)):
-                some = np.flatnonzero(i != j) if at is j else np.arange(len(i))
-                some = some[np.argsort(at[some], kind="stable")]
-                for k in range(0, len(some), 512):  # stays in a core's cache
-                    own = some[k:k + 512]
-                    x = at[own]
-                    first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
-                    total[x[first]] += np.add.reduceat(w[own, None].astype(np.float32) * base[by[own]], first, axis=0)
-        blocks = range(0, len(total), height)
-        yield pa.RecordBatch.from_pydict({"block": pa.array([b // height for b in blocks], pa.int64()),
-                                          "part": pa.array([total[b:b + height].tobytes() for b in blocks], pa.binary())})
+            at, by, w = (np.asarray(batch.column(c)) for c in ("at", "by", "weight"))
+            order = np.argsort(at, kind="stable")
+            has[at // HEIGHT] = True
+            for k in range(0, len(order), 512):  # stays in a core's cache
+                own = order[k:k + 512]
+                x = at[own]
+                first = np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+                total[x[first]] += np.add.reduceat(w[own, None].astype(np.float32) * base[by[own]], first, axis=0)
+        blocks = np.flatnonzero(has)
+        yield pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int64()),
+                                          "part": pa.array([total[b * HEIGHT:(b + 1) * HEIGHT].tobytes() for b in blocks], pa.binary())})
+
+    return cells.mapInArrow(part, "block bigint, part binary")
 
+
+def _cells_product(cells: DataFrame, q: np.ndarray) -> np.ndarray:
+    """A'A q from the cells of A'A: summed per task, then per block of rows by Spark."""
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(p, np.float32).astype(np.float64) for p in pdf["part"])
         return pd.DataFrame({"block": pdf["block"].iloc[:1].to_numpy(), "part": [total.astype(np.float32).tobytes()]})
 
     out = np.zeros_like(q)
-    summed = cells.mapInArrow(part, "block bigint, part binary").groupBy("block").applyInPandas(add, "block bigint, part binary")
+    summed = row_parts(cells, q).groupBy("block").applyInPandas(add, "block bigint, part binary")
     for r in summed.collect():  # as large as q
         piece = np.frombuffer(r.part, np.float32).reshape(-1, q.shape[1])
-        out[r.block * height:r.block * height + len(piece)] = piece
+        out[r.block * HEIGHT:r.block * HEIGHT + len(piece)] = piece
     return out
 
 
 def _product(rows: DataFrame, idf: np.ndarray, own_weight: float, q: np.ndarray) -> np.ndarray:
     """A'(A q) over all stored rows."""
-    return _cells_product(gram(rows, idf, own_weight), q)
+    return _cells_product(by_rows(gram(rows, idf, own_weight)), q)
 
 
 def latent_space(rows: DataFrame, idf: np.ndarray, dimensions: int = DIMENSIONS, rounds: int = 3) -> np.ndarray:
@@ -330,7 +348,7 @@ def latent_space(rows: DataFrame, idf: np.ndarray, dimensions: int = DIMENSIONS,
     width = min(dimensions + 16, len(idf))
     counts = {r.own: r["count"] for r in rows.groupBy("own").count().collect()}
     own_weight = max(1.0, counts.get(False, 0) / max(1, counts.get(True, 0)))
-    cells = stored(gram(rows, idf, own_weight), "cells")
+    cells = stored(by_rows(gram(rows, idf, own_weight)), "cells")
     q, _ = np.linalg.qr(np.random.default_rng(5).standard_normal((len(idf), width)))
     for _ in range(rounds):
         before = q.astype(np.float32)
